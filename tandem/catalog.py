@@ -525,3 +525,315 @@ def concat_datasets(spark, sf_dir):
 
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_split(spark, sf_dir)
+
+
+# ---- vectors, metric, manifest ---------------------------------------------------------
+
+
+@register(
+    "vector_mean",
+    """SELECT label, CAST(i - 1 AS BIGINT) AS dim, round(avg(CAST(v AS DOUBLE)), 6) AS mean FROM (
+  SELECT label, unnest(embedding) AS v, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)
+GROUP BY label, i""",
+)
+def vector_mean(spark, sf_dir):
+    from tandem.operators.vectors import explode_chunks
+    from tandem.operators.vectors import vector_mean as vm
+
+    emb = read_table(spark, sf_dir, "embeddings").select(
+        F.col("label").alias("grp"), F.lit("embedding").alias("name"), F.col("vec_id").alias("step"), F.col("embedding").alias("w")
+    )
+    out = explode_chunks(vm(emb), "grp", "name")
+    return out.select(F.col("grp").alias("label"), "dim", F.round("value", 6).alias("mean"))
+
+
+def _bleu_sql(pairs_sql: str, max_n: int = 4) -> str:
+    hw, rw = S.words("hyp"), S.words("ref")
+    grams = []
+    for side, col in (("h", "ht"), ("r", "rt")):
+        grams.append(
+            f"SELECT id, n, '{side}' AS side, array_to_string(list_slice({col}, i, i + n - 1), ' ') AS g "
+            f"FROM toks, range(1, {max_n + 1}) a(n), range(1, len({col}) - n + 2) b(i)"
+        )
+    ms = ", ".join(f"sum(CASE WHEN n = {n} THEN least(hc, rc) ELSE 0 END)::DOUBLE AS m{n}" for n in range(1, max_n + 1))
+    ts = ", ".join(f"sum(CASE WHEN n = {n} THEN hc ELSE 0 END)::DOUBLE AS t{n}" for n in range(1, max_n + 1))
+    ps = ", ".join(f"CASE WHEN t{n} > 0 THEN m{n} / t{n} ELSE 0.0 END AS p{n}" for n in range(1, max_n + 1))
+    logs = " + ".join(f"ln(p{n})" for n in range(1, max_n + 1))
+    zero = " OR ".join(f"p{n} <= 0" for n in range(1, max_n + 1))
+    return f"""WITH toks AS (SELECT id, {hw} AS ht, {rw} AS rt FROM {pairs_sql}),
+grams AS ({grams[0]} UNION ALL {grams[1]}),
+counted AS (SELECT id, n, g, sum(CASE WHEN side = 'h' THEN 1 ELSE 0 END) AS hc, sum(CASE WHEN side = 'r' THEN 1 ELSE 0 END) AS rc
+  FROM grams GROUP BY id, n, g),
+s AS (SELECT {ms}, {ts}, CAST(sum(CASE WHEN n = 1 THEN rc ELSE 0 END) AS BIGINT) AS ref_len FROM counted),
+p AS (SELECT *, {ps}, CAST(t1 AS BIGINT) AS hyp_len FROM s),
+b AS (SELECT *, CASE WHEN hyp_len > ref_len THEN 1.0 WHEN hyp_len = 0 THEN 0.0 ELSE exp(1.0 - ref_len::DOUBLE / hyp_len::DOUBLE) END AS bp FROM p)
+SELECT round(CASE WHEN {zero} THEN 0.0 ELSE bp * exp(({logs}) / {float(max_n)}) END, 6) AS bleu, round(bp, 6) AS bp,
+  {", ".join(f"round(p{n}, 6) AS p{n}" for n in range(1, max_n + 1))}, hyp_len, ref_len FROM b"""
+
+
+@register("corpus_bleu", _bleu_sql(f"(SELECT id, tgt AS hyp, src AS ref FROM {fx.BITEXT_SQL})"))
+def corpus_bleu(spark, sf_dir):
+    from tandem.operators.bleu import corpus_bleu as cb
+
+    b = fx.bitext(spark, sf_dir).select("id", F.col("tgt").alias("hyp"), F.col("src").alias("ref"))
+    return cb(b)
+
+
+RUN_DATE = "2025-02-28"
+
+
+@register(
+    "run_manifest",
+    f"""SELECT 'src-tgt-' || version AS model_name, version, n_train, n_valid, src_bytes FROM (
+  SELECT '2502.' || CAST(round_even({VOCAB_SIZE} / 1000.0, 0) AS BIGINT) || '.' || CAST(round_even(200000000 / 1000000.0, 0) AS BIGINT) AS version,
+    CAST(sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS BIGINT) AS n_train,
+    CAST(sum(CASE WHEN split = 'valid' THEN 1 ELSE 0 END) AS BIGINT) AS n_valid,
+    CAST(sum(CASE WHEN split = 'train' THEN strlen(src) + 1 ELSE 0 END) AS BIGINT) AS src_bytes
+  FROM ({_split_sql(CLEAN_PAIRS_SQL, N_VALID)}))""",
+)
+def run_manifest(spark, sf_dir):
+    from tandem.functions.text import version_tag
+
+    s = split.train_valid_split(clean_line_pairs(spark, sf_dir), N_VALID, seed=SEED)
+
+    def n(cond):
+        return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+
+    counts = s.agg(
+        n(F.col("split") == "train").alias("n_train"),
+        n(F.col("split") == "valid").alias("n_valid"),
+        F.sum(F.when(F.col("split") == "train", F.octet_length("src") + 1).otherwise(0)).cast("bigint").alias("src_bytes"),
+    )
+    version = version_tag(F.to_date(F.lit(RUN_DATE)), F.lit(VOCAB_SIZE), F.lit(200000000), F.lit(False))
+    return counts.select(
+        F.concat(F.lit("src-tgt-"), version).alias("model_name"), version.alias("version"), "n_train", "n_valid", "src_bytes"
+    )
+
+
+# ---- vocabulary ---------------------------------------------------------------------------
+
+WORDS_SQL = f"(SELECT word, CAST(count(*) AS BIGINT) AS freq FROM (SELECT unnest({S.words(S.sanitize('text'))}) AS word FROM {SHARED_SQL}) GROUP BY word)"
+
+
+def shared_word_counts(spark, sf_dir) -> DataFrame:
+    from tandem.operators.vocab import word_counts
+
+    return word_counts(shared_clean(spark, sf_dir))
+
+
+@register("word_vocab", f"SELECT word, freq FROM {WORDS_SQL} ORDER BY freq DESC, word LIMIT {VOCAB_SIZE}")
+def word_vocab(spark, sf_dir):
+    from tandem.operators.vocab import top_k
+
+    return top_k(shared_word_counts(spark, sf_dir), VOCAB_SIZE)
+
+
+@register(
+    "char_coverage",
+    f"""WITH c AS (SELECT substring(word, i, 1) AS ch, CAST(sum(freq) AS BIGINT) AS freq FROM {WORDS_SQL}, range(1, length(word) + 1) r(i) GROUP BY 1)
+SELECT ch, freq, CAST(row_number() OVER (ORDER BY freq DESC, ch) AS BIGINT) AS rank,
+  round(sum(freq) OVER (ORDER BY freq DESC, ch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(freq) OVER (), 6) AS coverage FROM c""",
+)
+def char_coverage(spark, sf_dir):
+    from tandem.operators.vocab import char_coverage as cc
+
+    return cc(shared_word_counts(spark, sf_dir)).withColumn("coverage", F.round("coverage", 6))
+
+
+MARKED_SQL = f"(SELECT '▁' || word AS m, freq FROM {WORDS_SQL})"
+
+
+@register(
+    "bpe_pair_counts",
+    f"""SELECT substring(m, i, 1) AS "left", substring(m, i + 1, 1) AS "right", CAST(sum(freq) AS BIGINT) AS freq
+FROM {MARKED_SQL}, range(1, length(m)) r(i) GROUP BY 1, 2""",
+)
+def bpe_pair_counts(spark, sf_dir):
+    from tandem.operators.vocab import initial_symbols, pair_counts
+
+    wc = shared_word_counts(spark, sf_dir)
+    return pair_counts(wc.select("freq", initial_symbols(F.col("word")).alias("syms")))
+
+
+BPE_ROUNDS = 10
+
+
+@register("bpe_merges")
+def bpe_merges(spark, sf_dir):
+    from tandem.operators.vocab import learn_bpe
+
+    merges, _ = learn_bpe(shared_word_counts(spark, sf_dir), BPE_ROUNDS)
+    return merges
+
+
+SEED_SIZE = 20000
+
+
+@register(
+    "unigram_seed",
+    f"""WITH subs AS (SELECT substring(m, i, l) AS piece, CAST(sum(freq) AS BIGINT) AS freq
+  FROM {MARKED_SQL}, range(1, length(m) + 1) a(i), range(1, 9) b(l) WHERE i + l - 1 <= length(m) GROUP BY 1)
+SELECT piece, freq FROM (SELECT piece, freq FROM subs ORDER BY freq DESC, piece LIMIT {SEED_SIZE})
+UNION SELECT piece, freq FROM subs WHERE length(piece) = 1""",
+)
+def unigram_seed(spark, sf_dir):
+    from tandem.operators.vocab import unigram_seed as us
+
+    return us(shared_word_counts(spark, sf_dir), SEED_SIZE)
+
+
+@register("unigram_vocab")
+def unigram_vocab(spark, sf_dir):
+    from tandem.operators.vocab import learn_unigram
+
+    return learn_unigram(shared_word_counts(spark, sf_dir), 2000, rounds=2, seed_size=SEED_SIZE)
+
+
+@register("encode_counts")
+def encode_counts(spark, sf_dir):
+    from tandem.operators.vocab import encode, learn_bpe
+
+    _, words_tbl = learn_bpe(shared_word_counts(spark, sf_dir), BPE_ROUNDS)
+    return encode(shared_clean(spark, sf_dir), words_tbl, pieces_col="syms").select("sid", "n_pieces")
+
+
+def _vocab_file(spark, sf_dir) -> str:
+    """Write a scored vocabulary file derived from the shared word counts; return its path."""
+    from tandem.operators.vocab import RESERVED_PIECES, top_k
+    from tandem.session import shared_dir
+
+    wc = shared_word_counts(spark, sf_dir)
+    total = wc.select(F.sum("freq")).scalar()
+    top = top_k(wc, VOCAB_SIZE).select(
+        F.concat_ws("\t", "word", F.round(F.log(F.col("freq") / total), 6).cast("string")).alias("value")
+    )
+    reserved = spark.createDataFrame([(f"{p}\t0",) for p in RESERVED_PIECES], "value string")
+    malformed = spark.createDataFrame([("lonely",), ("word notanumber",)], "value string")
+    path = shared_dir(spark, "vocab")
+    reserved.unionByName(top).unionByName(malformed).write.mode("overwrite").option("lineSep", "\n").text(path)
+    return path
+
+
+SCORES_SQL = f"""(SELECT word AS piece, round(ln(freq / tot), 6) AS score
+  FROM (SELECT word, freq FROM {WORDS_SQL} ORDER BY freq DESC, word LIMIT {VOCAB_SIZE}), (SELECT sum(freq) AS tot FROM {WORDS_SQL})
+  UNION ALL SELECT * FROM (VALUES ('<unk>', 0.0), ('<s>', 0.0), ('</s>', 0.0)) v(piece, score))"""
+
+
+@register("scan_vocab", f"SELECT piece, score FROM {SCORES_SQL}")
+def scan_vocab(spark, sf_dir):
+    from tandem.operators.vocab import read_vocab
+
+    return read_vocab(spark, _vocab_file(spark, sf_dir))
+
+
+@register("vocab_omit_reserved", f"SELECT piece, score FROM {SCORES_SQL} WHERE piece NOT IN ('<unk>', '<s>', '</s>')")
+def vocab_omit_reserved(spark, sf_dir):
+    from tandem.operators.vocab import read_vocab
+
+    return filters.omit_reserved(read_vocab(spark, _vocab_file(spark, sf_dir)))
+
+
+FREQ_SQL = f"SELECT piece, CAST(trunc(exp(score) * 1000000) AS BIGINT) + 1 AS freq FROM {SCORES_SQL} WHERE piece NOT IN ('<unk>', '<s>', '</s>')"
+
+
+@register("vocab_frequency", FREQ_SQL)
+def vocab_frequency(spark, sf_dir):
+    from tandem.operators.vocab import read_vocab, to_trainer_vocab
+
+    return to_trainer_vocab(read_vocab(spark, _vocab_file(spark, sf_dir)))
+
+
+@register("write_vocab", FREQ_SQL)
+def write_vocab(spark, sf_dir):
+    from tandem.operators.vocab import read_vocab, to_trainer_vocab
+    from tandem.session import shared_dir
+    from tandem.sources.sinks import read_tsv_vocab
+    from tandem.sources.sinks import write_vocab as wv
+
+    path = shared_dir(spark, "trainer-vocab")
+    wv(to_trainer_vocab(read_vocab(spark, _vocab_file(spark, sf_dir))), path)
+    return read_tsv_vocab(spark, path)
+
+
+# ---- sinks and file plans ------------------------------------------------------------------
+
+
+@register(
+    "write_aligned",
+    f"""SELECT shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY id) - 1 AS BIGINT) AS line_no, src AS "user", tgt AS assistant
+FROM (SELECT *, CAST(floor(id / {GAP}) AS BIGINT) AS shard FROM {KEPT_SQL})""",
+)
+def write_aligned(spark, sf_dir):
+    from tandem.plans.corpus import export_aligned
+    from tandem.session import shared_dir
+    from tandem.sources.sinks import read_aligned
+
+    out = shared_dir(spark, "aligned")
+    export_aligned(fx.conversation_collections(spark, sf_dir), ["user", "assistant"], out, shard_width=GAP)
+    return read_aligned(spark, out, ["user", "assistant"])
+
+
+SPLIT_SHARD = 1000
+
+
+@register(
+    "write_splits",
+    f"""SELECT split, shard, CAST(row_number() OVER (PARTITION BY split, shard ORDER BY pos) - 1 AS BIGINT) AS line_no, src, tgt
+FROM (SELECT *, CAST(floor(pos / {SPLIT_SHARD}) AS BIGINT) AS shard FROM ({_split_sql(CLEAN_PAIRS_SQL, N_VALID)}))""",
+)
+def write_splits(spark, sf_dir):
+    from tandem.plans.corpus import write_splits as ws
+    from tandem.session import shared_dir
+    from tandem.sources.sinks import read_aligned
+
+    out = shared_dir(spark, "splits")
+    ws(split.train_valid_split(clean_line_pairs(spark, sf_dir), N_VALID, seed=SEED), out, shard_width=SPLIT_SHARD)
+    return read_aligned(spark, out, ["src", "tgt"], extra_partitions=["split"])
+
+
+def _write_document_files(spark, sf_dir) -> str:
+    """Line files ``doc<k>.src`` / ``doc<k>.tgt`` from the document pairs, in a shared folder."""
+    from tandem.session import shared_dir
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    named = docs.select(
+        F.concat(
+            F.lit("doc"), F.floor(F.col("doc_id") / 2).cast("string"), F.lit("."),
+            F.when(F.col("doc_id") % 2 == 0, F.lit("src")).otherwise(F.lit("tgt")),
+        ).alias("file"),
+        # a text file holds the document's lines; a final newline ends the last line
+        F.regexp_replace(F.col("text"), "\n$", "").alias("value"),
+    )
+    path = shared_dir(spark, "linefiles")
+    named.repartition("file").write.mode("overwrite").partitionBy("file").option("lineSep", "\n").text(path)
+    return path
+
+
+@register("discover_pairs")
+def discover_pairs(spark, sf_dir):
+    from tandem.sources.lines import discover_pairs as dp
+
+    pairs, _ = dp(spark, _write_document_files(spark, sf_dir), "src", "tgt")
+    return pairs
+
+
+def _file_pairs_sql() -> str:
+    # the dataset name of pair k is 'doc<k>'; lines as in the documents
+    return (
+        f"(SELECT 'doc' || CAST(s.dataset AS VARCHAR) AS dataset, s.line_no, s.line AS src, t.line AS tgt FROM {fx.SRC_LINES_SQL} s "
+        f"JOIN {fx.TGT_LINES_SQL} t ON s.dataset = t.dataset AND s.line_no = t.line_no "
+        f"WHERE NOT {S.is_blank('s.line')} AND NOT {S.is_blank('t.line')})"
+    )
+
+
+@register(
+    "split_files",
+    f"""SELECT dataset, line_no, cpos, pos, CASE WHEN pos < {N_VALID} THEN 'valid' ELSE 'train' END AS split FROM (
+  SELECT *, CAST(row_number() OVER (ORDER BY {S.perm_key(SEED, 'cpos')}, cpos) - 1 AS BIGINT) AS pos FROM (
+    SELECT dataset, line_no, CAST(row_number() OVER (ORDER BY dataset, line_no) - 1 AS BIGINT) AS cpos FROM {_file_pairs_sql()}))""",
+)
+def split_files(spark, sf_dir):
+    from tandem.plans.corpus import read_pair_files, shuffle_split
+
+    pairs = read_pair_files(spark, _write_document_files(spark, sf_dir), "src", "tgt")
+    return shuffle_split(pairs, N_VALID, seed=SEED).select("dataset", "line_no", "cpos", "pos", "split")

@@ -22,6 +22,7 @@ def local_session(cpus: int | None = None, app: str = "tandem") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("TANDEM_DRIVER_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", str(cpus))
