@@ -15,6 +15,12 @@ WS_CLASS = (
     r"[\t\n\x0b\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# The same set as a plain string of characters, for ``btrim`` (no regex needed).
+WS_CHARS = (
+    "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 STRIP_PATTERN = rf"^{WS_CLASS}+|{WS_CLASS}+$"
 BLANK_PATTERN = rf"^{WS_CLASS}*$"
 # Control characters the cleaner turns into spaces: CR, LF, TAB, NUL.
@@ -28,14 +34,14 @@ def _c(x) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Strip Unicode whitespace at both ends (``trim`` only strips U+0020)."""
-    return F.regexp_replace(_c(c), STRIP_PATTERN, "")
+    """Strip Unicode whitespace at both ends (plain ``trim`` only strips U+0020)."""
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def is_blank(c) -> Column:
     """True for NULL, empty, or whitespace-only text."""
     c = _c(c)
-    return c.isNull() | c.rlike(BLANK_PATTERN)
+    return c.isNull() | (strip_ws(c) == F.lit(""))
 
 
 def is_missing(c) -> Column:
@@ -51,23 +57,29 @@ def sanitize(c, squeeze: str = "full") -> Column:
     ``squeeze="compat"``: one left-to-right pass of ``"  " -> " "`` (a run of n spaces
     becomes ceil(n/2) spaces), the behaviour of the original cleaner.
     """
-    t = F.regexp_replace(_c(c), CONTROL_PATTERN, " ")
     if squeeze == "full":
-        t = F.regexp_replace(t, " {2,}", " ")
-    elif squeeze == "compat":
+        # controls become spaces and runs of spaces become one: a single pass over
+        # runs of controls and spaces gives the same text
+        return strip_ws(F.regexp_replace(_c(c), r"[\r\n\t\x00 ]+", " "))
+    t = F.regexp_replace(_c(c), CONTROL_PATTERN, " ")
+    if squeeze == "compat":
         t = F.replace(t, F.lit("  "), F.lit(" "))
     elif squeeze != "none":
         raise ValueError(f"unknown squeeze mode {squeeze!r}")
     return strip_ws(t)
 
 
+def spaces_only(c) -> Column:
+    """Every whitespace character of the set replaced by U+0020 (a code-point map)."""
+    return F.translate(_c(c), WS_CHARS, " " * len(WS_CHARS))
+
+
 def words(c) -> Column:
-    """Whitespace tokens of a (cleaned) text as an array; empty text gives []."""
-    c = _c(c)
-    s = strip_ws(c)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(
-        F.split(s, rf"{WS_CLASS}+", -1)
-    )
+    """Whitespace tokens of a text as an array (``str.split()`` semantics); blank gives [].
+
+    Whitespace is mapped to U+0020 first, so the split is on a single literal character.
+    """
+    return F.filter(F.split(spaces_only(c), " ", -1), lambda t: t != F.lit(""))
 
 
 def n_words(c) -> Column:
