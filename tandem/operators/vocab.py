@@ -225,9 +225,9 @@ def learn_unigram(
     with ``score = ln(share)``."""
     counts = counts.checkpoint(eager=True)
     seed = unigram_seed(counts, seed_size or vocab_size * 4, max_piece_len)
-    tot = Window.partitionBy(F.lit(1))
-    vocab = seed.select("piece", F.log(F.col("freq") / F.sum("freq").over(tot)).alias("score"))
-    vocab = vocab.checkpoint(eager=True)
+    total = seed.select(F.sum("freq")).scalar()
+    vocab = seed.select("piece", F.log(F.col("freq") / total).alias("score")).checkpoint(eager=True)
+    characters = seed.where(F.char_length("piece") == 1).select("piece")  # always kept
     for _ in range(rounds):
         seg = segment_words(counts, vocab, max_piece_len)
         used = (
@@ -235,9 +235,13 @@ def learn_unigram(
             .groupBy("piece")
             .agg(F.sum("freq").alias("freq"))
         )
-        scored = used.select("piece", F.log(F.col("freq") / F.sum("freq").over(tot)).alias("score"))
+        total = used.select(F.sum("freq")).scalar()
+        scored = used.select("piece", F.log(F.col("freq") / total).alias("score"))
         keep = top_k(scored.withColumnRenamed("score", "s"), vocab_size, "piece", "s").withColumnRenamed("s", "score")
-        singles = scored.where(F.char_length("piece") == 1)
+        floor = F.log(F.lit(0.5) / total)  # total is a scalar subquery
+        singles = characters.join(scored, on="piece", how="left").select(
+            "piece", F.coalesce(F.col("score"), floor).alias("score")
+        )
         vocab = keep.unionByName(singles).dropDuplicates(["piece"]).checkpoint(eager=True)
     return vocab
 
