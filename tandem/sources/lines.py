@@ -123,3 +123,12 @@ def line_stats(lines: DataFrame, keys: Sequence[str], line_col: str = "line") ->
         F.max_by(F.col(line_col), F.col("line_no")).alias("last_line"),
         F.sum(F.octet_length(F.col(line_col)) + F.lit(1)).cast("bigint").alias("n_bytes"),
     )
+
+
+def list_checkpoints(spark: SparkSession, folder: str, suffix: str = ".pt", exclude: str = "averaged.pt", rule: str = "step") -> DataFrame:
+    """``(path, length, step)`` of the model checkpoints in a folder (file contents are
+    never read); the averaged model is left out. See ``step_number`` for the rules."""
+    from tandem.functions.text import step_number
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder).select("path", "length")
+    return files.where(~F.col("path").contains(exclude)).withColumn("step", step_number(F.col("path"), rule))
