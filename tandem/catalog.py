@@ -295,8 +295,7 @@ def lookup_array(spark, sf_dir):
 def unwind(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").select("o_orderkey")
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    u = align.unwind(align.lookup_array(o, li, "o_orderkey", "l_orderkey", "items"), "items")
-    return u.select("o_orderkey", F.col("items.l_linenumber").alias("l_linenumber"), F.col("items.l_quantity").alias("l_quantity"))
+    return align.lookup_unwind(o, li, "o_orderkey", "l_orderkey").select("o_orderkey", "l_linenumber", "l_quantity")
 
 
 @register("zip_lines", f"SELECT * FROM {fx.LINE_PAIRS_SQL}")
@@ -440,7 +439,9 @@ def sort_by_embedded_number(spark, sf_dir):
 
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", first_number("url").alias("num"))
     bucket = F.struct(F.coalesce(F.col("num"), F.lit(-1)).alias("n"), F.floor(F.col("page_id") / 1000000).alias("b"))
-    out = position.global_position(pages, [F.col("num").asc_nulls_first(), F.col("page_id")], bucket)
+    out = position.global_position(
+        pages, [F.col("num").asc_nulls_first(), F.col("page_id")], bucket, super_bucket=lambda b: F.floor(b["n"] / 4096)
+    )
     return out.select("page_id", "url", "num", "pos")
 
 

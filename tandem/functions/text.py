@@ -91,12 +91,8 @@ def n_bytes(c) -> Column:
 
 
 def chars(c) -> Column:
-    """Array of the code points of a string (Spark ``substring`` counts code points)."""
-    c = _c(c)
-    return F.transform(
-        F.sequence(F.lit(1), F.greatest(F.char_length(c), F.lit(1))),
-        lambda i: F.substring(c, i, 1),
-    )
+    """Array of the code points of a string (surrogate pairs stay whole); '' gives ['']."""
+    return F.split(_c(c), "", -1)
 
 
 def first_number(c) -> Column:

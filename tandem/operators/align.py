@@ -47,6 +47,12 @@ def lookup_array(
     return j.withColumn(as_col, F.coalesce(F.col(as_col), F.array().cast(elem)))
 
 
+def lookup_unwind(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``unwind(lookup_array(...))`` without building arrays: the same rows as an inner
+    equi-join, so no key's matches are ever gathered in one row or task."""
+    return left.join(right, left[left_key] == right[right_key], "inner")
+
+
 def unwind(df: DataFrame, array_col: str) -> DataFrame:
     """One row per array element; rows with an empty array are dropped (not kept as NULL)."""
     return df.withColumn(array_col, F.explode(F.col(array_col)))

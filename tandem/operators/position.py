@@ -4,8 +4,9 @@
 sorts the whole table in one task: rows are grouped into buckets whose key is monotone
 in the order, bucket sizes are counted (a small table), a running sum over that small
 table gives each bucket its first position, and ``row_number`` runs inside each bucket.
-The data itself is shuffled once, on the bucket key; the count table and the row
-numbering both reuse that partitioning.
+The full rows are shuffled once, on the bucket key, and the row numbering reuses that
+partitioning; the count pass reads only the columns the bucket needs and aggregates
+partially before its own small shuffle.
 """
 
 from __future__ import annotations
@@ -103,9 +104,18 @@ def permute(
     return out if key_col else out.drop(key)
 
 
-def position_by_id(df: DataFrame, id_col: str = "id", width: int = 100000, pos_col: str = "pos") -> DataFrame:
-    """Rank rows by a numeric id (the sorted-export order) with id-range buckets."""
-    return global_position(df, [F.col(id_col)], range_bucket(id_col, width), pos_col=pos_col)
+def position_by_id(
+    df: DataFrame, id_col: str = "id", width: int = 100000, pos_col: str = "pos", super_width: int = 65536
+) -> DataFrame:
+    """Rank rows by a numeric id (the sorted-export order) with id-range buckets; bucket
+    offsets are summed in two levels, so a wide id span never lands in one task."""
+    return global_position(
+        df,
+        [F.col(id_col)],
+        range_bucket(id_col, width),
+        pos_col=pos_col,
+        super_bucket=lambda b: F.floor(b / F.lit(super_width)),
+    )
 
 
 def latest_n(
@@ -130,9 +140,10 @@ def cap_per_group(
     bucket: Column,
     max_rows: int,
     pos_col: str = "pos",
+    super_bucket=None,
 ) -> DataFrame:
     """First ``max_rows`` rows of every group in ``order_cols`` order (0 = no cap)."""
-    out = global_position(df, order_cols, bucket, partition_by=[group_col], pos_col=pos_col)
+    out = global_position(df, order_cols, bucket, partition_by=[group_col], pos_col=pos_col, super_bucket=super_bucket)
     return out if max_rows <= 0 else out.where(F.col(pos_col) < F.lit(max_rows))
 
 

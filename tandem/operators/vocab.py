@@ -71,15 +71,17 @@ def initial_symbols(word: Column) -> Column:
 
 
 def pair_counts(symbol_words: DataFrame, syms_col: str = "syms", freq_col: str = "freq") -> DataFrame:
-    """``(left, right, freq)``: adjacent symbol pairs weighted by word frequency."""
+    """``(left, right, freq)``: adjacent symbol pairs weighted by word frequency.
+
+    Pairs come from zipping the symbol array with itself shifted by one (no lambda).
+    """
     s = F.col(syms_col)
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size(s) - 1),
-        lambda i: F.struct(F.element_at(s, i).alias("left"), F.element_at(s, i + 1).alias("right")),
+    n = F.size(s) - 1
+    shifted = symbol_words.where(F.size(s) >= 2).select(
+        F.slice(s, 1, n).alias("left"), F.slice(s, 2, n).alias("right"), F.col(freq_col).alias("f")
     )
     return (
-        symbol_words.where(F.size(s) >= 2)
-        .select(F.explode(pairs).alias("p"), F.col(freq_col).alias("f"))
+        shifted.select(F.explode(F.arrays_zip("left", "right")).alias("p"), "f")
         .groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right"))
         .agg(F.sum("f").cast("bigint").alias("freq"))
     )

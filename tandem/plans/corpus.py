@@ -77,13 +77,20 @@ def shuffle_split(
     kept = filters.drop_blank_pairs(pairs.where(F.col("src").isNotNull() & F.col("tgt").isNotNull()))
     if max_lines > 0:
         kept = position.cap_per_group(
-            kept, "dataset", [F.col("line_no")], F.floor(F.col("line_no") / F.lit(block)), max_lines, pos_col="_dpos"
+            kept,
+            "dataset",
+            [F.col("line_no")],
+            F.floor(F.col("line_no") / F.lit(block)),
+            max_lines,
+            pos_col="_dpos",
+            super_bucket=lambda b: F.floor(b / F.lit(65536)),
         ).drop("_dpos")
     concat = position.global_position(
         kept,
         [F.col("dataset"), F.col("line_no")],
         F.struct(F.col("dataset"), F.floor(F.col("line_no") / F.lit(block)).alias("b")),
         pos_col="cpos",
+        super_bucket=lambda b: b["dataset"],
     )
     return split.train_valid_split(concat, n_valid, id_col="cpos", seed=seed)
 

@@ -54,3 +54,15 @@ def test_entry_smoke(spark):
     assert df.columns == ["id", "src", "tgt", "split", "pos"]
     assert sum(r.split == "valid" for r in rows) == min(10, len(rows))
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_pair_files_cap(spark, tmp_out):
+    d = f"{tmp_out}/capped"
+    os.makedirs(d)
+    open(f"{d}/x.en", "w").write("a\nb\n\nc\n")
+    open(f"{d}/x.de", "w").write("A\nB\nX\nC\n")
+    open(f"{d}/y.en", "w").write("e\n")
+    open(f"{d}/y.de", "w").write("E\n")
+    out = shuffle_split(read_pair_files(spark, d, "en", "de"), 1, max_lines=2).collect()
+    # the cap counts lines after the blank drop, per dataset
+    assert sorted((r.src, r.tgt) for r in out) == [("a", "A"), ("b", "B"), ("e", "E")]
