@@ -51,3 +51,13 @@ def test_dedup_keeps_lowest_id(spark):
     assert sorted(tuple(r) for r in dedup_pairs(df).collect()) == [(1, "b", "x"), (2, "a", "x"), (3, "a", "y")]
     assert sorted(r.id for r in dedup_pairs(df, key="src").collect()) == [1, 2]
     assert dedup_pairs(df.repartition(3)).orderBy("id").collect() == dedup_pairs(df.coalesce(1)).orderBy("id").collect()
+
+
+def test_language_code_validation(spark):
+    from tandem.sources.collections import language_dim, require_known_codes, unpivot_names
+
+    require_known_codes(spark, ["en", "zh"])
+    with pytest.raises(KeyError, match="xx"):
+        require_known_codes(spark, ["en", "xx"])
+    names = {(r.code, r.display_lang): r.name for r in unpivot_names(language_dim(spark)).collect()}
+    assert names[("de", "en")] == "German"
