@@ -47,7 +47,9 @@ def _running_offsets(counts: DataFrame, parts: list[str], super_bucket) -> DataF
         running = Window.partitionBy(*parts).orderBy(_B).rowsBetween(before, -1)
         return counts.select(*parts, _B, F.coalesce(F.sum(_N).over(running), F.lit(0)).cast("bigint").alias(_OFF))
     s = "_tandem_sup"
-    c = counts.withColumn(s, super_bucket(F.col(_B)))
+    # the count table is read twice below; write it once (it is one row per bucket)
+    # instead of recomputing it from the source for each read
+    c = counts.checkpoint(eager=True).withColumn(s, super_bucket(F.col(_B)))
     local = Window.partitionBy(*parts, s).orderBy(_B).rowsBetween(before, -1)
     c = c.withColumn("_tandem_loc", F.coalesce(F.sum(_N).over(local), F.lit(0)))
     sup = c.groupBy(*parts, s).agg(F.sum(_N).alias("_tandem_sn"))
@@ -75,8 +77,10 @@ def global_position(
     when the number of buckets itself grows with the data.
     """
     parts = list(partition_by)
-    keyed = df.withColumn(_B, bucket).repartition(*parts, _B)
-    counts = keyed.groupBy(*parts, _B).agg(F.count(F.lit(1)).alias(_N))
+    with_bucket = df.withColumn(_B, bucket)
+    # counted before the repartition, so the count pass aggregates map-side first
+    counts = with_bucket.groupBy(*parts, _B).agg(F.count(F.lit(1)).alias(_N))
+    keyed = with_bucket.repartition(*parts, _B)
     offsets = _running_offsets(counts, parts, super_bucket)
     joined = keyed.join(offsets, on=[*parts, _B], how="inner")
     within = Window.partitionBy(*parts, _B).orderBy(*order_cols)
