@@ -793,23 +793,42 @@ def write_splits(spark, sf_dir):
 
 
 def _write_document_files(spark, sf_dir) -> str:
-    """Line files ``doc<k>.src`` / ``doc<k>.tgt`` from the document pairs, in a shared folder."""
+    """Line files of document pairs in a shared folder: pair ``k`` (documents ``2k`` and
+    ``2k+1``) belongs to dataset ``set<k mod 16>``; ``set<j>.src`` holds the lines of its
+    even documents and ``set<j>.tgt`` those of the odd ones, in document order. Each
+    entry is a folder of part files, one per zero-padded shard of documents, so no
+    single task writes a whole dataset."""
     from tandem.session import shared_dir
+    from tandem.sources.lines import split_lines
 
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    named = docs.select(
-        F.concat(
-            F.lit("doc"), F.floor(F.col("doc_id") / 2).cast("string"), F.lit("."),
-            F.when(F.col("doc_id") % 2 == 0, F.lit("src")).otherwise(F.lit("tgt")),
-        ).alias("file"),
-        # a text file holds the document's lines; a final newline ends the last line
-        F.regexp_replace(F.col("text"), "\n$", "").alias("value"),
+    lines = split_lines(docs, "text", ["doc_id"])
+    dataset = F.concat(F.lit("set"), (F.floor(F.col("doc_id") / 2) % N_FILE_SETS).cast("string"))
+    named = lines.select(
+        F.concat(dataset, F.lit("."), F.when(F.col("doc_id") % 2 == 0, F.lit("src")).otherwise(F.lit("tgt"))).alias("file"),
+        # about FILE_SHARD_DOCS documents of one file per shard
+        F.lpad(F.floor(F.col("doc_id") / (FILE_SHARD_DOCS * 2 * N_FILE_SETS)).cast("string"), 12, "0").alias("shard"),
+        "doc_id",
+        "line_no",
+        F.col("line").alias("value"),
     )
     path = shared_dir(spark, "linefiles")
-    named.repartition("file").write.mode("overwrite").partitionBy("file").option("lineSep", "\n").text(path)
+    (
+        named.repartition("file", "shard")
+        .sortWithinPartitions("file", "shard", "doc_id", "line_no")
+        .select("file", "shard", "value")
+        .write.mode("overwrite")
+        .partitionBy("file", "shard")
+        .option("lineSep", "\n")
+        .text(path)
+    )
     return path
 
 
+FILE_SHARD_DOCS = 64
+N_FILE_SETS = 16
+
+
 @register("discover_pairs")
 def discover_pairs(spark, sf_dir):
     from tandem.sources.lines import discover_pairs as dp
@@ -818,12 +837,18 @@ def discover_pairs(spark, sf_dir):
     return pairs
 
 
+def _file_lines_sql() -> str:
+    return f"""(SELECT 'set' || CAST((doc_id // 2) % {N_FILE_SETS} AS VARCHAR) AS source, doc_id % 2 AS side, line,
+    row_number() OVER (PARTITION BY (doc_id // 2) % {N_FILE_SETS}, doc_id % 2 ORDER BY doc_id, line_no) - 1 AS ln
+  FROM {fx.DOC_LINES_SQL})"""
+
+
 def _file_pairs_sql() -> str:
-    # the dataset name of pair k is 'doc<k>'; lines as in the documents
+    # dataset = source; line i of the even documents' file with line i of the odd ones'
     return (
-        f"(SELECT 'doc' || CAST(s.dataset AS VARCHAR) AS dataset, s.line_no, s.line AS src, t.line AS tgt FROM {fx.SRC_LINES_SQL} s "
-        f"JOIN {fx.TGT_LINES_SQL} t ON s.dataset = t.dataset AND s.line_no = t.line_no "
-        f"WHERE NOT {S.is_blank('s.line')} AND NOT {S.is_blank('t.line')})"
+        f"(SELECT s.source AS dataset, CAST(s.ln AS BIGINT) AS line_no, s.line AS src, t.line AS tgt "
+        f"FROM {_file_lines_sql()} s JOIN {_file_lines_sql()} t ON s.source = t.source AND s.ln = t.ln "
+        f"WHERE s.side = 0 AND t.side = 1 AND NOT {S.is_blank('s.line')} AND NOT {S.is_blank('t.line')})"
     )
 
 
