@@ -43,6 +43,7 @@ MAX_BYTES = 8192
 MAX_LEN = 5000
 GAP = 10000  # id range width for batch reports over conversation ids
 ORDER_RANGE = (3000, 12000)  # one half-open id batch over orders
+EXPORT_SHARD = 100000  # ids per aligned shard file
 
 
 # ---- flagship: keyed collections -> join -> clean -> permute -> exact split ----------
@@ -762,7 +763,7 @@ def write_vocab(spark, sf_dir):
 @register(
     "write_aligned",
     f"""SELECT shard, CAST(row_number() OVER (PARTITION BY shard ORDER BY id) - 1 AS BIGINT) AS line_no, src AS "user", tgt AS assistant
-FROM (SELECT *, CAST(floor(id / {GAP}) AS BIGINT) AS shard FROM {KEPT_SQL})""",
+FROM (SELECT *, CAST(floor(id / {EXPORT_SHARD}) AS BIGINT) AS shard FROM {KEPT_SQL})""",
 )
 def write_aligned(spark, sf_dir):
     from tandem.plans.corpus import export_aligned
@@ -770,11 +771,11 @@ def write_aligned(spark, sf_dir):
     from tandem.sources.sinks import read_aligned
 
     out = shared_dir(spark, "aligned")
-    export_aligned(fx.conversation_collections(spark, sf_dir), ["user", "assistant"], out, shard_width=GAP)
+    export_aligned(fx.conversation_collections(spark, sf_dir), ["user", "assistant"], out, shard_width=EXPORT_SHARD)
     return read_aligned(spark, out, ["user", "assistant"])
 
 
-SPLIT_SHARD = 1000
+SPLIT_SHARD = 10000  # positions per split shard file
 
 
 @register(

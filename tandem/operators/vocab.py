@@ -140,16 +140,12 @@ def learn_bpe(counts: DataFrame, rounds: int, checkpoint_every: int = 5) -> tupl
 
 
 def substrings(word: Column, max_len: int = 8) -> Column:
-    """All substrings of up to ``max_len`` characters (code points) of a word."""
-    n = F.char_length(word)
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), n),
-            lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(max_len), n - i + 1)), lambda ln: F.substring(word, i, ln)
-            ),
-        )
-    )
+    """All substrings of up to ``max_len`` characters (code points) of a word.
+
+    For each length a zero-width lookahead regex yields every overlapping substring in
+    one native pass (no per-element lambda).
+    """
+    return F.concat(*[F.regexp_extract_all(word, F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in range(1, max_len + 1)])
 
 
 def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8) -> DataFrame:

@@ -60,5 +60,18 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base}/tandem-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the session has cores.
+
+    A small table stored as one row group is read by one task, and the per-row work
+    after it (cleaning, line splitting, word explosion) would run single-threaded. At
+    cluster scale a scan has far more splits than cores and this is a no-op.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
