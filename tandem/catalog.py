@@ -864,3 +864,21 @@ def split_files(spark, sf_dir):
 
     pairs = read_pair_files(spark, _write_document_files(spark, sf_dir), "src", "tgt")
     return shuffle_split(pairs, N_VALID, seed=SEED).select("dataset", "line_no", "cpos", "pos", "split")
+
+
+@register("filter_too_long_pieces")
+def filter_too_long_pieces(spark, sf_dir):
+    """Too-long filter on subword counts: both sides encoded with a BPE model learned on
+    the pairs' own words, then ``n_src, n_tgt <= 5000`` pieces."""
+    from tandem.operators.vocab import encode, learn_bpe, word_counts
+
+    pairs = fx.document_pairs(spark, sf_dir)
+    shared = setops.shared_sentences(pairs)
+    _, words_tbl = learn_bpe(word_counts(shared), BPE_ROUNDS)
+    enc = encode(shared.withColumn("sid", F.col("id") * 2 + F.when(F.col("side") == "tgt", 1).otherwise(0)), words_tbl, pieces_col="syms")
+    counts = enc.select(
+        F.floor(F.col("sid") / 2).cast("bigint").alias("id"),
+        F.when(F.col("sid") % 2 == 0, F.col("n_pieces")).alias("n_src"),
+        F.when(F.col("sid") % 2 == 1, F.col("n_pieces")).alias("n_tgt"),
+    ).groupBy("id").agg(F.max("n_src").alias("n_src"), F.max("n_tgt").alias("n_tgt"))
+    return filters.filter_too_long(counts.na.fill(0, ["n_src", "n_tgt"]), MAX_LEN, cols=("src", "tgt"), unit="pieces")

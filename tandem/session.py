@@ -44,14 +44,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
     Only when it is unset (local tests) is a fresh local folder created.
     """
-    sc = spark.sparkContext
-    cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        sc = None
+    cur = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
         cur = tempfile.mkdtemp(prefix="tandem-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", cur)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(cur)
-    return sc.getCheckpointDir() or cur
+    return (sc.getCheckpointDir() if sc is not None else None) or cur
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
@@ -67,9 +70,12 @@ def spread(df: DataFrame) -> DataFrame:
     after it (cleaning, line splitting, word explosion) would run single-threaded. At
     cluster scale a scan has far more splits than cores and this is a no-op.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores)
+    except Exception:  # no local SparkContext (Spark Connect): leave the scan as it is
+        pass
     return df
 
 
