@@ -148,9 +148,15 @@ def substrings(word: Column, max_len: int = 8) -> Column:
     return F.concat(*[F.regexp_extract_all(word, F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in range(1, max_len + 1)])
 
 
-def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8) -> DataFrame:
+def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8, materialize: bool = True) -> DataFrame:
     """Seed pieces for the unigram model (Kudo, 2018): the most frequent substrings of the
-    marked words, weighted by word frequency, plus every single character."""
+    marked words, weighted by word frequency, plus every single character.
+
+    The word table feeds two branches (substrings for the top-k, characters); with
+    ``materialize`` it is checkpointed once, so the corpus is not re-counted per branch.
+    """
+    if materialize:
+        counts = counts.checkpoint(eager=True)
     marked = F.concat(F.lit(WORD_START), F.col("word"))
     subs = (
         counts.select(F.explode(substrings(marked, max_piece_len)).alias("piece"), "freq")
@@ -158,7 +164,13 @@ def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8) -> D
         .agg(F.sum("freq").cast("bigint").alias("freq"))
     )
     top = top_k(subs, seed_size, "piece")
-    singles = subs.where(F.char_length("piece") == 1)
+    # characters come from the (materialized) word table, so the large substring table
+    # has a single consumer; a character's count is the same either way
+    singles = (
+        counts.select(F.explode(chars(marked)).alias("piece"), "freq")
+        .groupBy("piece")
+        .agg(F.sum("freq").cast("bigint").alias("freq"))
+    )
     return top.unionByName(singles).dropDuplicates(["piece"])
 
 
@@ -222,7 +234,7 @@ def learn_unigram(
     M-step, prune to ``vocab_size`` keeping all characters). Returns ``(piece, score)``
     with ``score = ln(share)``."""
     counts = counts.checkpoint(eager=True)
-    seed = unigram_seed(counts, seed_size or vocab_size * 4, max_piece_len)
+    seed = unigram_seed(counts, seed_size or vocab_size * 4, max_piece_len, materialize=False)
     total = seed.select(F.sum("freq")).scalar()
     vocab = seed.select("piece", F.log(F.col("freq") / total).alias("score")).checkpoint(eager=True)
     characters = seed.where(F.char_length("piece") == 1).select("piece")  # always kept
