@@ -79,5 +79,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+# Tables whose rows carry whole texts: heavy per-row work (cleaning, splitting,
+# exploding) follows their scans, so a single-split scan is spread over the cores.
+TEXT_TABLES = frozenset({"documents", "conversations", "pages", "benchmark"})
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
