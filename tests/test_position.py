@@ -60,3 +60,13 @@ def test_latest_n_and_group_limit(spark):
     out = latest_n(df, ["u"], ["t"], 2)
     assert sorted((r.u, r.t) for r in out.collect()) == [(u, t) for u in range(3) for t in (8, 9)]
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_approx_sample_is_seeded_and_near_fraction(spark):
+    from tandem.operators.split import approx_sample
+
+    df = spark.range(0, 20000)
+    a = {r.id for r in approx_sample(df, 0.1).collect()}
+    b = {r.id for r in approx_sample(df.repartition(5), 0.1).collect()}
+    assert a == b
+    assert 1700 < len(a) < 2300

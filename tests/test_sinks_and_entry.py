@@ -66,3 +66,17 @@ def test_pair_files_cap(spark, tmp_out):
     out = shuffle_split(read_pair_files(spark, d, "en", "de"), 1, max_lines=2).collect()
     # the cap counts lines after the blank drop, per dataset
     assert sorted((r.src, r.tgt) for r in out) == [("a", "A"), ("b", "B"), ("e", "E")]
+
+
+def test_manifest_round_trip(spark, tmp_out):
+    from tandem.functions.text import version_tag
+    from tandem.sources.sinks import write_manifest
+
+    m = spark.range(1).select(
+        F.lit("en-de").alias("pair"),
+        version_tag(F.to_date(F.lit("2025-02-28")), F.lit(50000), F.lit(200000000), F.lit(False)).alias("version"),
+        F.lit(7).cast("bigint").alias("n_valid"),
+    )
+    write_manifest(m, f"{tmp_out}/manifest")
+    back = spark.read.json(f"{tmp_out}/manifest").first()
+    assert (back.pair, back.version, back.n_valid) == ("en-de", "2502.50.200", 7)
