@@ -100,13 +100,48 @@ def apply_merge(syms: Column, left: str, right: str) -> Column:
     return F.aggregate(syms, F.array().cast("array<string>"), step)
 
 
-def learn_bpe(counts: DataFrame, rounds: int, checkpoint_every: int = 5) -> tuple[DataFrame, DataFrame]:
+def _independent_prefix(top, bound_rows, limit: int) -> list:
+    """The longest prefix of the ranked pairs that sequential BPE would also merge next.
+
+    After merging ``(a, b)`` every new pair is ``(x, ab)`` or ``(ab, y)``, whose count
+    is at most the old count of ``(x, a)`` or ``(b, y)``; pairs without ``a`` or ``b``
+    keep their counts and the rest only lose. So the next ranked pair is merged next
+    by the sequential algorithm too when it shares no symbol with the merges taken so
+    far and its count is strictly above every such bound.
+    """
+    max_right = {r["sym"]: r["as_right"] for r in bound_rows}
+    max_left = {r["sym"]: r["as_left"] for r in bound_rows}
+    first = top[0]
+    taken = [first]
+    used = {first["left"], first["right"]}
+    bound = max(max_right.get(first["left"]) or 0, max_left.get(first["right"]) or 0)
+    for cand in top[1:]:
+        if len(taken) >= limit:
+            break
+        left, right, freq = cand["left"], cand["right"], cand["freq"]
+        if left in used or right in used or freq <= bound:
+            break
+        taken.append(cand)
+        used |= {left, right}
+        bound = max(bound, max_right.get(left) or 0, max_left.get(right) or 0)
+    return taken
+
+
+def learn_bpe(
+    counts: DataFrame,
+    rounds: int,
+    checkpoint_every: int = 5,
+    max_merges_per_round: int = 16,
+) -> tuple[DataFrame, DataFrame]:
     """Byte-pair merges over the distinct-word table (Sennrich et al., 2016).
 
-    Each round counts pairs (one aggregation), takes the single most frequent pair
-    (ties: left, then right, ascending; one row reaches the driver) and rewrites the
-    symbol arrays with a built-in fold. Lineage is cut with a reliable checkpoint every
-    ``checkpoint_every`` rounds. Returns ``(merges, words)``: ranked merges and the final
+    Each round counts pairs (one aggregation) and takes the most frequent pair (ties:
+    left, then right, ascending). With ``max_merges_per_round > 1`` it also takes the
+    following ranked pairs as long as they provably are the sequential algorithm's next
+    merges (see ``_independent_prefix``), so a long run needs far fewer passes with the
+    same result. The symbol arrays are rewritten with a built-in fold. ``rounds`` is the
+    number of merges. Lineage is cut with a reliable checkpoint every
+    ``checkpoint_every`` passes. Returns ``(merges, words)``: ranked merges and the final
     ``(word, freq, syms)`` table.
     """
     spark = counts.sparkSession
@@ -115,23 +150,46 @@ def learn_bpe(counts: DataFrame, rounds: int, checkpoint_every: int = 5) -> tupl
     ensure_checkpoint_dir(spark)
     # the word table is read by every round: materialize it once in the shared folder
     w = counts.select("word", "freq", initial_symbols(F.col("word")).alias("syms")).checkpoint(eager=True)
-    merges = []
+    merges: list = []
     prev = None
-    for r in range(rounds):
-        top = (
-            pair_counts(w)
-            .orderBy(F.col("freq").desc(), F.col("left"), F.col("right"))
-            .limit(1)
-            .collect()
-        )
-        if prev is not None:  # the round's job has materialized ``w``
+    passes = 0
+    while len(merges) < rounds:
+        want = min(max_merges_per_round, rounds - len(merges))
+        pc = pair_counts(w)
+        if want > 1:
+            pc = pc.persist()
+        top = pc.orderBy(F.col("freq").desc(), F.col("left"), F.col("right")).limit(want).collect()
+        if prev is not None:  # the pass has materialized ``w``
             prev.unpersist()
         if not top:
             break
-        left, right, freq = top[0]["left"], top[0]["right"], int(top[0]["freq"])
-        merges.append((r, left, right, left + right, freq))
-        nxt = w.withColumn("syms", apply_merge(F.col("syms"), left, right))
-        if checkpoint_every and (r + 1) % checkpoint_every == 0:
+        if want > 1 and len(top) > 1:
+            syms = sorted({r["left"] for r in top} | {r["right"] for r in top})  # at most 2 * want
+            bound_rows = (
+                pc.where(F.col("left").isin(syms) | F.col("right").isin(syms))
+                .select(
+                    F.explode(
+                        F.array(
+                            F.struct(F.col("right").alias("sym"), F.col("freq").alias("r"), F.lit(0).cast("bigint").alias("l")),
+                            F.struct(F.col("left").alias("sym"), F.lit(0).cast("bigint").alias("r"), F.col("freq").alias("l")),
+                        )
+                    ).alias("x")
+                )
+                .groupBy(F.col("x.sym").alias("sym"))
+                .agg(F.max("x.r").alias("as_right"), F.max("x.l").alias("as_left"))
+                .where(F.col("sym").isin(syms))
+                .collect()
+            )
+            top = _independent_prefix(top, bound_rows, want)
+        if want > 1:
+            pc.unpersist()
+        nxt = w
+        for r in top:
+            left, right = r["left"], r["right"]
+            merges.append((len(merges), left, right, left + right, int(r["freq"])))
+            nxt = nxt.withColumn("syms", apply_merge(F.col("syms"), left, right))
+        passes += 1
+        if checkpoint_every and passes % checkpoint_every == 0:
             prev, w = w, nxt.checkpoint(eager=True)
         else:
             prev, w = w, nxt.persist()

@@ -74,3 +74,18 @@ def test_unigram_and_encode(spark):
     enc = {r.sid: r.pieces for r in encode(df, words, pieces_col="syms").collect()}
     for sid, t in enumerate(text):
         assert "".join(enc[sid]).replace("▁", " ").strip() == t
+
+
+def test_multi_merge_rounds_equal_sequential(spark):
+    import os
+
+    path = "/root/testdata/sf0.001/documents.parquet"
+    if os.path.exists(path):
+        df = spark.read.parquet(path).select("text")
+    else:
+        df = spark.createDataFrame([("low lower lowest newer wider new the then there " * 3,)], "text string")
+    wc = word_counts(df).checkpoint(eager=True)
+    one_m, one_w = learn_bpe(wc, 40, checkpoint_every=10, max_merges_per_round=1)
+    many_m, many_w = learn_bpe(wc, 40, checkpoint_every=3, max_merges_per_round=16)
+    assert [tuple(r) for r in one_m.orderBy("rank").collect()] == [tuple(r) for r in many_m.orderBy("rank").collect()]
+    assert {r.word: list(r.syms) for r in one_w.collect()} == {r.word: list(r.syms) for r in many_w.collect()}
