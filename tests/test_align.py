@@ -61,3 +61,12 @@ def test_language_code_validation(spark):
         require_known_codes(spark, ["en", "xx"])
     names = {(r.code, r.display_lang): r.name for r in unpivot_names(language_dim(spark)).collect()}
     assert names[("de", "en")] == "German"
+
+
+def test_skip_empty_levels(spark):
+    from tandem.operators.filters import skip_empty
+
+    df = spark.createDataFrame([(1, "a", "b"), (2, " ", "c")], "id long, src string, tgt string")
+    assert [r.id for r in skip_empty(df).collect()] == [1]
+    with pytest.raises(Exception, match="empty example"):
+        skip_empty(df, level="error").collect()

@@ -80,3 +80,14 @@ def test_manifest_round_trip(spark, tmp_out):
     write_manifest(m, f"{tmp_out}/manifest")
     back = spark.read.json(f"{tmp_out}/manifest").first()
     assert (back.pair, back.version, back.n_valid) == ("en-de", "2502.50.200", 7)
+
+
+def test_rerun_replaces_only_written_shards(spark, tmp_out):
+    schema = "id long, en string, de string"
+    write_aligned(spark.createDataFrame([(i, f"e{i}", f"d{i}") for i in range(100)], schema), ["en", "de"], f"{tmp_out}/k2", shard_width=50)
+    # a later id range, then a corrected first range: other shards stay as they are
+    write_aligned(spark.createDataFrame([(i, f"e{i}", f"d{i}") for i in range(100, 150)], schema), ["en", "de"], f"{tmp_out}/k2", shard_width=50)
+    write_aligned(spark.createDataFrame([(i, f"E{i}", f"D{i}") for i in range(50)], schema), ["en", "de"], f"{tmp_out}/k2", shard_width=50)
+    back = read_aligned(spark, f"{tmp_out}/k2", ["en", "de"]).collect()
+    assert len(back) == 150
+    assert sorted(r.shard for r in back if r.en.startswith("E")) == [0] * 50
