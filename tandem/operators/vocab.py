@@ -149,15 +149,17 @@ def learn_bpe(
 
     ensure_checkpoint_dir(spark)
     # the word table is read by every round: materialize it once in the shared folder
-    w = counts.select("word", "freq", initial_symbols(F.col("word")).alias("syms")).checkpoint(eager=True)
+    # (rebalanced first, so AQE sizes its partitions by bytes rather than by the
+    # shuffle-partition setting)
+    w = counts.select("word", "freq", initial_symbols(F.col("word")).alias("syms")).hint("rebalance").checkpoint(eager=True)
     merges: list = []
     prev = None
     passes = 0
     while len(merges) < rounds:
         want = min(max_merges_per_round, rounds - len(merges))
+        # (not cached: a cached aggregate keeps every shuffle partition, while the
+        # pair table is cheap to recount from the materialized word table)
         pc = pair_counts(w)
-        if want > 1:
-            pc = pc.persist()
         top = pc.orderBy(F.col("freq").desc(), F.col("left"), F.col("right")).limit(want).collect()
         if prev is not None:  # the pass has materialized ``w``
             prev.unpersist()
@@ -181,8 +183,6 @@ def learn_bpe(
                 .collect()
             )
             top = _independent_prefix(top, bound_rows, want)
-        if want > 1:
-            pc.unpersist()
         nxt = w
         for r in top:
             left, right = r["left"], r["right"]
