@@ -42,7 +42,6 @@ VOCAB_SIZE = 50000
 MAX_BYTES = 8192
 MAX_LEN = 5000
 GAP = 10000  # id range width for batch reports over conversation ids
-ORDER_RANGE = (3000, 12000)  # one half-open id batch over orders
 EXPORT_SHARD = 100000  # ids per aligned shard file
 
 
@@ -129,21 +128,37 @@ def language_names(spark, sf_dir):
 
 # ---- filters and projections ----------------------------------------------------------
 
-_lo, _hi = ORDER_RANGE
+# One half-open id batch over orders: the middle half of the key span, read from the
+# data (one min/max row, as the exporter reads its id bounds) and applied as literals
+# so the range reaches the Parquet scan.
+RANGE_SQL = """(SELECT mn + (mx - mn) // 4 AS lo, mn + 3 * (mx - mn) // 4 AS hi
+  FROM (SELECT min(o_orderkey) AS mn, max(o_orderkey) AS mx FROM orders))"""
+
+
+def _order_range(spark, sf_dir) -> tuple[int, int]:
+    b = checks.id_bounds(read_table(spark, sf_dir, "orders"), "o_orderkey").first()
+    span = b.max_id - b.min_id
+    return b.min_id + span // 4, b.min_id + 3 * span // 4
 
 
 @register(
     "id_range_filter",
-    f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey >= {_lo} AND o_orderkey < {_hi}",
+    f"""SELECT o_orderkey, o_custkey, o_totalprice FROM orders, {RANGE_SQL} r
+WHERE o_orderkey >= r.lo AND o_orderkey < r.hi""",
 )
 def id_range_filter(spark, sf_dir):
+    lo, hi = _order_range(spark, sf_dir)
     o = read_table(spark, sf_dir, "orders")
-    return filters.id_range(o, _lo, _hi, "o_orderkey").select("o_orderkey", "o_custkey", "o_totalprice")
+    return filters.id_range(o, lo, hi, "o_orderkey").select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-@register("count_in_range", f"SELECT count(*) AS n_rows FROM orders WHERE o_orderkey >= {_lo} AND o_orderkey < {_hi}")
+@register(
+    "count_in_range",
+    f"SELECT count(*) AS n_rows FROM orders, {RANGE_SQL} r WHERE o_orderkey >= r.lo AND o_orderkey < r.hi",
+)
 def count_in_range(spark, sf_dir):
-    return checks.count_rows(filters.id_range(read_table(spark, sf_dir, "orders"), _lo, _hi, "o_orderkey"))
+    lo, hi = _order_range(spark, sf_dir)
+    return checks.count_rows(filters.id_range(read_table(spark, sf_dir, "orders"), lo, hi, "o_orderkey"))
 
 
 @register("count_all", "SELECT count(*) AS n_rows FROM documents")

@@ -214,7 +214,7 @@ def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8, mate
     ``materialize`` it is checkpointed once, so the corpus is not re-counted per branch.
     """
     if materialize:
-        counts = counts.checkpoint(eager=True)
+        counts = counts.hint("rebalance").checkpoint(eager=True)
     marked = F.concat(F.lit(WORD_START), F.col("word"))
     subs = (
         counts.select(F.explode(substrings(marked, max_piece_len)).alias("piece"), "freq")
@@ -291,7 +291,7 @@ def learn_unigram(
     """Hard-EM unigram vocabulary: seed, then ``rounds`` of (Viterbi E-step, counting
     M-step, prune to ``vocab_size`` keeping all characters). Returns ``(piece, score)``
     with ``score = ln(share)``."""
-    counts = counts.checkpoint(eager=True)
+    counts = counts.hint("rebalance").checkpoint(eager=True)
     seed = unigram_seed(counts, seed_size or vocab_size * 4, max_piece_len, materialize=False)
     total = seed.select(F.sum("freq")).scalar()
     vocab = seed.select("piece", F.log(F.col("freq") / total).alias("score")).checkpoint(eager=True)
