@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tandem.functions.text import WORD_START, chars, logprob_to_freq, sanitize, split_piece_score, words
+from tandem.session import spread
 
 # The reserved pieces the trainer's vocabulary conversion omits.
 RESERVED_PIECES = ("<unk>", "<s>", "</s>")
@@ -149,9 +150,7 @@ def learn_bpe(
 
     ensure_checkpoint_dir(spark)
     # the word table is read by every round: materialize it once in the shared folder
-    # (rebalanced first, so AQE sizes its partitions by bytes rather than by the
-    # shuffle-partition setting)
-    w = counts.select("word", "freq", initial_symbols(F.col("word")).alias("syms")).hint("rebalance").checkpoint(eager=True)
+    w = spread(counts.select("word", "freq", initial_symbols(F.col("word")).alias("syms"))).checkpoint(eager=True)
     merges: list = []
     prev = None
     passes = 0
@@ -214,7 +213,7 @@ def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8, mate
     ``materialize`` it is checkpointed once, so the corpus is not re-counted per branch.
     """
     if materialize:
-        counts = counts.hint("rebalance").checkpoint(eager=True)
+        counts = spread(counts).checkpoint(eager=True)
     marked = F.concat(F.lit(WORD_START), F.col("word"))
     subs = (
         counts.select(F.explode(substrings(marked, max_piece_len)).alias("piece"), "freq")
@@ -291,7 +290,7 @@ def learn_unigram(
     """Hard-EM unigram vocabulary: seed, then ``rounds`` of (Viterbi E-step, counting
     M-step, prune to ``vocab_size`` keeping all characters). Returns ``(piece, score)``
     with ``score = ln(share)``."""
-    counts = counts.hint("rebalance").checkpoint(eager=True)
+    counts = spread(counts).checkpoint(eager=True)
     seed = unigram_seed(counts, seed_size or vocab_size * 4, max_piece_len, materialize=False)
     total = seed.select(F.sum("freq")).scalar()
     vocab = seed.select("piece", F.log(F.col("freq") / total).alias("score")).checkpoint(eager=True)
