@@ -34,9 +34,29 @@ def word_counts(sentences: DataFrame, text_col: str = "text", mode: str = "white
     )
 
 
-def top_k(counts: DataFrame, k: int, item_col: str = "word", freq_col: str = "freq") -> DataFrame:
-    """The ``k`` most frequent items (ties by item); ``k`` is the vocabulary size."""
-    return counts.orderBy(F.col(freq_col).desc(), F.col(item_col).asc()).limit(k)
+def top_k(
+    counts: DataFrame, k: int, item_col: str = "word", freq_col: str = "freq", max_gather: int = 5_000_000
+) -> DataFrame:
+    """The ``k`` most frequent items (ties by item); ``k`` is the vocabulary size.
+
+    ``orderBy().limit(k)`` lets every partition send up to ``k`` rows to one final task,
+    so it is used only while ``k * partitions`` stays under ``max_gather`` rows. Beyond
+    that the exact rank comes from ``global_position`` with buckets
+    ``(-freq, first two characters)`` (monotone in the order), so no task gathers more
+    than one bucket.
+    """
+    order = [F.col(freq_col).desc(), F.col(item_col).asc()]
+    try:
+        parts = counts.rdd.getNumPartitions()
+    except Exception:  # no local SparkContext: take the distributed path
+        parts = None
+    if parts is not None and k * parts <= max_gather:
+        return counts.orderBy(*order).limit(k)
+    from tandem.operators.position import global_position
+
+    bucket = F.struct((-F.col(freq_col)).alias("f"), F.substring(F.col(item_col), 1, 2).alias("p"))
+    ranked = global_position(counts, order, bucket, pos_col="_tandem_rank", super_bucket=lambda b: b["f"])
+    return ranked.where(F.col("_tandem_rank") < F.lit(k)).drop("_tandem_rank")
 
 
 def char_coverage(counts: DataFrame, coverage: float = 1.0) -> DataFrame:

@@ -89,3 +89,16 @@ def test_multi_merge_rounds_equal_sequential(spark):
     many_m, many_w = learn_bpe(wc, 40, checkpoint_every=3, max_merges_per_round=16)
     assert [tuple(r) for r in one_m.orderBy("rank").collect()] == [tuple(r) for r in many_m.orderBy("rank").collect()]
     assert {r.word: list(r.syms) for r in one_w.collect()} == {r.word: list(r.syms) for r in many_w.collect()}
+
+
+def test_top_k_distributed_path_equals_sort_limit(spark):
+    import random
+
+    from tandem.operators.vocab import top_k
+
+    rnd = random.Random(5)
+    rows = [(f"w{rnd.randint(0, 5000)}x{i}", rnd.choice([1, 1, 1, 2, 3, 7, 50])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "word string, freq long").repartition(6)
+    want = [tuple(r) for r in df.orderBy(F.col("freq").desc(), "word").limit(700).collect()]
+    got = sorted((tuple(r) for r in top_k(df, 700, max_gather=0).collect()), key=lambda t: (-t[1], t[0]))
+    assert got == want
