@@ -102,3 +102,73 @@ def test_top_k_distributed_path_equals_sort_limit(spark):
     want = [tuple(r) for r in df.orderBy(F.col("freq").desc(), "word").limit(700).collect()]
     got = sorted((tuple(r) for r in top_k(df, 700, max_gather=0).collect()), key=lambda t: (-t[1], t[0]))
     assert got == want
+
+
+def plain_unigram(counts, vocab_size, rounds, seed_size, max_len=8):
+    """Hard-EM unigram vocabulary in plain Python (the rule the Spark job implements)."""
+    import math
+
+    marked = {"▁" + w: f for w, f in counts.items()}
+    subs = Counter()
+    chars = Counter()
+    for m, f in marked.items():
+        for i in range(len(m)):
+            chars[m[i]] += f
+            for n in range(1, max_len + 1):
+                if i + n <= len(m):
+                    subs[m[i:i + n]] += f
+    top = sorted(subs.items(), key=lambda kv: (-kv[1], kv[0]))[:seed_size]
+    seed = dict(top)
+    seed.update(chars)
+    total = sum(seed.values())
+    scores = {p: math.log(f / total) for p, f in seed.items()}
+    for _ in range(rounds):
+        unk = min(scores.values()) - 10.0
+        used = Counter()
+        for m, f in marked.items():
+            n = len(m)
+            best, back = [float("-inf")] * (n + 1), [0] * (n + 1)
+            best[0] = 0.0
+            for end in range(1, n + 1):
+                for start in range(max(0, end - max_len), end):
+                    s = scores.get(m[start:end])
+                    if s is None:
+                        if end - start != 1:
+                            continue
+                        s = unk
+                    if best[start] + s > best[end]:
+                        best[end], back[end] = best[start] + s, start
+            end = n
+            while end > 0:
+                used[m[back[end]:end]] += f
+                end = back[end]
+        total = sum(used.values())
+        scored = {p: math.log(f / total) for p, f in used.items()}
+        keep = dict(sorted(scored.items(), key=lambda kv: (-kv[1], kv[0]))[:vocab_size])
+        for c in chars:
+            keep.setdefault(c, scored.get(c, math.log(0.5 / total)))
+        scores = keep
+    return scores
+
+
+def test_unigram_matches_plain_python(spark):
+    text = ["the cat sat on the mat", "the cat ate the rat and the bat", "a cat and a hat", "that is the thing"]
+    df = spark.createDataFrame([(t,) for t in text], "text string")
+    wc = word_counts(df)
+    counts = {r.word: r.freq for r in wc.collect()}
+    got = {r.piece: r.score for r in learn_unigram(wc, 12, rounds=2, seed_size=30).collect()}
+    want = plain_unigram(counts, 12, 2, 30)
+    assert set(got) == set(want)
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_encode_equals_plain_bpe(spark):
+    text = ["low lower lowest newer wider new new low aaa aaaa", "the then there lower low"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "sid long, text string")
+    wc = word_counts(df)
+    counts = {r.word: r.freq for r in wc.collect()}
+    _, words = learn_bpe(wc, 8, max_merges_per_round=1)
+    _, want_words = plain_bpe(counts, 8)
+    enc = {r.sid: list(r.pieces) for r in encode(df, words, pieces_col="syms").collect()}
+    for sid, t in enumerate(text):
+        assert enc[sid] == [p for w in t.split() for p in want_words[w]]
