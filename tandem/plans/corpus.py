@@ -124,3 +124,23 @@ def training_vocabulary(
         return vocab.learn_unigram(counts, vocab_size, rounds=rounds)
     merges, _ = vocab.learn_bpe(counts, rounds)
     return merges.select(F.col("merged").alias("piece"), (-F.col("rank")).cast("double").alias("score"))
+
+
+def resolve_pair(codes: Sequence[str], reverse: bool = False, default_src: str = "en") -> tuple[str, str]:
+    """Translation direction from one or two codes: one code means ``default_src -> code``;
+    ``reverse`` swaps the direction."""
+    if len(codes) == 1:
+        src, tgt = default_src, codes[0]
+    elif len(codes) == 2:
+        src, tgt = codes[0], codes[1]
+    else:
+        raise ValueError(f"expected one or two language codes, got {list(codes)}")
+    return (tgt, src) if reverse else (src, tgt)
+
+
+def apply_steps(df: DataFrame, steps) -> DataFrame:
+    """Apply an ordered list of ``DataFrame -> DataFrame`` steps (the loader's transform
+    list); Catalyst still sees one plan."""
+    for step in steps:
+        df = df.transform(step)
+    return df

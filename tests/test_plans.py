@@ -29,3 +29,17 @@ def test_no_python_outside_unigram(spark):
         plan = fn(spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in plan and "MapInPandas" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_resolve_pair_and_steps(spark):
+    from tandem.operators.filters import drop_blank_pairs, filter_too_long, reverse_pairs
+    from tandem.plans.corpus import apply_steps, resolve_pair
+
+    assert resolve_pair(["de"]) == ("en", "de")
+    assert resolve_pair(["zh", "ru"]) == ("zh", "ru")
+    assert resolve_pair(["de"], reverse=True) == ("de", "en")
+    with pytest.raises(ValueError):
+        resolve_pair(["a", "b", "c"])
+    df = spark.createDataFrame([(1, "a b", "x"), (2, " ", "y"), (3, "c", "z " * 9)], "id long, src string, tgt string")
+    out = apply_steps(df, [drop_blank_pairs, lambda d: filter_too_long(d, 5), reverse_pairs])
+    assert [tuple(r) for r in out.collect()] == [(1, "x", "a b")]
