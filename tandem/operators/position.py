@@ -4,9 +4,9 @@
 sorts the whole table in one task: rows are grouped into buckets whose key is monotone
 in the order, bucket sizes are counted (a small table), a running sum over that small
 table gives each bucket its first position, and ``row_number`` runs inside each bucket.
-The full rows are shuffled once, on the bucket key, and the row numbering reuses that
-partitioning; the count pass reads only the columns the bucket needs and aggregates
-partially before its own small shuffle.
+The full rows are shuffled once, on the bucket key, for the row numbering; the count
+pass reads only the columns the bucket needs and aggregates partially before its own
+small shuffle.
 """
 
 from __future__ import annotations
@@ -67,6 +67,8 @@ def global_position(
     partition_by: Sequence[str] = (),
     pos_col: str = "pos",
     super_bucket=None,
+    limit: int | None = None,
+    broadcast_offsets: bool = False,
 ) -> DataFrame:
     """Add ``pos_col``: the 0-based rank of each row by ``order_cols`` within ``partition_by``.
 
@@ -74,19 +76,25 @@ def global_position(
     ``floor(id / width)``), and should bound the rows per bucket; its values must be
     non-NULL. ``order_cols`` must be a total order for the result to be deterministic.
     ``super_bucket`` (Column -> Column over the bucket) enables the two-level offset sum
-    when the number of buckets itself grows with the data.
+    when the number of buckets itself grows with the data. With ``limit`` only rows with
+    ``pos < limit`` are kept, and buckets that start at or after it are dropped before
+    any row is shuffled. ``broadcast_offsets`` is for callers whose bucket count has a
+    fixed bound (e.g. 16**k md5 prefixes); otherwise AQE chooses by measured size.
     """
     parts = list(partition_by)
-    with_bucket = df.withColumn(_B, bucket)
-    # counted before the repartition, so the count pass aggregates map-side first
-    counts = with_bucket.groupBy(*parts, _B).agg(F.count(F.lit(1)).alias(_N))
-    keyed = with_bucket.repartition(*parts, _B)
+    keyed = df.withColumn(_B, bucket)
+    counts = keyed.groupBy(*parts, _B).agg(F.count(F.lit(1)).alias(_N))
     offsets = _running_offsets(counts, parts, super_bucket)
-    joined = keyed.join(offsets, on=[*parts, _B], how="inner")
+    if limit is not None:
+        offsets = offsets.where(F.col(_OFF) < F.lit(limit))
+    # joined before the row shuffle: AQE broadcasts the offsets when it measures them
+    # small, and with a limit the join also drops the rows of later buckets
+    joined = keyed.join(F.broadcast(offsets) if broadcast_offsets else offsets, on=[*parts, _B], how="inner")
     within = Window.partitionBy(*parts, _B).orderBy(*order_cols)
-    return joined.withColumn(
+    out = joined.withColumn(
         pos_col, (F.col(_OFF) + F.row_number().over(within) - F.lit(1)).cast("bigint")
     ).drop(_B, _OFF)
+    return out if limit is None else out.where(F.col(pos_col) < F.lit(limit))
 
 
 def permute(
@@ -96,6 +104,7 @@ def permute(
     pos_col: str = "pos",
     key_col: str | None = None,
     hex_chars: int = 5,
+    limit: int | None = None,
 ) -> DataFrame:
     """Seeded global permutation: rank rows by ``md5('<seed>:<id>')``, ties by id.
 
@@ -104,7 +113,15 @@ def permute(
     """
     key = key_col or "_tandem_key"
     keyed = df.withColumn(key, perm_key(seed, F.col(id_col)))
-    out = global_position(keyed, [F.col(key), F.col(id_col)], md5_bucket(key, hex_chars), pos_col=pos_col)
+    out = global_position(
+        keyed,
+        [F.col(key), F.col(id_col)],
+        md5_bucket(key, hex_chars),
+        pos_col=pos_col,
+        limit=limit,
+        # at most 16**hex_chars offset rows (about a million for 5): a proven bound
+        broadcast_offsets=hex_chars <= 5,
+    )
     return out if key_col else out.drop(key)
 
 
@@ -147,8 +164,15 @@ def cap_per_group(
     super_bucket=None,
 ) -> DataFrame:
     """First ``max_rows`` rows of every group in ``order_cols`` order (0 = no cap)."""
-    out = global_position(df, order_cols, bucket, partition_by=[group_col], pos_col=pos_col, super_bucket=super_bucket)
-    return out if max_rows <= 0 else out.where(F.col(pos_col) < F.lit(max_rows))
+    return global_position(
+        df,
+        order_cols,
+        bucket,
+        partition_by=[group_col],
+        pos_col=pos_col,
+        super_bucket=super_bucket,
+        limit=max_rows if max_rows > 0 else None,
+    )
 
 
 def line_bucket(keys: Sequence[str], line_col: str = "line_no", block: int = 4096) -> Column:

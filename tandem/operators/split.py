@@ -26,9 +26,10 @@ def sample_rows(df: DataFrame, n: int, id_col: str = "id", seed: int | str = 42,
     """Exactly ``min(n, rows)`` rows in seeded-shuffled order (the vocabulary sample).
 
     Uses positions rather than ``orderBy().limit(n)``, so a sample of hundreds of
-    millions of sentences never lands in one task.
+    millions of sentences never lands in one task, and only the rows of buckets that
+    reach into the sample are shuffled.
     """
-    return permute(df, id_col=id_col, seed=seed, pos_col=pos_col).where(F.col(pos_col) < F.lit(n))
+    return permute(df, id_col=id_col, seed=seed, pos_col=pos_col, limit=n)
 
 
 def approx_sample(df: DataFrame, fraction: float, id_col: str = "id", seed: int | str = 42) -> DataFrame:
