@@ -711,7 +711,7 @@ def encode_counts(spark, sf_dir):
     from tandem.operators.vocab import encode, learn_bpe
 
     _, words_tbl = learn_bpe(shared_word_counts(spark, sf_dir), BPE_ROUNDS)
-    return encode(shared_clean(spark, sf_dir), words_tbl, pieces_col="syms").select("sid", "n_pieces")
+    return encode(shared_clean(spark, sf_dir), words_tbl, pieces_col="syms", with_pieces=False)
 
 
 def _vocab_file(spark, sf_dir) -> str:
@@ -890,7 +890,12 @@ def filter_too_long_pieces(spark, sf_dir):
     pairs = fx.document_pairs(spark, sf_dir)
     shared = setops.shared_sentences(pairs)
     _, words_tbl = learn_bpe(word_counts(shared), BPE_ROUNDS)
-    enc = encode(shared.withColumn("sid", F.col("id") * 2 + F.when(F.col("side") == "tgt", 1).otherwise(0)), words_tbl, pieces_col="syms")
+    enc = encode(
+        shared.withColumn("sid", F.col("id") * 2 + F.when(F.col("side") == "tgt", 1).otherwise(0)),
+        words_tbl,
+        pieces_col="syms",
+        with_pieces=False,
+    )
     counts = enc.select(
         F.floor(F.col("sid") / 2).cast("bigint").alias("id"),
         F.when(F.col("sid") % 2 == 0, F.col("n_pieces")).alias("n_src"),

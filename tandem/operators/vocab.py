@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tandem.functions.text import WORD_START, chars, logprob_to_freq, sanitize, split_piece_score, words
+from tandem.functions.text import WORD_START, chars, logprob_to_freq, sanitize, spaces_only, split_piece_score, words
 from tandem.session import spread
 
 # The reserved pieces the trainer's vocabulary conversion omits.
@@ -23,10 +23,13 @@ def word_counts(sentences: DataFrame, text_col: str = "text", mode: str = "white
     character as a word (for scripts written without spaces). Partial aggregation
     collapses frequent words before the shuffle.
     """
-    t = sanitize(text_col) if clean else F.col(text_col)
-    toks = words(t) if mode == "whitespace" else F.filter(chars(t), lambda c: c != F.lit(""))
     if mode not in ("whitespace", "chars"):
         raise ValueError(f"unknown mode {mode!r}")
+    t = sanitize(text_col) if clean else F.col(text_col)
+    if mode == "whitespace":
+        toks = words(t)
+    else:  # every non-whitespace character is a word
+        toks = F.filter(chars(spaces_only(t)), lambda c: (c != F.lit("")) & (c != F.lit(" ")))
     return (
         sentences.select(F.explode(toks).alias("word"))
         .groupBy("word")
@@ -334,19 +337,27 @@ def learn_unigram(
 
 
 def encode(
-    sentences: DataFrame, word_pieces: DataFrame, id_col: str = "sid", text_col: str = "text", pieces_col: str = "pieces"
+    sentences: DataFrame,
+    word_pieces: DataFrame,
+    id_col: str = "sid",
+    text_col: str = "text",
+    pieces_col: str = "pieces",
+    with_pieces: bool = True,
 ) -> DataFrame:
     """Subword-encode sentences by joining their words to the ``word -> pieces`` table.
 
     ``(sid, pieces, n_pieces)``; the join is relational (no UDF) and AQE splits a
     partition made hot by a very frequent word. A word missing from the table keeps
-    its characters as pieces.
+    its characters as pieces. With ``with_pieces=False`` only ``(sid, n_pieces)`` is
+    computed, as a partial-aggregated sum (no per-sentence arrays are gathered).
     """
     toks = sentences.select(id_col, F.posexplode(words(sanitize(text_col))).alias("tpos", "word"))
     wp = word_pieces.select("word", F.col(pieces_col).alias("_p"))
     j = toks.join(wp, on="word", how="left").withColumn(
         "_p", F.coalesce(F.col("_p"), initial_symbols(F.col("word")))
     )
+    if not with_pieces:
+        return j.groupBy(id_col).agg(F.sum(F.size("_p")).cast("bigint").alias("n_pieces"))
     g = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("tpos", "_p"))).alias("_s"))
     pieces = F.flatten(F.transform("_s", lambda x: x["_p"]))
     return g.select(id_col, pieces.alias("pieces"), F.size(pieces).cast("bigint").alias("n_pieces"))

@@ -172,3 +172,13 @@ def test_encode_equals_plain_bpe(spark):
     enc = {r.sid: list(r.pieces) for r in encode(df, words, pieces_col="syms").collect()}
     for sid, t in enumerate(text):
         assert enc[sid] == [p for w in t.split() for p in want_words[w]]
+
+
+def test_char_mode_and_count_only_encode(spark):
+    df = spark.createDataFrame([(0, "日本 語　日"), (1, "ab a")], "sid long, text string")
+    got = {r.word: r.freq for r in word_counts(df, mode="chars").collect()}
+    assert got == {"日": 2, "本": 1, "語": 1, "a": 2, "b": 1}
+    _, words = learn_bpe(word_counts(df), 2, max_merges_per_round=1)
+    full = {r.sid: r.n_pieces for r in encode(df, words, pieces_col="syms").collect()}
+    only = {r.sid: r.n_pieces for r in encode(df, words, pieces_col="syms", with_pieces=False).collect()}
+    assert full == only
