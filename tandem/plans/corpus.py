@@ -92,6 +92,10 @@ def shuffle_split(
         pos_col="cpos",
         super_bucket=lambda b: b["dataset"],
     )
+    # each position step reads its input twice (count, then number); materialize the
+    # cleaned corpus once instead of re-reading and re-zipping the files for the
+    # permutation (reliable checkpoint into the shared folder)
+    concat = concat.checkpoint(eager=True)
     return split.train_valid_split(concat, n_valid, id_col="cpos", seed=seed)
 
 
