@@ -43,3 +43,13 @@ def test_resolve_pair_and_steps(spark):
     df = spark.createDataFrame([(1, "a b", "x"), (2, " ", "y"), (3, "c", "z " * 9)], "id long, src string, tgt string")
     out = apply_steps(df, [drop_blank_pairs, lambda d: filter_too_long(d, 5), reverse_pairs])
     assert [tuple(r) for r in out.collect()] == [(1, "x", "a b")]
+
+
+@pytest.mark.skipif(not os.path.isdir(SMOKE), reason="driver tables not present")
+def test_range_filter_reaches_the_scan(spark):
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    import __spark_entry__ as E
+
+    plan = E.queries()["id_range_filter"](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderkey" in plan and "LessThan(o_orderkey" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
