@@ -46,6 +46,7 @@ def write_aligned(
         .select(*parts, "lang", "shard", "text")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", 0)  # one file per (lang, shard), whatever the session says
         .partitionBy(*parts, "lang", "shard")
         .option("lineSep", "\n")
         .text(out_dir)
