@@ -6,6 +6,7 @@ the sink, so filters reach the scans and only the needed columns are read.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,15 +29,19 @@ def export_aligned(
 
     Returns the cleaned ``(id, <code>...)`` rows and, when ``out_dir`` is given, the row
     counters gathered by ``observe`` while the files (one per language and id shard)
-    were written.
+    were written, with the write's wall-clock seconds and rows per second.
     """
     joined = align.align_collections(collections, codes)
     kept = filters.complete_rows(joined, codes, drop_when=drop_when, squeeze=squeeze)
     if out_dir is None:
         return kept, None
     observed, obs = checks.observe_export(kept, codes)
+    started = time.perf_counter()
     sinks.write_aligned(observed, codes, out_dir, shard_width=shard_width)
-    return kept, dict(obs.get)
+    metrics = dict(obs.get)
+    metrics["seconds"] = time.perf_counter() - started
+    metrics["rows_per_second"] = metrics.get("rows", 0) / metrics["seconds"] if metrics["seconds"] > 0 else None
+    return kept, metrics
 
 
 def read_pair_files(

@@ -23,6 +23,7 @@ def test_export_observe_counts(spark, tmp_out):
     kept, metrics = export_aligned({"en": en, "de": de}, ["en", "de"], f"{tmp_out}/ex")
     assert sorted(tuple(r) for r in kept.collect()) == [(1, "a b", "x"), (3, "c", "z")]
     assert metrics["rows"] == 2
+    assert metrics["seconds"] > 0 and metrics["rows_per_second"] > 0
 
 
 def test_vocab_round_trip(spark, tmp_out):
