@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tandem.operators.align import align_collections, lookup_array, unwind, zip_lines
 from tandem.operators.checks import alignment_report, assert_aligned, dedup_pairs

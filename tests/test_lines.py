@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from tandem.sources.lines import discover_pairs, line_stats, read_lines, split_lines
 

@@ -2,7 +2,6 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import functions as F
 
 from tandem.plans.corpus import training_vocabulary
 

@@ -4,7 +4,6 @@ import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tandem.functions.text import is_blank, sanitize, words
 
