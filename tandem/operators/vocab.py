@@ -254,57 +254,70 @@ def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8, mate
     return top.unionByName(singles).dropDuplicates(["piece"])
 
 
-def _viterbi_batches(scores: dict, max_len: int):
-    """Best segmentation of every word under the piece scores (used in ``mapInPandas``)."""
-    import pandas as pd
+def _viterbi_rows(it):
+    """Best segmentation of each word from its own scored candidates (``mapInPandas``).
 
-    unk = min(scores.values()) - 10.0 if scores else -10.0
+    A row holds the marked word, its candidate pieces ``(s, l, score)`` (``score`` NULL
+    for a single character outside the vocabulary) and the unknown-piece score. Ties
+    keep the earliest start, as the sequential rule does.
+    """
+    import pandas as pd
 
-    def seg(w: str):
-        n = len(w)
+    def seg(m: str, cands, unk: float):
+        n = len(m)
+        by_end = [[] for _ in range(n + 1)]
+        for c in cands:
+            sc = c["score"]
+            by_end[c["s"] + c["l"]].append((c["s"], unk if sc is None else sc))
         best = [float("-inf")] * (n + 1)
         back = [0] * (n + 1)
         best[0] = 0.0
         for end in range(1, n + 1):
-            for start in range(max(0, end - max_len), end):
-                p = w[start:end]
-                s = scores.get(p)
-                if s is None:
-                    if end - start != 1:
-                        continue
-                    s = unk
-                v = best[start] + s
+            for start, sc in sorted(by_end[end]):
+                v = best[start] + sc
                 if v > best[end]:
                     best[end], back[end] = v, start
         out, end = [], n
         while end > 0:
-            out.append(w[back[end]:end])
+            out.append(m[back[end]:end])
             end = back[end]
         return out[::-1]
 
-    def run(it):
-        for pdf in it:
-            yield pd.DataFrame({"word": pdf["word"], "freq": pdf["freq"], "pieces": [seg(w) for w in pdf["mword"]]})
-
-    return run
+    for pdf in it:
+        pieces = [seg(m, c, u) for m, c, u in zip(pdf["mword"], pdf["cands"], pdf["unk"])]
+        yield pd.DataFrame({"word": pdf["word"], "freq": pdf["freq"], "pieces": pieces})
 
 
 def segment_words(counts: DataFrame, vocab: DataFrame, max_piece_len: int = 8) -> DataFrame:
     """``(word, freq, pieces)``: Viterbi segmentation of every distinct word.
 
-    The piece table is a vocabulary (its size is the vocabulary-size parameter), shipped
-    to the tasks once; words are processed in Arrow batches.
+    Each word's substrings (at most ``max_piece_len`` characters) are scored by a
+    broadcast join with the piece table (bounded by the vocabulary size, never collected
+    to the driver) and gathered per word (at most ``8 x length`` candidates); the
+    dynamic programme then runs per word in Arrow batches.
     """
-    spark = counts.sparkSession
-    rows = vocab.select("piece", "score").collect()  # bounded by the vocabulary size
-    scores = {r["piece"]: float(r["score"]) for r in rows}
-    bscores = spark.sparkContext.broadcast(scores)
-
-    def run(it):
-        yield from _viterbi_batches(bscores.value, max_piece_len)(it)
-
-    marked = counts.select("word", "freq", F.concat(F.lit(WORD_START), F.col("word")).alias("mword"))
-    return marked.mapInPandas(run, "word string, freq bigint, pieces array<string>")
+    m = F.concat(F.lit(WORD_START), F.col("word"))
+    n = F.char_length(m)
+    cands = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), n),
+            lambda i: F.transform(
+                F.sequence(F.lit(1), F.least(F.lit(max_piece_len), n - i + 1)),
+                lambda ln: F.struct((i - 1).alias("s"), ln.alias("l"), F.substring(m, i, ln).alias("piece")),
+            ),
+        )
+    )
+    subs = counts.select("word", "freq", m.alias("mword"), F.explode(cands).alias("c")).select(
+        "word", "freq", "mword", "c.s", "c.l", "c.piece"
+    )
+    scored = subs.join(F.broadcast(vocab.select("piece", "score")), on="piece", how="left").where(
+        F.col("score").isNotNull() | (F.col("l") == 1)
+    )
+    unk = vocab.select(F.min("score") - F.lit(10.0)).scalar()
+    per_word = scored.groupBy("word", "freq", "mword").agg(
+        F.collect_list(F.struct("s", "l", "score")).alias("cands")
+    )
+    return per_word.withColumn("unk", unk).mapInPandas(_viterbi_rows, "word string, freq bigint, pieces array<string>")
 
 
 def learn_unigram(
