@@ -50,3 +50,17 @@ def test_discover_pairs(spark, tmp_out):
     pairs, orphans = discover_pairs(spark, f"{tmp_out}/corp", "en", "de")
     assert sorted(r.base for r in pairs.collect()) == ["a", "c"]
     assert [r.base for r in orphans.collect()] == ["b"]
+
+
+def test_collections_from_json_exports(spark, tmp_out):
+    from tandem.operators.align import align_collections
+    from tandem.sources.collections import read_collection, read_wide
+
+    write(f"{tmp_out}/en.json", b'{"_id": 1, "text": "hello"}\n{"_id": 2, "text": "bye"}\n')
+    write(f"{tmp_out}/zh.json", b'{"_id": 2, "text": "zai jian"}\n{"_id": 3, "text": "x"}\n')
+    write(f"{tmp_out}/wide.json", b'{"_id": 5, "en": "a", "zh": "b", "extra": 1}\n')
+    en = read_collection(spark, f"{tmp_out}/en.json", fmt="json", id_col="_id")
+    zh = read_collection(spark, f"{tmp_out}/zh.json", fmt="json", id_col="_id")
+    assert [tuple(r) for r in align_collections({"en": en, "zh": zh}).collect()] == [(2, "bye", "zai jian")]
+    wide = read_wide(spark, f"{tmp_out}/wide.json", ["en", "zh"], fmt="json", id_col="_id")
+    assert wide.columns == ["id", "en", "zh"] and [tuple(r) for r in wide.collect()] == [(5, "a", "b")]
