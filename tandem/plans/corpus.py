@@ -24,6 +24,7 @@ def export_aligned(
     drop_when: str = "clean",
     squeeze: str = "full",
     shard_width: int = 100000,
+    name: str | None = None,
 ) -> tuple[DataFrame, dict | None]:
     """Keyed collections -> N-way join -> completeness filter + cleaning -> aligned files.
 
@@ -37,7 +38,7 @@ def export_aligned(
         return kept, None
     observed, obs = checks.observe_export(kept, codes)
     started = time.perf_counter()
-    sinks.write_aligned(observed, codes, out_dir, shard_width=shard_width)
+    sinks.write_aligned(observed, codes, out_dir, shard_width=shard_width, name=name)
     metrics = dict(obs.get)
     metrics["seconds"] = time.perf_counter() - started
     metrics["rows_per_second"] = metrics.get("rows", 0) / metrics["seconds"] if metrics["seconds"] > 0 else None

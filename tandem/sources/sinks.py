@@ -24,9 +24,14 @@ def write_aligned(
     shard_width: int = 100000,
     order_col: str | None = None,
     extra_partitions: Sequence[str] = (),
+    name: str | None = None,
 ) -> None:
     """Write one line file per language and shard: ``out_dir/[extra=..]/lang=<code>/shard=<s>/``.
 
+    With ``name`` the language folders are ``lang=<name>.<code>``, the ``<base>.<code>``
+    layout that pair discovery reads, so an export feeds the split plan directly. Shard
+    folder names are zero-padded, so path order is shard order.
+
     All languages go through one unpivoted write, so every side is cut into the same
     shards (``floor(order / shard_width)``) and sorted the same way: line *i* of every
     language's shard file is the same row. A shard holds at most ``shard_width`` rows of
@@ -35,11 +40,10 @@ def write_aligned(
     """
     order = order_col or id_col
     parts = list(extra_partitions)
-    long = _unpivot(
-        df.withColumn("shard", F.floor(F.col(order) / F.lit(shard_width)).cast("bigint")),
-        codes,
-        [*parts, "shard", order],
-    )
+    shard = F.lpad(F.floor(F.col(order) / F.lit(shard_width)).cast("string"), 12, "0")
+    long = _unpivot(df.withColumn("shard", shard), codes, [*parts, "shard", order])
+    if name is not None:
+        long = long.withColumn("lang", F.concat(F.lit(f"{name}."), F.col("lang")))
     (
         long.repartition(*parts, "lang", "shard")
         .sortWithinPartitions(*parts, "lang", "shard", order)
@@ -53,7 +57,13 @@ def write_aligned(
     )
 
 
-def read_aligned(spark: SparkSession, out_dir: str, codes: Sequence[str], extra_partitions: Sequence[str] = ()) -> DataFrame:
+def read_aligned(
+    spark: SparkSession,
+    out_dir: str,
+    codes: Sequence[str],
+    extra_partitions: Sequence[str] = (),
+    name: str | None = None,
+) -> DataFrame:
     """Read files written by ``write_aligned`` back as ``(*extra, shard, line_no, <code>...)``."""
     keys = [*extra_partitions, "shard"]
     rel = F.regexp_extract(F.col("path"), r"((?:[^/]+=[^/]+/)+)[^/]+$", 1)
@@ -68,7 +78,8 @@ def read_aligned(spark: SparkSession, out_dir: str, codes: Sequence[str], extra_
     )
     out = None
     for code in codes:
-        side = lines.where(F.col("lang") == code).select(*keys, "line_no", F.col("line").alias(code))
+        value = code if name is None else f"{name}.{code}"
+        side = lines.where(F.col("lang") == value).select(*keys, "line_no", F.col("line").alias(code))
         out = side if out is None else out.join(side, on=[*keys, "line_no"], how="full_outer")
     return out
 

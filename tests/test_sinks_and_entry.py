@@ -92,3 +92,14 @@ def test_rerun_replaces_only_written_shards(spark, tmp_out):
     back = read_aligned(spark, f"{tmp_out}/k2", ["en", "de"]).collect()
     assert len(back) == 150
     assert sorted(r.shard for r in back if r.en.startswith("E")) == [0] * 50
+
+
+def test_export_feeds_the_split_plan(spark, tmp_out):
+    en = spark.createDataFrame([(i, f"e{i}") for i in range(0, 60)], "id long, text string")
+    de = spark.createDataFrame([(i, f"d{i}") for i in range(0, 60, 2)], "id long, text string")
+    export_aligned({"en": en, "de": de}, ["en", "de"], f"{tmp_out}/corpora", shard_width=7, name="corpus")
+    pairs = read_pair_files(spark, f"{tmp_out}/corpora", "en", "de", strict=True).collect()
+    assert len(pairs) == 30 and all(r.src[1:] == r.tgt[1:] for r in pairs)
+    assert {r.dataset for r in pairs} == {"corpus"}
+    # line order follows id order across the zero-padded shard folders
+    assert [int(r.src[1:]) for r in sorted(pairs, key=lambda r: r.line_no)] == list(range(0, 60, 2))
