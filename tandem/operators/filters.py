@@ -43,9 +43,15 @@ def drop_blank_pairs(df: DataFrame, cols: Sequence[str] = ("src", "tgt")) -> Dat
     return df.where(~_any([is_blank(c) for c in cols]))
 
 
-def skip_empty(df: DataFrame, cols: Sequence[str] = ("src", "tgt"), level: str = "silent") -> DataFrame:
-    """Empty-pair handling of the training loader: ``silent`` drops, ``error`` fails the job."""
+def skip_empty(
+    df: DataFrame, cols: Sequence[str] = ("src", "tgt"), level: str = "silent", observation=None
+) -> DataFrame:
+    """Empty-pair handling of the training loader: ``silent`` drops, ``warning`` drops and
+    counts the dropped pairs into ``observation`` (a ``pyspark.sql.Observation``, read
+    after the first action; no extra pass), ``error`` fails the job."""
     blank = _any([is_blank(c) for c in cols])
+    if level == "warning" and observation is not None:
+        df = df.observe(observation, F.coalesce(F.sum(F.when(blank, 1).otherwise(0)), F.lit(0)).alias("empty_pairs"))
     if level == "silent" or level == "warning":
         return df.where(~blank)
     if level == "error":

@@ -69,3 +69,15 @@ def test_skip_empty_levels(spark):
     assert [r.id for r in skip_empty(df).collect()] == [1]
     with pytest.raises(Exception, match="empty example"):
         skip_empty(df, level="error").collect()
+
+
+def test_skip_empty_warning_counts(spark):
+    from pyspark.sql import Observation
+
+    from tandem.operators.filters import skip_empty
+
+    df = spark.createDataFrame([(1, "a", "b"), (2, " ", "c"), (3, "d", "")], "id long, src string, tgt string")
+    obs = Observation("empties")
+    kept = skip_empty(df, level="warning", observation=obs)
+    assert [r.id for r in kept.collect()] == [1]
+    assert obs.get["empty_pairs"] == 2
