@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) is a fresh local folder created.
+    Only when it is unset and the master is local (tests) is a fresh local folder created;
+    on a cluster an unset folder is an error.
     """
     try:
         sc = spark.sparkContext
@@ -50,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     cur = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="tandem-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", cur)
     if sc is not None and not sc.getCheckpointDir():
@@ -63,6 +67,26 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base}/tandem-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once a session: their Python workers may not have its path."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return
+    if getattr(sc, "_tandem_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tandem-package-"), "tandem_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("tandem", os.path.relpath(full, package)))
+    sc.addPyFile(path)
+    sc._tandem_shipped = True
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer partitions than the session has cores.
 
