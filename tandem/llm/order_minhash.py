@@ -7,7 +7,6 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -19,6 +18,9 @@ WORDS = 5
 LEAST = 0.8
 SKETCHES = 32
 MINIMA = 5
+#: Sketches that a pair must share to be compared. Texts of similarity 0.8 share 10 of 32 on average,
+#: and fewer than 2 with a chance of 5 in 100,000.
+AGREE = 2
 #: Values per sketch among which its smallest are looked for.
 LIKELY = 20
 
@@ -138,24 +140,36 @@ def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
-    """The pairs (u, v) whose texts align to at least ``LEAST``, with their similarity."""
+    """The pairs (u, v, and their roots) whose texts align to at least ``LEAST``, with their similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 2):
+        for batch in small_batches(batches, 4):
             last, right = None, np.zeros(0, np.uint64)
             got = []
-            for mine, other, v in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for mine, other, v in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if v != last:
                     last, right = v, shingles(other)
                 got.append(aligned_similarity(shingles(mine), right))
-            mask = pa.array([s > 0 for s in got], pa.bool_())
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.float64())], names=["u", "v", "similarity"])
-            yield out.filter(mask)
+            out = pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(got, pa.float64())], names=["u", "v", "u_root", "v_root", "similarity"])
+            yield out.filter(pa.array([s > 0 for s in got], pa.bool_()))
 
     mine = texts.select(F.col("node").alias("u"), F.col("text").alias("mine"))
     other = texts.select(F.col("node").alias("v"), F.col("text").alias("other"))
-    both = pairs.join(mine, "u").join(other, "v").select("u", "v", "mine", "other")
-    return staged(both.mapInArrow(run, "u bigint, v bigint, similarity double"), label)
+    both = pairs.join(mine, "u").join(other, "v").select("u", "v", "u_root", "v_root", "mine", "other")
+    return staged(both.mapInArrow(run, "u bigint, v bigint, u_root bigint, v_root bigint, similarity double"), label)
+
+
+def roots(forest: DataFrame) -> DataFrame:
+    """``(u, v)`` of a forest, each node once with a smaller parent: v becomes the tree's root.
+
+    Every turn replaces a parent by its parent, so the turns grow with the depth's logarithm.
+    """
+    while True:
+        up = forest.select(F.col("u").alias("p"), F.col("v").alias("above"))
+        nxt = forest.join(up, forest["v"] == up["p"], "left").select("u", F.coalesce("above", "v").alias("v"), F.col("above").isNotNull().alias("moved"))
+        forest = staged(nxt, "near-forest")
+        if forest.where("moved").isEmpty():
+            return forest.select("u", "v")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -189,11 +203,12 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     own, as is a row with a null key unless others share its class (null if none has an id).
     Repeated rows share a class. An empty table gives no rows.
 
-    Candidates share a sketch. A bucket of any size is compared as a star: first every node with
-    the smallest node of all its buckets; then, in each bucket whose nodes are still of
-    several components, with one more node of the bucket, another one each round, until a round
-    finds no link. A pair of similar texts shares about 10 of 32 sketches, so its link doesn't hang on
-    one crowded bucket. No pairs within a bucket are listed, and no bucket meets in one task.
+    Candidates share two sketches. A bucket of any size is compared as a star: first every node with
+    that node, among the smallest nodes of its buckets, with which it shares most; then, in the
+    buckets whose nodes are still of several components, with one more node of the bucket, another
+    one each round, until a round finds no link. A pair of similar texts shares about 10 of 32
+    sketches, so its link doesn't hang on one crowded bucket. No pairs within a bucket are listed,
+    and no bucket meets in one task.
     """
     rows = sketched(docs, key, text)
     nodes = staged(rows.where(F.size("keys") > 0).groupBy("digest").agg(F.min("rid").alias("node"), F.min("id").alias("id")), "near-nodes")
@@ -201,27 +216,32 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     keyed = staged(keyed, "near-keys")
     buckets = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1").select("key", "leader"), "near-buckets")
     members = staged(keyed.join(buckets, "key"), "near-members")
-    first = members.groupBy("node").agg(F.min("leader").alias("v"))
-    needed = nodes.join(first.select("node"), "node").select("node", F.col("id").alias("_id"), F.col("digest").alias("_digest"))
+    shared = members.where("leader < node").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE)
+    shared = staged(shared, "near-shared")
+    first = shared.groupBy("node").agg(F.max(F.struct("n", (-F.col("leader")).alias("back"))).alias("best"))
+    first = first.select(F.col("node").alias("u"), (-F.col("best.back")).alias("v"))
+    some = staged(shared.select("node").unionByName(shared.select(F.col("leader").alias("node"))).distinct(), "near-some")
+    members = staged(members.select("key", "node").join(some, "node"), "near-members")
+    needed = staged(nodes.join(some, "node").select("node", F.col("id").alias("_id"), F.col("digest").alias("_digest")), "near-needed")
     whole = docs.select(F.col(key).cast("bigint").alias("id"), F.md5(text_of(text)).alias("digest"), text_of(text).alias("text"))
-    needed = staged(needed, "near-needed")
     texts = staged(whole.join(needed, (whole["digest"] == needed["_digest"]) & whole["id"].eqNullSafe(needed["_id"])).select("node", "text"), "near-texts")
-    links = verified(first.where("v < node").select(F.col("node").alias("u"), "v"), texts, "near-links")
-    stars, turn = components(links), 0
+    stars, turn = roots(verified(first.withColumns({"u_root": F.col("u"), "v_root": F.col("v")}), texts, "near-links").select("u", "v").distinct()), 0
     while True:
         turn += 1
         placed = members.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-        placed = staged(placed.select("key", "node", F.coalesce("root", "node").alias("root")), "near-placed")
+        placed = staged(placed.select("key", "node", F.coalesce("root", "node").alias("u_root")), "near-placed")
         mixed = placed.groupBy("key").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)).alias("h"), "node", "root")).alias("lead")
+            F.min("u_root").alias("low"), F.max("u_root").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "u_root")).alias("lead")
         )
-        mixed = staged(mixed.where("low < high").select("key", F.col("lead.node").alias("v"), F.col("lead.root").alias("v_root")), "near-mixed")
-        pairs = placed.join(mixed, "key").where("root != v_root").select(F.col("node").alias("u"), "v").distinct()
+        mixed = staged(mixed.where("low < high").select("key", F.col("lead.node").alias("v"), F.col("lead.u_root").alias("v_root")), "near-mixed")
+        pairs = placed.join(mixed, "key").where("u_root != v_root").select(F.col("node").alias("u"), "v", "u_root", "v_root")
+        pairs = pairs.groupBy("u", "v", "u_root", "v_root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).drop("n")
         more = verified(pairs, texts, "near-links")
         if more.isEmpty():
             break
-        links = links.unionByName(more)
-        stars = components(stars.select("u", "v").unionByName(more.select("u", "v")))
+        joined = components(more.select(F.col("u_root").alias("u"), F.col("v_root").alias("v"))).select(F.col("u").alias("old"), F.col("v").alias("new"))
+        moved = stars.join(joined, stars["v"] == joined["old"], "left").select("u", F.coalesce("new", "v").alias("v"))
+        stars = staged(moved.unionByName(joined.select(F.col("old").alias("u"), F.col("new").alias("v"))), "near-stars")
     rooted = nodes.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
     rooted = staged(rooted.select("digest", F.col("id").alias("first_id"), F.coalesce("root", "node").alias("root")), "near-rooted")
     ids = staged(rooted.groupBy("root").agg(F.min("first_id").alias("class_id")), "near-ids")
