@@ -19,8 +19,10 @@ LEAST = 0.8
 SKETCHES = 32
 MINIMA = 5
 #: Sketches that a pair must share to be compared. Texts of similarity 0.8 share 10 of 32 on average,
-#: and fewer than 2 with a chance of 5 in 100,000.
-AGREE = 2
+#: and fewer than 3 with a chance of 4 in 10,000 (of similarity 0.85: 1 in a million).
+AGREE = 3
+#: Nodes of a mixed bucket that a round compares the others with.
+LEADERS = 4
 #: Values per sketch among which its smallest are looked for.
 LIKELY = 20
 
@@ -159,19 +161,6 @@ def verified(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
     return staged(both.mapInArrow(run, "u bigint, v bigint, u_root bigint, v_root bigint, similarity double"), label)
 
 
-def roots(forest: DataFrame) -> DataFrame:
-    """``(u, v)`` of a forest, each node once with a smaller parent: v becomes the tree's root.
-
-    Every turn replaces a parent by its parent, so the turns grow with the depth's logarithm.
-    """
-    while True:
-        up = forest.select(F.col("u").alias("p"), F.col("v").alias("above"))
-        nxt = forest.join(up, forest["v"] == up["p"], "left").select("u", F.coalesce("above", "v").alias("v"), F.col("above").isNotNull().alias("moved"))
-        forest = staged(nxt, "near-forest")
-        if forest.where("moved").isEmpty():
-            return forest.select("u", "v")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``(u, v)``: every node of the edges that isn't the smallest of its component, and the smallest.
 
@@ -203,10 +192,9 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     own, as is a row with a null key unless others share its class (null if none has an id).
     Repeated rows share a class. An empty table gives no rows.
 
-    Candidates share two sketches. A bucket of any size is compared as a star: first every node with
-    that node, among the smallest nodes of its buckets, with which it shares most; then, in the
-    buckets whose nodes are still of several components, with one more node of the bucket, another
-    one each round, until a round finds no link. A pair of similar texts shares about 10 of 32
+    Candidates share three sketches. A bucket of any size is compared as a star: first every node with
+    the smallest node of each of its buckets; then, in the buckets whose nodes are still of several components, with four other nodes of the bucket, others
+    each round, until a round finds no link. A pair of similar texts shares about 10 of 32
     sketches, so its link doesn't hang on one crowded bucket. No pairs within a bucket are listed,
     and no bucket meets in one task.
     """
@@ -218,22 +206,21 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     members = staged(keyed.join(buckets, "key"), "near-members")
     shared = members.where("leader < node").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE)
     shared = staged(shared, "near-shared")
-    first = shared.groupBy("node").agg(F.max(F.struct("n", (-F.col("leader")).alias("back"))).alias("best"))
-    first = first.select(F.col("node").alias("u"), (-F.col("best.back")).alias("v"))
     some = staged(shared.select("node").unionByName(shared.select(F.col("leader").alias("node"))).distinct(), "near-some")
     members = staged(members.select("key", "node").join(some, "node"), "near-members")
     needed = staged(nodes.join(some, "node").select("node", F.col("id").alias("_id"), F.col("digest").alias("_digest")), "near-needed")
     whole = docs.select(F.col(key).cast("bigint").alias("id"), F.md5(text_of(text)).alias("digest"), text_of(text).alias("text"))
     texts = staged(whole.join(needed, (whole["digest"] == needed["_digest"]) & whole["id"].eqNullSafe(needed["_id"])).select("node", "text"), "near-texts")
-    stars, turn = roots(verified(first.withColumns({"u_root": F.col("u"), "v_root": F.col("v")}), texts, "near-links").select("u", "v").distinct()), 0
+    first = shared.select(F.col("node").alias("u"), F.col("leader").alias("v"), F.col("node").alias("u_root"), F.col("leader").alias("v_root"))
+    stars, turn = components(verified(first, texts, "near-links").select("u", "v")), 0
     while True:
         turn += 1
         placed = members.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
         placed = staged(placed.select("key", "node", F.coalesce("root", "node").alias("u_root")), "near-placed")
         mixed = placed.groupBy("key").agg(
-            F.min("u_root").alias("low"), F.max("u_root").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "u_root")).alias("lead")
+            F.min("u_root").alias("low"), F.max("u_root").alias("high"), *[F.min(F.struct(F.xxhash64("node", F.lit(LEADERS * turn + k)).alias("h"), "node", "u_root")).alias(f"lead{k}") for k in range(LEADERS)],
         )
-        mixed = staged(mixed.where("low < high").select("key", F.col("lead.node").alias("v"), F.col("lead.u_root").alias("v_root")), "near-mixed")
+        mixed = staged(mixed.where("low < high").select("key", F.explode(F.array_distinct(F.array(*[f"lead{k}" for k in range(LEADERS)]))).alias("lead")).select("key", F.col("lead.node").alias("v"), F.col("lead.u_root").alias("v_root")), "near-mixed")
         pairs = placed.join(mixed, "key").where("u_root != v_root").select(F.col("node").alias("u"), "v", "u_root", "v_root")
         pairs = pairs.groupBy("u", "v", "u_root", "v_root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).drop("n")
         more = verified(pairs, texts, "near-links")
