@@ -17,9 +17,9 @@ from tokenizers import Tokenizer
 
 from tandem.llm.common import ragged
 
-#: Letters of the Latin blocks, below U+0250. A chunk ends between one of them and an ASCII
+#: Letters of the Latin blocks, below U+0250, without the one whose lower case is two characters. A chunk ends between one of them and an ASCII
 #: character that is no letter (never before an apostrophe's contraction: see ``PARTS``).
-LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 PARTS = re.compile(rf"[{LATIN}]+(?=[\x00-\x40\x5b-\x60\x7b-\x7f]|\Z)|[\x21-\x26\x28-\x40\x5b-\x60\x7b-\x7e]+(?=[{LATIN}])|.+?(?<=[{LATIN}])(?=[\x00-\x40\x5b-\x60\x7b-\x7f])|.+", re.S)
 LETTERS = re.compile(rf"[{LATIN}]+\Z")
 
