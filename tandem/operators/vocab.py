@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tandem.functions.text import WORD_START, chars, logprob_to_freq, sanitize, spaces_only, split_piece_score, words
-from tandem.session import spread
+from tandem.session import dealt
 
 # The reserved pieces the trainer's vocabulary conversion omits.
 RESERVED_PIECES = ("<unk>", "<s>", "</s>")
@@ -37,29 +37,20 @@ def word_counts(sentences: DataFrame, text_col: str = "text", mode: str = "white
     )
 
 
-def top_k(
-    counts: DataFrame, k: int, item_col: str = "word", freq_col: str = "freq", max_gather: int = 5_000_000
-) -> DataFrame:
+def top_k(counts: DataFrame, k: int, item_col: str = "word", freq_col: str = "freq") -> DataFrame:
     """The ``k`` most frequent items (ties by item); ``k`` is the vocabulary size.
 
-    ``orderBy().limit(k)`` lets every partition send up to ``k`` rows to one final task,
-    so it is used only while ``k * partitions`` stays under ``max_gather`` rows. Beyond
-    that the exact rank comes from ``global_position`` with buckets
-    ``(-freq, first two characters)`` (monotone in the order), so no task gathers more
-    than one bucket.
+    A histogram of the frequencies (their number grows with the square root of the
+    corpus) gives the k-th frequency. Items above it pass without a sort; only those that
+    tie with it are ordered, and of these each task sends at most the rows still wanted.
     """
-    order = [F.col(freq_col).desc(), F.col(item_col).asc()]
-    try:
-        parts = counts.rdd.getNumPartitions()
-    except Exception:  # no local SparkContext: take the distributed path
-        parts = None
-    if parts is not None and k * parts <= max_gather:
-        return counts.orderBy(*order).limit(k)
-    from tandem.operators.position import global_position
-
-    bucket = F.struct((-F.col(freq_col)).alias("f"), F.substring(F.col(item_col), 1, 2).alias("p"))
-    ranked = global_position(counts, order, bucket, pos_col="_tandem_rank", super_bucket=lambda b: b["f"])
-    return ranked.where(F.col("_tandem_rank") < F.lit(k)).drop("_tandem_rank")
+    histogram = counts.groupBy(F.col(freq_col).alias("_f")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(F.col("_f").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    histogram = histogram.withColumn("_above", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_above") < k)
+    near = counts.join(histogram, counts[freq_col] == histogram["_f"])
+    rank = F.row_number().over(Window.partitionBy("_f").orderBy(F.col(item_col).asc()))
+    ties = near.where(F.col("_above") + F.col("_n") > k).withColumn("_rank", rank).where((F.col("_rank") <= k) & (F.col("_rank") <= k - F.col("_above")))
+    return near.where(F.col("_above") + F.col("_n") <= k).select(*counts.columns).unionByName(ties.select(*counts.columns))
 
 
 def char_coverage(counts: DataFrame, coverage: float = 1.0) -> DataFrame:
@@ -173,7 +164,7 @@ def learn_bpe(
 
     ensure_checkpoint_dir(spark)
     # the word table is read by every round: materialize it once in the shared folder
-    w = spread(counts.select("word", "freq", initial_symbols(F.col("word")).alias("syms"))).checkpoint(eager=True)
+    w = dealt(counts.select("word", "freq", initial_symbols(F.col("word")).alias("syms"))).checkpoint(eager=True)
     merges: list = []
     prev = None
     passes = 0
@@ -236,7 +227,7 @@ def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8, mate
     ``materialize`` it is checkpointed once, so the corpus is not re-counted per branch.
     """
     if materialize:
-        counts = spread(counts).checkpoint(eager=True)
+        counts = dealt(counts).checkpoint(eager=True)
     marked = F.concat(F.lit(WORD_START), F.col("word"))
     subs = (
         counts.select(F.explode(substrings(marked, max_piece_len)).alias("piece"), "freq")
@@ -326,7 +317,7 @@ def learn_unigram(
     """Hard-EM unigram vocabulary: seed, then ``rounds`` of (Viterbi E-step, counting
     M-step, prune to ``vocab_size`` keeping all characters). Returns ``(piece, score)``
     with ``score = ln(share)``."""
-    counts = spread(counts).checkpoint(eager=True)
+    counts = dealt(counts).checkpoint(eager=True)
     seed = unigram_seed(counts, seed_size or vocab_size * 4, max_piece_len, materialize=False)
     total = seed.select(F.sum("freq")).scalar()
     vocab = seed.select("piece", F.log(F.col("freq") / total).alias("score")).checkpoint(eager=True)
@@ -361,7 +352,8 @@ def encode(
 
     ``(sid, pieces, n_pieces)``; the join is relational (no UDF) and AQE splits a
     partition made hot by a very frequent word. A word missing from the table keeps
-    its characters as pieces. With ``with_pieces=False`` only ``(sid, n_pieces)`` is
+    its characters as pieces; a sentence without words (blank, NULL) has no pieces but
+    keeps its row. With ``with_pieces=False`` only ``(sid, n_pieces)`` is
     computed, as a partial-aggregated sum (no per-sentence arrays are gathered).
     """
     toks = sentences.select(id_col, F.posexplode(words(sanitize(text_col))).alias("tpos", "word"))
@@ -370,10 +362,13 @@ def encode(
         "_p", F.coalesce(F.col("_p"), initial_symbols(F.col("word")))
     )
     if not with_pieces:
-        return j.groupBy(id_col).agg(F.sum(F.size("_p")).cast("bigint").alias("n_pieces"))
+        g = j.groupBy(id_col).agg(F.sum(F.size("_p")).cast("bigint").alias("n_pieces"))
+        return sentences.select(id_col).join(g, on=id_col, how="left").withColumn("n_pieces", F.coalesce("n_pieces", F.lit(0).cast("bigint")))
     g = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("tpos", "_p"))).alias("_s"))
     pieces = F.flatten(F.transform("_s", lambda x: x["_p"]))
-    return g.select(id_col, pieces.alias("pieces"), F.size(pieces).cast("bigint").alias("n_pieces"))
+    g = g.select(id_col, pieces.alias("pieces"))
+    pieces = F.coalesce("pieces", F.array().cast("array<string>"))
+    return sentences.select(id_col).join(g, on=id_col, how="left").select(id_col, pieces.alias("pieces"), F.size(pieces).cast("bigint").alias("n_pieces"))
 
 
 def parse_vocab_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:

@@ -123,8 +123,9 @@ def training_vocabulary(
 ) -> DataFrame:
     """Shared vocabulary of both sides: byte cap -> seeded sample -> word table -> model.
 
-    ``model="unigram"`` gives ``(piece, score)``; ``model="bpe"`` gives merges as
-    ``(piece, score = -rank)`` like a BPE vocabulary file.
+    ``model="unigram"`` gives ``(piece, score)`` after ``rounds`` of EM. ``model="bpe"`` gives
+    ``vocab_size`` rows if the corpus has enough pairs to merge: the reserved pieces (score
+    0), the merges (``score = -rank``) and, below them, the characters.
     """
     shared = setops.shared_sentences(pairs.select("cpos", "src", "tgt"), id_col="cpos")
     shared = shared.select((F.col("cpos") * 2 + F.when(F.col("side") == "tgt", 1).otherwise(0)).alias("sid"), "text")
@@ -132,8 +133,12 @@ def training_vocabulary(
     counts = vocab.word_counts(sample)
     if model == "unigram":
         return vocab.learn_unigram(counts, vocab_size, rounds=rounds)
-    merges, _ = vocab.learn_bpe(counts, rounds)
-    return merges.select(F.col("merged").alias("piece"), (-F.col("rank")).cast("double").alias("score"))
+    chars = counts.select(F.explode(vocab.initial_symbols(F.col("word"))).alias("piece")).distinct()
+    merges, _ = vocab.learn_bpe(counts, max(0, vocab_size - chars.count() - len(vocab.RESERVED_PIECES)))
+    merges = merges.select(F.col("merged").alias("piece"), (-F.col("rank")).cast("double").alias("score"))
+    reserved = counts.sparkSession.createDataFrame([(p, 0.0) for p in vocab.RESERVED_PIECES], "piece string, score double")
+    chars = chars.select("piece", F.lit(-float(vocab_size)).alias("score"))
+    return reserved.unionByName(merges).unionByName(chars.join(merges, "piece", "left_anti"))
 
 
 def resolve_pair(codes: Sequence[str], reverse: bool = False, default_src: str = "en") -> tuple[str, str]:

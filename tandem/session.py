@@ -103,6 +103,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Deal a small derived table evenly over the session's shuffle partitions (no job runs)."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 # Tables whose rows carry whole texts: heavy per-row work (cleaning, splitting,
 # exploding) follows their scans, so a single-split scan is spread over the cores.
 TEXT_TABLES = frozenset({"documents", "conversations", "pages", "benchmark"})

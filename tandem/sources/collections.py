@@ -84,12 +84,12 @@ def require_known_codes(spark: SparkSession, codes, dim: DataFrame | None = None
     """Fail with the list of codes missing from the language table (a left anti join).
 
     ``codes`` is a list of codes or a DataFrame with a ``code`` column; only the unknown
-    codes (at most 50) reach the driver.
+    codes reach the driver, all of them.
     """
     from tandem.operators.align import check_known_codes
 
     dim = dim if dim is not None else language_dim(spark)
     df = codes if isinstance(codes, DataFrame) else spark.createDataFrame([(c,) for c in codes], "code string")
-    unknown = [r["code"] for r in check_known_codes(df.select("code").distinct(), dim).limit(50).collect()]
+    unknown = [r["code"] for r in check_known_codes(df.select("code").distinct(), dim).collect()]
     if unknown:
         raise KeyError(f"unknown language codes: {sorted(unknown)}")

@@ -25,6 +25,7 @@ def write_aligned(
     order_col: str | None = None,
     extra_partitions: Sequence[str] = (),
     name: str | None = None,
+    mode: str = "replace",
 ) -> None:
     """Write one line file per language and shard: ``out_dir/[extra=..]/lang=<code>/shard=<s>/``.
 
@@ -35,12 +36,15 @@ def write_aligned(
     All languages go through one unpivoted write, so every side is cut into the same
     shards (``floor(order / shard_width)``) and sorted the same way: line *i* of every
     language's shard file is the same row. A shard holds at most ``shard_width`` rows of
-    a unique order key, so no file or task grows with a hot key. Re-running with
-    dynamic partition overwrite replaces only the shards it writes.
+    a unique order key, so no file or task grows with a hot key. ``mode="replace"``
+    empties the output first, so a re-run leaves no stale rows; ``mode="append_range"``
+    replaces only the shards it writes, for an export in id ranges.
     """
+    if mode not in ("replace", "append_range"):
+        raise ValueError(f"unknown mode {mode!r}")
     order = order_col or id_col
     parts = list(extra_partitions)
-    shard = F.lpad(F.floor(F.col(order) / F.lit(shard_width)).cast("string"), 12, "0")
+    shard = F.format_string("%012d", F.floor(F.col(order) / F.lit(shard_width)))
     long = _unpivot(df.withColumn("shard", shard), codes, [*parts, "shard", order])
     if name is not None:
         long = long.withColumn("lang", F.concat(F.lit(f"{name}."), F.col("lang")))
@@ -49,7 +53,7 @@ def write_aligned(
         .sortWithinPartitions(*parts, "lang", "shard", order)
         .select(*parts, "lang", "shard", "text")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
         .option("maxRecordsPerFile", 0)  # one file per (lang, shard), whatever the session says
         .partitionBy(*parts, "lang", "shard")
         .option("lineSep", "\n")

@@ -83,17 +83,36 @@ def test_manifest_round_trip(spark, tmp_out):
     assert (back.pair, back.version, back.n_valid) == ("en-de", "2502.50.200", 7)
 
 
-def test_rerun_replaces_only_written_shards(spark, tmp_out):
+def test_append_range_replaces_only_written_shards(spark, tmp_out):
     schema = "id long, en string, de string"
-    write_aligned(spark.createDataFrame([(i, f"e{i}", f"d{i}") for i in range(100)], schema), ["en", "de"], f"{tmp_out}/k2", shard_width=50)
+    write = lambda rows: write_aligned(spark.createDataFrame(rows, schema), ["en", "de"], f"{tmp_out}/k2", shard_width=50, mode="append_range")
+    write([(i, f"e{i}", f"d{i}") for i in range(-5, 100)])
     # a later id range, then a corrected first range: other shards stay as they are
-    write_aligned(spark.createDataFrame([(i, f"e{i}", f"d{i}") for i in range(100, 150)], schema), ["en", "de"], f"{tmp_out}/k2", shard_width=50)
-    write_aligned(spark.createDataFrame([(i, f"E{i}", f"D{i}") for i in range(50)], schema), ["en", "de"], f"{tmp_out}/k2", shard_width=50)
+    write([(i, f"e{i}", f"d{i}") for i in range(100, 150)])
+    write([(i, f"E{i}", f"D{i}") for i in range(50)])
     back = read_aligned(spark, f"{tmp_out}/k2", ["en", "de"]).collect()
-    assert len(back) == 150
+    assert len(back) == 155 and {r.shard for r in back} == {-1, 0, 1, 2}
     assert sorted(r.shard for r in back if r.en.startswith("E")) == [0] * 50
 
 
+def test_a_rerun_leaves_no_stale_rows(spark, tmp_out):
+    schema = "id long, en string, de string"
+    for n in (25, 5):
+        write_aligned(spark.createDataFrame([(i, f"e{i}", f"d{i}") for i in range(n)], schema), ["en", "de"], f"{tmp_out}/again", shard_width=5)
+        assert read_aligned(spark, f"{tmp_out}/again", ["en", "de"]).count() == n
+
+
+def test_a_rerun_leaks_no_validation_pair(spark, tmp_out):
+    from tandem.plans.corpus import write_splits
+
+    rows = [("d", i, f"e{i}", f"d{i}") for i in range(25)]
+    pairs = spark.createDataFrame(rows, "dataset string, line_no long, src string, tgt string")
+    for n in (20, 2):
+        write_splits(shuffle_split(pairs, n), f"{tmp_out}/splits")
+    back = read_aligned(spark, f"{tmp_out}/splits", ["src", "tgt"], extra_partitions=["split"]).collect()
+    assert len(back) == 25 and len({r.src for r in back}) == 25 and sum(r.split == "valid" for r in back) == 2
+
+
 def test_export_feeds_the_split_plan(spark, tmp_out):
     en = spark.createDataFrame([(i, f"e{i}") for i in range(0, 60)], "id long, text string")
     de = spark.createDataFrame([(i, f"d{i}") for i in range(0, 60, 2)], "id long, text string")

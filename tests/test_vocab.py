@@ -100,7 +100,7 @@ def test_top_k_distributed_path_equals_sort_limit(spark):
     rows = [(f"w{rnd.randint(0, 5000)}x{i}", rnd.choice([1, 1, 1, 2, 3, 7, 50])) for i in range(3000)]
     df = spark.createDataFrame(rows, "word string, freq long").repartition(6)
     want = [tuple(r) for r in df.orderBy(F.col("freq").desc(), "word").limit(700).collect()]
-    got = sorted((tuple(r) for r in top_k(df, 700, max_gather=0).collect()), key=lambda t: (-t[1], t[0]))
+    got = sorted((tuple(r) for r in top_k(df, 700).collect()), key=lambda t: (-t[1], t[0]))
     assert got == want
 
 
@@ -182,3 +182,10 @@ def test_char_mode_and_count_only_encode(spark):
     full = {r.sid: r.n_pieces for r in encode(df, words, pieces_col="syms").collect()}
     only = {r.sid: r.n_pieces for r in encode(df, words, pieces_col="syms", with_pieces=False).collect()}
     assert full == only
+
+
+def test_encode_keeps_sentences_without_words(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, "  "), (3, None)], "sid long, text string")
+    pieces = spark.createDataFrame([("a", ["a"])], "word string, pieces array<string>")
+    for full in (True, False):
+        assert {r.sid: r.n_pieces for r in encode(rows, pieces, with_pieces=full).collect()} == {1: 3, 2: 0, 3: 0}
