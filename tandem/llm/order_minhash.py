@@ -248,7 +248,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     Candidates share three sketches. A bucket of any size is compared as a star: first every node with
     the smallest node of each of its buckets; then, in the buckets whose nodes are still of several components, with eight other nodes of the bucket,
-    others each round, until a round finds no link. A pair of similar texts shares about 10 of 32
+    others each round, until a round finds no link. A node that leads fewer than three buckets can't share
+    three with any other as their leader, so it isn't joined. A pair of similar texts shares about 10 of 32
     sketches, so its link doesn't hang on one crowded bucket. No pairs within a bucket are listed,
     and no bucket meets in one task.
     """
@@ -276,7 +277,10 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         mixed = placed.groupBy("key").agg(
             F.min("u_root").alias("low"), F.max("u_root").alias("high"), *[F.min(F.struct(F.xxhash64("node", F.lit(LEADERS * turn + k)).alias("h"), "node", "u_root")).alias(f"lead{k}") for k in range(LEADERS)],
         )
-        mixed = staged(mixed.where("low < high").select("key", F.explode(F.array_distinct(F.array(*[f"lead{k}" for k in range(LEADERS)]))).alias("lead")).select("key", F.col("lead.node").alias("v"), F.col("lead.u_root").alias("v_root")).coalesce(parts), "near-mixed")
+        leads = mixed.where("low < high").select("key", F.explode(F.array_distinct(F.array(*[f"lead{k}" for k in range(LEADERS)]))).alias("lead"))
+        leads = staged(leads.select("key", F.col("lead.node").alias("v"), F.col("lead.u_root").alias("v_root")).coalesce(parts), "near-leads")
+        often = leads.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).select("v")
+        mixed = staged(leads.join(often, "v").coalesce(parts), "near-mixed")
         pairs = placed.join(mixed, "key").where("u_root != v_root").select(F.col("node").alias("u"), "v", "u_root", "v_root")
         pairs = pairs.groupBy("u", "v", "u_root", "v_root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).drop("n")
         more = verified(pairs, texts, "near-links", parts)
