@@ -247,7 +247,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     Repeated rows share a class. An empty table gives no rows.
 
     Candidates share three sketches. A bucket of any size is compared as a star: first every node with
-    the smallest node of each of its buckets; then, in the buckets whose nodes are still of several components, with eight other nodes of the bucket,
+    the weightiest node of each of its buckets, that with the most company in all of its own (the text that the
+    others were copied from, if it is there); then, in the buckets whose nodes are still of several components, with eight other nodes of the bucket,
     others each round, until a round finds no link. A node that leads fewer than three buckets can't share
     three with any other as their leader, so it isn't joined. A pair of similar texts shares about 10 of 32
     sketches, so its link doesn't hang on one crowded bucket. No pairs within a bucket are listed,
@@ -257,13 +258,15 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     nodes = staged(rows.where(F.size("keys") > 0).groupBy("digest").agg(F.min("rid").alias("node"), F.min("id").alias("id")), "near-nodes")
     keyed = rows.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select(F.col("rid").alias("node"), F.explode("keys").alias("key"))
     keyed = staged(keyed, "near-keys")
-    buckets = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1").select("key", "leader"), "near-buckets")
+    buckets = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-buckets")
     members = staged(keyed.join(buckets, "key"), "near-members")
     parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-members.count() // FILE_ROWS))
-    shared = members.where("leader < node").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE)
-    shared = staged(shared.coalesce(parts), "near-shared")
-    some = staged(members.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).select("node").coalesce(parts), "near-some")
+    some = members.groupBy("node").agg(F.count(F.lit(1)).alias("shares"), F.sum("n").alias("weight")).where(F.col("shares") >= AGREE)
+    some = staged(some.select("node", "weight").coalesce(parts), "near-some")
     members = staged(members.select("key", "node").join(some, "node").coalesce(parts), "near-members")
+    heads = staged(members.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("leader")).coalesce(parts), "near-heads")
+    shared = members.join(heads, "key").where("leader != node").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE)
+    shared = staged(shared.coalesce(parts), "near-shared")
     needed = staged(nodes.join(some, "node").select("node", F.col("id").alias("_id"), F.col("digest").alias("_digest")).coalesce(parts), "near-needed")
     whole = docs.select(F.col(key).cast("bigint").alias("id"), F.md5(text_of(text)).alias("digest"), text_of(text).alias("text"))
     texts = within(whole, needed.withColumnRenamed("_digest", "digest"), "digest").join(needed, (F.col("digest") == F.col("_digest")) & F.col("id").eqNullSafe(F.col("_id"))).select("node", "text")
