@@ -280,8 +280,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         mixed = placed.groupBy("key").agg(
             F.min("u_root").alias("low"), F.max("u_root").alias("high"), *[F.min(F.struct(F.xxhash64("node", F.lit(LEADERS * turn + k)).alias("h"), "node", "u_root")).alias(f"lead{k}") for k in range(LEADERS)],
         )
-        leads = mixed.where("low < high").select("key", F.explode(F.array_distinct(F.array(*[f"lead{k}" for k in range(LEADERS)]))).alias("lead"))
-        leads = staged(leads.select("key", F.col("lead.node").alias("v"), F.col("lead.u_root").alias("v_root")).coalesce(parts), "near-leads")
+        chosen = F.array(*[F.struct(F.col(f"lead{k}.node").alias("v"), F.col(f"lead{k}.u_root").alias("v_root")) for k in range(LEADERS)])
+        leads = staged(mixed.where("low < high").select("key", F.explode(F.array_distinct(chosen)).alias("lead")).select("key", "lead.*").coalesce(parts), "near-leads")
         often = leads.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).select("v")
         mixed = staged(leads.join(often, "v").coalesce(parts), "near-mixed")
         pairs = placed.join(mixed, "key").where("u_root != v_root").select(F.col("node").alias("u"), "v", "u_root", "v_root")
