@@ -629,13 +629,14 @@ def run_manifest(spark, sf_dir):
 
 # ---- vocabulary ---------------------------------------------------------------------------
 
-WORDS_SQL = f"(SELECT word, CAST(count(*) AS BIGINT) AS freq FROM (SELECT unnest({S.words(S.sanitize('text'))}) AS word FROM {SHARED_SQL}) GROUP BY word)"
+WORDS_SQL = f"(SELECT word, CAST(count(*) AS BIGINT) AS freq FROM (SELECT unnest({S.words(S.sanitize('text'))}) AS word FROM (SELECT line AS text FROM {fx.DOC_LINES_SQL})) GROUP BY word)"
 
 
 def shared_word_counts(spark, sf_dir) -> DataFrame:
+    """Words of every line of both sides; a vocabulary needs no alignment."""
     from tandem.operators.vocab import word_counts
 
-    return word_counts(shared_clean(spark, sf_dir))
+    return word_counts(fx.document_lines(spark, sf_dir).select(F.col("line").alias("text")))
 
 
 @register("word_vocab", f"SELECT word, freq FROM {WORDS_SQL} ORDER BY freq DESC, word LIMIT {VOCAB_SIZE}")

@@ -67,14 +67,22 @@ def zip_lines(
 ) -> DataFrame:
     """Positional join of two line tables on ``(dataset, line_no)``.
 
-    ``mode="strict"`` keeps matched positions only; ``mode="report"`` is a full outer
-    join so that a surplus line on either side shows up with NULL on the other.
+    ``mode="strict"`` fails the job at the first surplus line of either side (NULL lines
+    count as lines); ``mode="matched"`` keeps the positions that both sides have;
+    ``mode="report"`` is a full outer join, so that a surplus line on either side shows up
+    with NULL on the other.
     """
+    if mode not in ("strict", "matched", "report"):
+        raise ValueError(f"unknown mode {mode!r}")
     keys = list(keys)
     s = src.select(*keys, F.col(text_col).alias("src"))
     t = tgt.select(*keys, F.col(text_col).alias("tgt"))
-    how = "inner" if mode == "strict" else "full_outer"
-    return s.join(t, on=keys, how=how)
+    if mode != "strict":
+        return s.join(t, on=keys, how="inner" if mode == "matched" else "full_outer")
+    both = s.withColumn("_s", F.lit(True)).join(t.withColumn("_t", F.lit(True)), on=keys, how="full_outer")
+    at = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    surplus = F.raise_error(F.concat(F.lit("surplus line without a counterpart at "), at)).cast("boolean")
+    return both.where(F.when(F.col("_s") & F.col("_t"), F.lit(True)).otherwise(surplus)).drop("_s", "_t")
 
 
 def lookup_dimension(df: DataFrame, dim: DataFrame, key: str, dim_key: str = "code", how: str = "left") -> DataFrame:

@@ -127,7 +127,7 @@ def assert_aligned(report: DataFrame) -> None:
 def dedup_pairs(df: DataFrame, key: str = "pair", id_col: str = "id", cols: Sequence[str] = ("src", "tgt")) -> DataFrame:
     """Keep the lowest-id row for every distinct pair (or distinct ``src``/``tgt``).
 
-    ``min_by`` aggregates partially before the shuffle, so a text repeated millions of
+    The aggregate works partially before the shuffle, so a text repeated millions of
     times is reduced map-side; the result does not depend on partitioning.
     """
     if key == "pair":
@@ -137,6 +137,8 @@ def dedup_pairs(df: DataFrame, key: str = "pair", id_col: str = "id", cols: Sequ
     else:
         raise ValueError(f"unknown key {key!r}")
     rest = [c for c in df.columns if c not in keys and c != id_col]
+    if not rest:  # min of a number hash-aggregates; min_by's struct buffer would sort whole texts
+        return df.groupBy(*keys).agg(F.min(id_col).alias(id_col)).select(id_col, *keys)
     best = F.min_by(F.struct(F.col(id_col), *[F.col(c) for c in rest]), F.col(id_col)).alias("_best")
     g = df.groupBy(*keys).agg(best)
     return g.select(F.col(f"_best.{id_col}").alias(id_col), *keys, *[F.col(f"_best.{c}").alias(c) for c in rest])

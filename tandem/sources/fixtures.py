@@ -58,7 +58,8 @@ def dataset_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return src, tgt
 
 
-def line_pairs(spark: SparkSession, sf_dir: str, mode: str = "strict") -> DataFrame:
+def line_pairs(spark: SparkSession, sf_dir: str, mode: str = "matched") -> DataFrame:
+    """Line pairs of neighbouring documents, whose line counts differ by design."""
     src, tgt = dataset_sides(spark, sf_dir)
     return zip_lines(src, tgt, mode=mode)
 

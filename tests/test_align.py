@@ -43,6 +43,11 @@ def test_unequal_files_report_and_strict(spark):
     assert (rep.src_surplus, rep.tgt_surplus) == (1, 0)
     with pytest.raises(ValueError):
         assert_aligned(alignment_report(zip_lines(src, tgt, mode="report")))
+    for one, other in ((src, tgt), (tgt, src)):
+        with pytest.raises(Exception, match="surplus line without a counterpart at d, 4"):
+            zip_lines(one, other).collect()
+    assert zip_lines(src, tgt, mode="matched").count() == 4
+    assert zip_lines(tgt, tgt).count() == 4
 
 
 def test_dedup_keeps_lowest_id(spark):
