@@ -21,15 +21,18 @@ MINIMA = 5
 #: Sketches that a pair must share to be compared. Texts of similarity 0.8 share 10 of 32 on average,
 #: and fewer than 3 with a chance of 4 in 10,000 (of similarity 0.85: 1 in a million).
 AGREE = 3
-#: Nodes of a mixed bucket that a round compares the others with.
-LEADERS = 8
+#: Nodes and bytes of text of a bucket's block at most (a longer text is a block of its own), and how many
+#: pairs of two blocks have their signatures compared at a time.
+BLOCK = 512
+BLOCK_BYTES = 4 << 20
+PAIRS = 1 << 15
 #: Bytes of a text's set signature, and how many of them two texts share whose shingle sets have a Jaccard
 #: similarity of 0.8 (102 on average; 85 or fewer with a chance of about 1 in 10,000).
 SIGNED = 128
 SIGNED_ALIKE = 85
 #: Bits of the filter that keeps texts without a candidate out of the shuffle: 8 MB at any size of the corpus.
 FILTER_BITS = 1 << 26
-#: Rows of bucket members for each file of the small tables that the rounds write.
+#: Rows of bucket members for each file of the small tables.
 FILE_ROWS = 100_000
 #: Values per sketch among which its smallest are looked for.
 LIKELY = 20
@@ -180,6 +183,11 @@ def within(rows: DataFrame, wanted: DataFrame, digest: str) -> DataFrame:
     return marked.where(F.floor(byte / F.pow(F.lit(2), hit)) % 2 == 1).select(*rows.columns)
 
 
+def may_be_alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the signatures in the rows of ``a`` and ``b`` let the texts be similar."""
+    return (a == b).sum(axis=1) > SIGNED_ALIKE
+
+
 def alike(pairs: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
     """The pairs whose signatures let them be similar: an alignment is never above the Jaccard similarity
     of the shingle sets, so the whole texts of the others needn't be brought together."""
@@ -188,7 +196,7 @@ def alike(pairs: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, SIGNED) for k in (4, 5))
-                yield pa.RecordBatch.from_arrays(batch.columns[:4], names=["u", "v", "u_root", "v_root"]).filter(pa.array((a == b).sum(axis=1) > SIGNED_ALIKE))
+                yield pa.RecordBatch.from_arrays(batch.columns[:4], names=["u", "v", "u_root", "v_root"]).filter(pa.array(may_be_alike(a, b)))
 
     mine = texts.select(F.col("node").alias("u"), F.col("mark").alias("mine"))
     other = texts.select(F.col("node").alias("v"), F.col("mark").alias("other"))
@@ -237,6 +245,104 @@ def components(edges: DataFrame, parts: int) -> DataFrame:
         edges = staged(small.distinct().coalesce(parts), "near-small")
 
 
+def blocks_of(placed: DataFrame, texts: DataFrame, rows: DataFrame, parts: int) -> DataFrame:
+    """The buckets of several components, cut into blocks: their nodes are dealt and sorted by range of key, root
+    and node, so a large bucket spreads over tasks and most of its blocks are of one component."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, size = None, [], 0
+        for batch in small_batches(batches, 5):
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and (row[0] != key or len(held) == BLOCK or size + len(row[5]) > BLOCK_BYTES):
+                    yield block(key, held)
+                    held, size = [], 0
+                key, size = row[0], size + len(row[5])
+                held.append(row[1:])
+        if held:
+            yield block(key, held)
+
+    def block(key: int, held: list[tuple]) -> pa.RecordBatch:
+        nodes, roots, marks, keys, bodies = zip(*held, strict=True)
+        keys = np.array(keys, np.int64).tobytes()
+        row = ((key, "int64"), (min(roots), "int64"), (max(roots), "int64"), (nodes, LONGS), (roots, LONGS), (b"".join(marks), "binary"), (keys, "binary"), (bodies, pa.list_(pa.string())))
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in row], names=["key", "low", "high", *BLOCKS])
+
+    mixed = placed.groupBy("key").agg(F.min("u_root").alias("low"), F.max("u_root").alias("high")).where("low < high").select("key")
+    mixed = staged(placed.join(mixed, "key").coalesce(parts), "near-mixed")
+    often = mixed.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).select("node")
+    facts = texts.join(rows.select(F.col("rid").alias("node"), "keys"), "node")
+    open_rows = staged(mixed.join(often, "node").coalesce(parts), "near-open").join(facts, "node")
+    dealt = open_rows.repartitionByRange(parts, "key", "u_root", "node").sortWithinPartitions("key", "u_root", "node")
+    dealt = dealt.select("key", "node", "u_root", "mark", "keys", "text")
+    found = dealt.mapInArrow(cut, "key bigint, low bigint, high bigint, nodes array<bigint>, roots array<bigint>, marks binary, sketches binary, texts array<string>")
+    return staged(found.withColumn("block", F.monotonically_increasing_id()), "near-blocks")
+
+
+LONGS = pa.list_(pa.int64())
+BLOCKS = ["nodes", "roots", "marks", "sketches", "texts"]
+
+
+def unmet(placed: DataFrame, texts: DataFrame, rows: DataFrame, parts: int) -> DataFrame:
+    """Links (u, v) between the roots of all components that are tied by a pair of similar texts with ``AGREE``
+    shared sketches.
+
+    Each block of a bucket meets each other one, and itself, in a row of its own, unless both are of one and the
+    same component. There all pairs of different components have their signatures compared; those that pass and
+    share the sketches have their texts aligned, in the first bucket that they share, unless the row's links tie
+    their components already. Only links become rows.
+    """
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                links = joined_in(batch.slice(k, 1).to_pylist()[0])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*links, strict=True) if links else ((), ()))], names=["u", "v"])
+
+    def joined_in(cell: dict) -> list[tuple[int, int]]:
+        sides, tied, links = [], {}, []
+        for side in ("", "other_"):
+            nodes, roots, marks, keys, bodies = (cell[side + c] for c in BLOCKS)
+            marks, keys = (np.frombuffer(x, t).reshape(len(nodes), -1) for x, t in ((marks, np.uint8), (keys, np.int64)))
+            sides.append((np.array(roots, np.int64), marks, keys, bodies, {}))
+        (roots, marks, keys, bodies, known), (o_roots, o_marks, o_keys, o_bodies, o_known) = sides
+
+        def top(root: int) -> int:
+            while root in tied:
+                root = tied[root]
+            return root
+
+        def of(at: int, bodies: list[str], known: dict[int, np.ndarray]) -> np.ndarray:
+            if at not in known:
+                known[at] = shingles(bodies[at])
+            return known[at]
+
+        differs = roots[:, None] != o_roots[None, :]
+        if cell["block"] == cell["other"]:
+            differs = np.triu(differs)
+        all_x, all_y = np.nonzero(differs)
+        for a in range(0, len(all_x), PAIRS):
+            x, y = all_x[a : a + PAIRS], all_y[a : a + PAIRS]
+            fits = may_be_alike(marks[x], o_marks[y])
+            x, y = x[fits], y[fits]
+            same = keys[x] == o_keys[y]
+            here = (same.sum(axis=1) >= AGREE) & (keys[x, same.argmax(axis=1)] == cell["key"])
+            for p, q in zip(x[here].tolist(), y[here].tolist(), strict=True):
+                mine, other = top(int(roots[p])), top(int(o_roots[q]))
+                if mine != other and aligned_similarity(of(p, bodies, known), of(q, o_bodies, o_known)):
+                    tied[max(mine, other)] = min(mine, other)
+                    links.append((max(mine, other), min(mine, other)))
+        return links
+
+    blocks = blocks_of(placed, texts, rows, parts)
+    light = blocks.select("key", "block", "low", "high")
+    other = light.select("key", F.col("block").alias("other"), F.col("low").alias("l"), F.col("high").alias("h"))
+    cells = light.join(other, "key").where("block <= other and not (low = high and l = h and low = l)").select("key", "block", "other")
+    cells = staged(cells, "near-cells").join(blocks.select("block", *BLOCKS), "block")
+    cells = cells.join(blocks.select(F.col("block").alias("other"), *[F.col(c).alias("other_" + c) for c in BLOCKS]), "other")
+    cells = cells.select("key", "block", "other", *BLOCKS, *["other_" + c for c in BLOCKS])
+    return staged(cells.mapInArrow(meet, "u bigint, v bigint").distinct(), "near-unmet")
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: id, digest, class_id (the smallest id of its class) and whether it is the
     smallest of equal texts.
@@ -246,13 +352,10 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     own, as is a row with a null key unless others share its class (null if none has an id).
     Repeated rows share a class. An empty table gives no rows.
 
-    Candidates share three sketches. A bucket of any size is compared as a star: first every node with
+    Candidates share three sketches. Every bucket is first compared as a star: every node with
     the weightiest node of each of its buckets, that with the most company in all of its own (the text that the
-    others were copied from, if it is there); then, in the buckets whose nodes are still of several components, with eight other nodes of the bucket,
-    others each round, until a round finds no link. A node that leads fewer than three buckets can't share
-    three with any other as their leader, so it isn't joined. A pair of similar texts shares about 10 of 32
-    sketches, so its link doesn't hang on one crowded bucket. No pairs within a bucket are listed,
-    and no bucket meets in one task.
+    others were copied from, if it is there). What the stars leave apart is closed exactly, see ``unmet``: block of
+    a bucket against block, so no bucket meets in one task, and no pairs within a bucket are listed.
     """
     rows = sketched(docs, key, text)
     nodes = staged(rows.where(F.size("keys") > 0).groupBy("digest").agg(F.min("rid").alias("node"), F.min("id").alias("id")), "near-nodes")
@@ -272,24 +375,12 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     texts = within(whole, needed.withColumnRenamed("_digest", "digest"), "digest").join(needed, (F.col("digest") == F.col("_digest")) & F.col("id").eqNullSafe(F.col("_id"))).select("node", "text")
     texts = staged(signed(texts), "near-texts")
     first = shared.select(F.col("node").alias("u"), F.col("leader").alias("v"), F.col("node").alias("u_root"), F.col("leader").alias("v_root"))
-    stars, turn = components(verified(first, texts, "near-links", parts).select("u", "v"), parts), 0
-    while True:
-        turn += 1
-        placed = members.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-        placed = staged(placed.select("key", "node", F.coalesce("root", "node").alias("u_root")).coalesce(parts), "near-placed")
-        mixed = placed.groupBy("key").agg(
-            F.min("u_root").alias("low"), F.max("u_root").alias("high"), *[F.min(F.struct(F.xxhash64("node", F.lit(LEADERS * turn + k)).alias("h"), "node", "u_root")).alias(f"lead{k}") for k in range(LEADERS)],
-        )
-        chosen = F.array(*[F.struct(F.col(f"lead{k}.node").alias("v"), F.col(f"lead{k}.u_root").alias("v_root")) for k in range(LEADERS)])
-        leads = staged(mixed.where("low < high").select("key", F.explode(F.array_distinct(chosen)).alias("lead")).select("key", "lead.*").coalesce(parts), "near-leads")
-        often = leads.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).select("v")
-        mixed = staged(leads.join(often, "v").coalesce(parts), "near-mixed")
-        pairs = placed.join(mixed, "key").where("u_root != v_root").select(F.col("node").alias("u"), "v", "u_root", "v_root")
-        pairs = pairs.groupBy("u", "v", "u_root", "v_root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).drop("n")
-        more = verified(pairs, texts, "near-links", parts)
-        if more.isEmpty():
-            break
-        joined = components(more.select(F.col("u_root").alias("u"), F.col("v_root").alias("v")), parts).select(F.col("u").alias("old"), F.col("v").alias("new"))
+    stars = components(verified(first, texts, "near-links", parts).select("u", "v"), parts)
+    placed = members.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
+    placed = staged(placed.select("key", "node", F.coalesce("root", "node").alias("u_root")).coalesce(parts), "near-placed")
+    more = unmet(placed, texts, rows, parts)
+    if not more.isEmpty():
+        joined = components(more, parts).select(F.col("u").alias("old"), F.col("v").alias("new"))
         moved = stars.join(joined, stars["v"] == joined["old"], "left").select("u", F.coalesce("new", "v").alias("v"))
         stars = staged(moved.unionByName(joined.select(F.col("old").alias("u"), F.col("new").alias("v"))).coalesce(parts), "near-stars")
     rooted = nodes.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
