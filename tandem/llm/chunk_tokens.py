@@ -21,6 +21,8 @@ from tandem.llm.common import ragged
 #: character that is no letter (never before an apostrophe's contraction: see ``PARTS``).
 LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 PARTS = re.compile(rf"[{LATIN}]+(?=[\x00-\x40\x5b-\x60\x7b-\x7f]|\Z)|[\x21-\x26\x28-\x40\x5b-\x60\x7b-\x7e]+(?=[{LATIN}])|.+?(?<=[{LATIN}])(?=[\x00-\x40\x5b-\x60\x7b-\x7f])|.+", re.S)
+#: What the tokenizer's \\s takes for white space; Arrow's own split also takes U+001C to U+001F, which have ids.
+SPACES = "[\\x{9}-\\x{d}\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
 LETTERS = re.compile(rf"[{LATIN}]+\Z")
 
 
@@ -60,7 +62,8 @@ class ChunkEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each."""
         texts = texts.cast(pa.large_string()).fill_null("")
-        lists = pc.utf8_split_whitespace(texts)
+        separators = pc.any(pc.match_substring_regex(texts, r"[\x1c-\x1f]")).as_py()
+        lists = pc.split_pattern_regex(texts, SPACES) if separators else pc.utf8_split_whitespace(texts)
         offsets = np.asarray(lists.offsets, dtype=np.int64)
         words = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         offsets = offsets - offsets[0]
