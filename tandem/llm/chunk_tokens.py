@@ -26,14 +26,25 @@ SPACES = "[\\x{9}-\\x{d}\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{202
 LETTERS = re.compile(rf"[{LATIN}]+\Z")
 
 
+def added_pattern(tokenizer: Tokenizer) -> str | None:
+    """A pattern of all texts that may hold an added token of the file; None if it has none."""
+    tokens = tokenizer.get_added_tokens_decoder().values()
+    if any(t.normalized for t in tokens):
+        return ""  # they are found in the normalised text: any text may hold one
+    return "|".join(re.escape(t.content) for t in tokens) or None
+
+
 class ChunkEncoder:
     """Ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
-    Strings of special tokens in a text are ordinary text. At most ``most`` chunks are
+    With ``added``, the file's added tokens in a text have their ids, as by the unchanged tokenizer, which
+    encodes such texts whole; without, their strings are ordinary text. At most ``most`` chunks are
     remembered; when full, the memory starts afresh.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 1_000_000, added: bool = False):
+        self.whole = Tokenizer.from_file(path)
+        self.added = added_pattern(self.whole) if added else None
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most = most
@@ -62,6 +73,18 @@ class ChunkEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each."""
         texts = texts.cast(pa.large_string()).fill_null("")
+        held = pc.match_substring_regex(texts, self.added) if self.added is not None else None
+        if held is None or not pc.any(held).as_py():
+            return self._plain(texts)
+        ids, counts = self._plain(pc.if_else(held, pa.scalar("", pa.large_string()), texts))
+        whole = self.whole.encode_batch_fast(texts.filter(held).to_pylist(), add_special_tokens=False)
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for k, got in zip(np.flatnonzero(held.to_numpy(zero_copy_only=False)).tolist(), whole, strict=True):
+            parts[k] = np.array(got.ids, np.uint32)
+            counts[k] = len(got.ids)
+        return np.concatenate(parts), counts
+
+    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         separators = pc.any(pc.match_substring_regex(texts, r"[\x1c-\x1f]")).as_py()
         lists = pc.split_pattern_regex(texts, SPACES) if separators else pc.utf8_split_whitespace(texts)
         offsets = np.asarray(lists.offsets, dtype=np.int64)
@@ -80,5 +103,5 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 def chunk_encoder(path: str) -> ChunkEncoder:
     """The worker's encoder of a tokenizer file; it lives as long as the worker."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
+        _ENCODERS[path] = ChunkEncoder(path, added=True)
     return _ENCODERS[path]

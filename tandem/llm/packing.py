@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tandem.llm.chunk_tokens import added_pattern
 from tandem.llm.common import small_batches, text_of
 
 #: Split pattern of the byte-level vocabulary (a fixed value of that public tokenizer).
@@ -25,20 +26,23 @@ LONG_RUN = re.compile(r"\S{5000}|\s{5000}")
 
 
 @lru_cache(maxsize=4)
-def byte_encoder(json_path: str, ranks_path: str):
+def byte_encoder(json_path: str, ranks_path: str, added: bool = False):
     """Text to ids of the byte-level vocabulary; both files hold the same one.
 
-    The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)`` with strings of
-    special tokens taken as ordinary text; the rank file serves a faster library.
+    The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``; the rank file serves a
+    faster library. With ``added``, texts that hold an added token of the file go to the unchanged
+    tokenizer; without, the strings of such tokens are ordinary text.
     """
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("byte", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
     sure = Tokenizer.from_file(json_path)
-    sure.encode_special_tokens = True
+    pattern = added_pattern(sure) if added else None
+    holds = re.compile(pattern).search if pattern is not None else lambda text: None
+    sure.encode_special_tokens = not added
 
     def encode(text: str) -> np.ndarray:
-        if LONG_RUN.search(text):
+        if holds(text) or LONG_RUN.search(text):
             return np.array(sure.encode(text, add_special_tokens=False).ids, np.uint32)
         return fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32, copy=False)
 
@@ -147,7 +151,7 @@ def pack(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = byte_encoder(json_path, ranks_path)
+        encode = byte_encoder(json_path, ranks_path, added=True)
         context = TaskContext.get()
         sequence = (context.partitionId() if context else 0) << 36
         pool: list[tuple[int | None, np.ndarray]] = []
