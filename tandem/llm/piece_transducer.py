@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-The normaliser, the pieces and the byte fallback are compiled into one transducer over
-characters. Composed with an input it is a lattice of pieces, and the encoding is the lattice's
+The pieces and the byte fallback are compiled into one transducer over characters. Only models with
+an identity normaliser are taken: spaces become marks beforehand, other rules raise an error. Composed with an input it is a lattice of pieces, and the encoding is the lattice's
 shortest path in the tropical semiring (weights add along a path, the least path wins).
 
 In a unigram model a piece weighs its negative log-probability. In a BPE model the path is the one
