@@ -15,8 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tandem.functions.text import perm_key
+from tandem.session import shared_dir
 
 _B = "_tandem_bkt"
 _OFF = "_tandem_off"
@@ -97,6 +99,61 @@ def global_position(
     return out if limit is None else out.where(F.col(pos_col) < F.lit(limit))
 
 
+def ranked(
+    df: DataFrame,
+    order_cols: Sequence,
+    partition_by: Sequence[str] = (),
+    pos_col: str = "pos",
+    total_col: str | None = None,
+    parts: int | None = None,
+    uniform_key: str | None = None,
+) -> DataFrame:
+    """``global_position`` in one pass over the input: range partitions, counts, offsets.
+
+    The rows are range-partitioned once by ``(*partition_by, *order_cols)``, sorted within
+    their partitions and written to the shared folder. A row's position is then its index
+    inside its file (Parquet's row index) plus the rows of the files before: a table of one
+    row per file and group, counted from the written key columns. No window ever runs over
+    rows, and the input is run for one exchange instead of once to count and once to number.
+
+    Rows that tie in the whole key are split between tasks only if the last order column
+    tells them apart. ``uniform_key`` names a hex digest that leads the order: its
+    partitions then come from its first eight digits, without the sampling job of a range
+    partitioning. ``total_col`` adds the number of rows of the group.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(p).asc_nulls_first() for p in partition_by] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    if uniform_key is not None:
+        share = F.conv(F.substring(uniform_key, 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
+        dealt = df.repartitionById(parts, F.floor(share * parts).cast("int"))
+    else:
+        dealt = df.repartitionByRange(parts, *keys)
+    path = shared_dir(spark, "ranked")
+    dealt.sortWithinPartitions(*keys).withColumn(_B, F.spark_partition_id()).write.parquet(path)
+    schema = T.StructType([*df.schema, T.StructField(_B, T.IntegerType())])
+    rows = spark.read.schema(schema).parquet(path)
+    rows = rows.select("*", F.col("_metadata.file_name").alias("_tandem_file"), F.col("_metadata.row_index").alias("_tandem_row"))
+    return _numbered(rows, list(partition_by), [_B, "_tandem_file"], pos_col, total_col)
+
+
+def _numbered(rows: DataFrame, parts: list[str], place: list[str], pos_col: str, total_col: str | None) -> DataFrame:
+    """Positions of rows whose order is ``(*place, _tandem_row)``: a small table of counts per
+    place and group, its running sum, and a null-safe join back."""
+    counts = rows.groupBy(*parts, *place).agg(F.count(F.lit(1)).alias(_N), F.min("_tandem_row").alias("_tandem_first"))
+    before = Window.partitionBy(*parts).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    cols = [F.col(c).alias(f"_tandem_k{i}") for i, c in enumerate([*parts, *place])]
+    offset = (F.coalesce(F.sum(_N).over(before), F.lit(0)) - F.col("_tandem_first")).alias(_OFF)
+    total = [F.sum(_N).over(Window.partitionBy(*parts)).alias(total_col)] if total_col else []
+    offsets = counts.select(*cols, offset, *total)
+    same = F.lit(True)
+    for i, c in enumerate([*parts, *place]):
+        same = same & rows[c].eqNullSafe(offsets[f"_tandem_k{i}"])
+    out = rows.join(offsets, same)
+    names = [c for c in rows.columns if c not in (*place, "_tandem_row")]
+    return out.select(*names, (F.col("_tandem_row") + F.col(_OFF)).cast("bigint").alias(pos_col), *([total_col] if total_col else []))
+
+
 def permute(
     df: DataFrame,
     id_col: str = "id",
