@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import id_planes, impact_search, kd_shards, language, order_minhash, packing, piece_transducer, quality, secret_scan, warc
+from tandem.llm import id_planes, impact_search, kd_shards, language, merkle, order_minhash, packing, piece_transducer, quality, secret_scan, warc
 from tandem.llm.common import table
 from tandem.session import shared_dir
 
@@ -76,10 +76,15 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and verdict in a hash tree per language under one root."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_sentencepiece, op2_warc, op3_secrets, op4_language, op5_search, op6_packing, op7_id_planes, op8_quality, op9_near_duplicates, op10_shards,
+        op1_sentencepiece, op2_warc, op3_secrets, op4_language, op5_search, op6_packing, op7_id_planes, op8_quality, op9_near_duplicates, op10_shards, op11_merkle,
     )
 }
 
@@ -110,4 +115,55 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 ) WHERE rank <= 5
 """
 
-ORACLES = {"op2_warc": OP2_SQL, "op5_search": OP5_SQL}
+OP11_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT doc_id, xor(list_reduce(
+    list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: [ascii(d), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1))), 4294967295) % 7 = 0 AS tampered
+  FROM (SELECT DISTINCT CAST(doc_id AS BIGINT) AS doc_id FROM documents WHERE doc_id IS NOT NULL)
+), hashed AS (
+  SELECT d.doc_id, d.lang,
+    sha256(concat({doc_id}, {source}, {lang}, {n_chars}, {text})) AS leaf,
+    CASE WHEN tampered AND n_chars IS NOT NULL THEN sha256(concat({doc_id}, {source}, {lang}, {more}, {text})) END AS claimed
+  FROM documents d LEFT JOIN crc c ON c.doc_id = d.doc_id
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, row_number() OVER () AS rid FROM hashed
+), low(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY pos) FROM leaves GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(concat(nodes[2 * i + 1], nodes[2 * i + 2]))) FROM low WHERE len(nodes) > 1
+), subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM low WHERE len(nodes) = 1
+), top(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY place) FROM subroots HAVING count(*) > 0
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(concat(nodes[2 * i + 1], nodes[2 * i + 2]))) FROM top WHERE len(nodes) > 1
+), walk(rid, lang, level, pos, node, path) AS (
+  SELECT rid, lang, 0, pos, coalesce(claimed, leaf), '' FROM leaves
+  UNION ALL
+  SELECT w.rid, w.lang, w.level + 1, w.pos // 2,
+    sha256(CASE WHEN w.pos % 2 = 0 THEN concat(w.node, l.nodes[w.pos + 2]) ELSE concat(l.nodes[w.pos], w.node) END),
+    concat(w.path, CASE WHEN w.pos % 2 = 0 THEN l.nodes[w.pos + 2] ELSE l.nodes[w.pos] END)
+  FROM walk w JOIN low l ON l.lang IS NOT DISTINCT FROM w.lang AND l.level = w.level AND len(l.nodes) > 1
+), bottom AS (
+  SELECT w.rid, s.place, w.node, w.path, s.subroot FROM walk w
+  JOIN low l ON l.lang IS NOT DISTINCT FROM w.lang AND l.level = w.level AND len(l.nodes) = 1
+  JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang
+), climb(rid, level, pos, node, path) AS (
+  SELECT rid, 0, place, node, path FROM bottom
+  UNION ALL
+  SELECT c.rid, c.level + 1, c.pos // 2,
+    sha256(CASE WHEN c.pos % 2 = 0 THEN concat(c.node, t.nodes[c.pos + 2]) ELSE concat(t.nodes[c.pos], c.node) END),
+    concat(c.path, CASE WHEN c.pos % 2 = 0 THEN t.nodes[c.pos + 2] ELSE t.nodes[c.pos] END)
+  FROM climb c JOIN top t ON t.level = c.level AND len(t.nodes) > 1
+)
+SELECT d.doc_id, d.leaf, b.subroot, t.nodes[1] AS root, sha256(c.path) AS proof_sha256, c.node AS folded_root, c.node = t.nodes[1] AS verified
+FROM climb c JOIN top t ON t.level = c.level AND len(t.nodes) = 1 JOIN leaves d ON d.rid = c.rid JOIN bottom b ON b.rid = c.rid
+""".format(
+    **{
+        name: f"CASE WHEN d.{col} IS NULL THEN '-' ELSE concat(strlen(CAST({value} AS VARCHAR)), ':', CAST({value} AS VARCHAR)) END"
+        for name, col, value in [(c, c, f"d.{c}") for c in ("doc_id", "source", "lang", "n_chars", "text")] + [("more", "n_chars", "(d.n_chars + 1)")]
+    }
+)
+
+ORACLES = {"op2_warc": OP2_SQL, "op5_search": OP5_SQL, "op11_merkle": OP11_SQL}
