@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import id_planes, impact_search, kd_shards, language, merkle, order_minhash, packing, piece_transducer, quality, secret_scan, warc
+from tandem.llm import id_planes, impact_search, kd_shards, language, merkle, order_minhash, packing, piece_transducer, quality, secret_scan, stripes, warc
 from tandem.llm.common import table
 from tandem.session import shared_dir
 
@@ -81,10 +81,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of every language."""
+    return stripes.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_warc, op3_secrets, op4_language, op5_search, op6_packing, op7_id_planes, op8_quality, op9_near_duplicates, op10_shards, op11_merkle,
+        op12_collocations,
     )
 }
 
@@ -166,4 +172,38 @@ FROM climb c JOIN top t ON t.level = c.level AND len(t.nodes) = 1 JOIN leaves d
     }
 )
 
-ORACLES = {"op2_warc": OP2_SQL, "op5_search": OP5_SQL, "op11_merkle": OP11_SQL}
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0b\x0c\r]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces
+), f AS (
+  SELECT lang, m, list_slice(w, i, i + m - 1) AS p, count(*) AS a
+  FROM words, range(1, 6) x(m), range(1, len(w) - m + 2) y(i) GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang
+), often AS (
+  SELECT * FROM f WHERE a >= 100
+), cuts AS (
+  SELECT c.lang, c.p, c.m, c.a, k, l.a AS l, r.a AS r, n.n,
+    CAST((1000::HUGEINT * c.a * n.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM often c JOIN n USING (lang), range(1, 5) z(k)
+  JOIN often l ON l.lang = c.lang AND l.p = list_slice(c.p, 1, k)
+  JOIN often r ON r.lang = c.lang AND r.p = list_slice(c.p, k + 1, c.m)
+  WHERE c.m >= 2 AND k < c.m
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, list_slice(p, i, i + j - 1) AS p, max(a) AS most
+  FROM often, range(2, 5) x(j), range(1, 5) y(i) WHERE j < m AND i + j - 1 <= m GROUP BY ALL
+), kept AS (
+  SELECT b.lang, array_to_string(b.p, ' ') AS phrase, b.a, l, r, n, score
+  FROM best b LEFT JOIN inside s ON s.lang = b.lang AND s.p = b.p WHERE s.most IS NULL OR s.most < b.a
+)
+SELECT * FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept
+) WHERE rank <= 2000
+"""
+
+ORACLES = {"op2_warc": OP2_SQL, "op5_search": OP5_SQL, "op11_merkle": OP11_SQL, "op12_collocations": OP12_SQL}
