@@ -3,7 +3,8 @@
 A stripe is an associative counter: a prefix of words, and how often each word follows it. Tasks build stripes from
 their texts; stripes of one prefix are merged element by element. A merged stripe gives the phrases that
 extend its prefix, and the largest of them, which decides whether the prefix is subsumed. Level by level the
-prefix grows by a word, and only over phrases that are frequent themselves.
+prefix grows by a word, and only over phrases that are frequent themselves; from three words on, only the runs of words
+whose pairs are frequent are read again.
 
 A stripe can be as large as the vocabulary, so it is cut into segments by a hash of the next word. A
 table of one byte per hash slot, of fixed size, tells every task whether a phrase may be a frequent prefix and in how
@@ -31,11 +32,13 @@ CLASS[list(b" \t")] = 1
 CLASS[list(b".,;:!?\n\x0b\x0c\r")] = 2
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+#: A phrase's hash: that of its prefix times STEP plus the last word's crc32, modulo PRIME; products fit in 63 bits.
+STEP, PRIME = 1_000_003, (1 << 40) - 87
 CELLS = "lang string, prefix string, seg int, next array<string>, n array<bigint>"
 
 
-def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words of the lower-cased texts; then, per word, its number among them, its piece and its text."""
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of the lower-cased texts; then, per word, its number among them and its piece."""
     wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     ends = np.frombuffer(texts.buffers()[1], wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     raw = texts.buffers()[2]
@@ -52,72 +55,101 @@ def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarra
     offsets = np.zeros(len(starts) + 1, np.int32)
     np.cumsum(stops - starts, out=offsets[1:])
     found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(buf[word])]).dictionary_encode()
-    text = np.searchsorted(ends[:-1], starts, side="right") - 1
-    piece = np.cumsum(kind == 2, dtype=np.int64)[starts] + text if len(starts) else starts
-    return found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64), piece, text
-
-
-def batch_stripes(langs: list[str], texts: pa.Array, level: int, table: np.ndarray, root_segments: int) -> pa.RecordBatch:
-    """Stripes of the phrases of ``level`` words: one row per language, prefix and segment.
-
-    A window counts only if its first and its last ``level - 1`` words may be frequent by the table.
-    """
-    mask = len(table) - 1
-    words, ids, piece, text = tokens(texts)
-    spelled = words.to_pylist()
-    lang_of, names = pd.factorize(np.array(langs, object))
-    key = ids * max(1, len(names)) + lang_of[text] if len(ids) else ids
-    first, distinct = pd.factorize(key)  # words by language
-    n_words = max(1, len(distinct))
-    word_at, lang_at = (distinct // max(1, len(names)), distinct % max(1, len(names))) if len(distinct) else (distinct, distinct)
-    seeds = [crc32(str(x).encode() + b"\0") for x in names]
-    hashes = np.array([crc32(spelled[w], seeds[g]) for w, g in zip(word_at, lang_at, strict=True)], np.int64)
-    prefix, last, langs_at, segments = np.zeros(0, np.int64), word_at, lang_at, None
-    phrases: list[list[int]] = [[w] for w in word_at]
-    counts = np.bincount(first, minlength=len(distinct))
-    if level > 1:
-        here, at = first, np.arange(len(first))  # phrase numbers, and where they begin
-        for k in range(2, level + 1):
-            segments = table[hashes & mask] if len(hashes) else np.zeros(0, np.uint8)
-            full = np.full(len(first) + 1, -1, np.int64)
-            ok = segments[here] > 0
-            full[at[ok]] = here[ok]
-            at = np.flatnonzero((full[:-1] >= 0) & (full[1:] >= 0))
-            if k == 2:
-                at = at[piece[at] == piece[at + 1]]
-            here, distinct = pd.factorize(full[at] * n_words + first[at + k - 1])
-            prefix, last = distinct // n_words, distinct % n_words
-            langs_at = langs_at[prefix]
-            if k < level:
-                spaced = [crc32(b" ", int(h)) for h in hashes]
-                phrases = [[*phrases[p], word_at[w]] for p, w in zip(prefix, last, strict=True)]
-                hashes = np.array([crc32(spelled[word_at[w]], spaced[p]) for p, w in zip(prefix, last, strict=True)], np.int64)
-        counts = np.bincount(here, minlength=len(distinct))
-        last = word_at[last]
-    mixed = np.array([crc32(w) for w in spelled], np.int64)
-    if level == 1:
-        prefix = lang_at  # the empty prefix of each language
-        seg = mixed[last] % root_segments
-    else:
-        seg = (mixed[last] >> 4) % (np.int64(1) << np.maximum(segments[prefix].astype(np.int64) - 1, 0))
-    order = np.lexsort((seg, prefix))
-    prefix, last, langs_at, seg, counts = (x[order] for x in (prefix, last, langs_at, seg, counts))
+    # a piece ends with its text, too
+    broken = kind == 2
+    piece = np.cumsum(broken, dtype=np.int32)[starts] if len(starts) else np.zeros(0, np.int32)
+    piece += np.searchsorted(ends[:-1], starts, side="right").astype(np.int32)
+    return found.dictionary, found.indices.to_numpy(), piece
+
+
+class Phrases:
+    """The phrases of one language's texts, a word longer with each step, as far as the table lets them be frequent."""
+
+    def __init__(self, lang: str, texts: pa.Array, table: np.ndarray):
+        self.table = table
+        self.words, self.ids, self.piece = tokens(texts)
+        self.spelled = np.array([crc32(w) for w in self.words.to_pylist()], np.int64)
+        self.hashes = (crc32(lang.encode() + b"\0") * STEP + self.spelled) % PRIME
+        self.here, self.at = self.ids, np.arange(len(self.ids))  # the phrases' numbers, and where they begin
+        self.prefix, self.last = np.zeros(len(self.words), np.int64), np.arange(len(self.words))
+        self.spelling = self.last[:, None]  # a row of words per phrase
+        self.length = 1
+
+    def power(self) -> np.ndarray:
+        """The table's byte of every phrase."""
+        return self.table[self.hashes % len(self.table)]
+
+    def frequent(self) -> np.ndarray:
+        """For each word of the texts the phrase that begins there, if it may be frequent, else -1; one place more."""
+        full = np.full(len(self.ids) + 1, -1, np.int64)
+        ok = self.power()[self.here] > 0
+        full[self.at[ok]] = self.here[ok]
+        return full
+
+    def step(self) -> None:
+        """On to the phrases of one word more, of which both parts without an end may be frequent."""
+        full = self.frequent()
+        at = np.flatnonzero((full[:-1] >= 0) & (full[1:] >= 0))
+        if self.length == 1:
+            at = at[self.piece[at] == self.piece[at + 1]]
+        n = max(1, len(self.words))
+        self.here, distinct = pd.factorize(full[at] * n + self.ids[at + self.length])
+        self.at, self.before, self.prefix, self.last = at, self.power(), distinct // n, distinct % n
+        self.hashes = (self.hashes[self.prefix] * STEP + self.spelled[self.last]) % PRIME
+        self.prefixes, self.spelling = self.spelling, np.hstack([self.spelling[self.prefix], self.last[:, None]])
+        self.length += 1
+
+
+def lang_stripes(lang: str, texts: pa.Array, level: int, table: np.ndarray, root_segments: int) -> pa.RecordBatch:
+    """Stripes of one language's phrases of ``level`` words: a row per prefix and segment."""
+    p = Phrases(lang, texts, table)
+    for _ in range(level - 1):
+        p.step()
+    seg = p.spelled[p.last] % root_segments if level == 1 else (p.spelled[p.last] >> 4) % (np.int64(1) << (p.before[p.prefix].astype(np.int64) - 1))
+    order = np.lexsort((seg, p.prefix))
+    prefix, last, seg, counts = p.prefix[order], p.last[order], seg[order], np.bincount(p.here, minlength=len(p.last))[order]
     new = np.ones(len(prefix), bool)
     new[1:] = (prefix[1:] != prefix[:-1]) | (seg[1:] != seg[:-1])
     rows = np.flatnonzero(new)
     offsets = pa.array(np.append(rows, len(prefix)), pa.int32())
-    text_of_prefix = [""] * len(rows) if level == 1 else [b" ".join([spelled[w] for w in phrases[p]]) for p in prefix[rows]]
-    prefixes = pa.array(text_of_prefix, pa.string()) if level == 1 else pa.array(text_of_prefix, pa.binary()).view(pa.string())
+    if level == 1:
+        names = pa.array([""] * len(rows), pa.string())
+    else:
+        names = pc.binary_join_element_wise(*[p.words.take(pa.array(c)) for c in p.prefixes[prefix[rows]].T], b" ").view(pa.string())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([names[g] for g in langs_at[rows]], pa.string()), prefixes, pa.array(seg[rows], pa.int32()),
-            pa.ListArray.from_arrays(offsets, words.take(pa.array(last, pa.int64())).view(pa.string())),
-            pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
+            pa.array([lang] * len(rows), pa.string()), names, pa.array(seg[rows], pa.int32()),
+            pa.ListArray.from_arrays(offsets, p.words.take(pa.array(last)).view(pa.string())), pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
         ],
         names=["lang", "prefix", "seg", "next", "n"],
     )
 
 
+def lang_runs(lang: str, texts: pa.Array, table: np.ndarray) -> pa.RecordBatch:
+    """The longest runs of words all of whose pairs may be frequent, if of three words or more: as lines of a few texts."""
+    p = Phrases(lang, texts, table)
+    p.step()
+    pair = p.frequent()[:-1] >= 0
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], pair, [False]]).astype(np.int8)))
+    first, stop = edges[0::2], edges[1::2] + 1  # a run of pairs has one word more
+    first, stop = first[stop - first > 2], stop[stop - first > 2]
+    offsets = np.zeros(len(first) + 1, np.int32)
+    np.cumsum(stop - first, out=offsets[1:])
+    at = np.arange(offsets[-1]) + np.repeat(first - offsets[:-1], stop - first)
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), p.words.take(pa.array(p.ids[at]))), b" ")
+    parts = pa.array(np.append(np.arange(0, len(first), 512), len(first)), pa.int32())
+    texts = pc.binary_join(pa.ListArray.from_arrays(parts, lines), b"\n").view(pa.string())
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), texts], names=["lang", "text"])
+
+
+def by_lang(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[tuple[str, pa.Array]]:
+    """Batches of (lang, text), language by language."""
+    for batch in small_batches(batches, 1, most):
+        codes, names = pd.factorize(np.array(batch.column(0).to_pylist(), object))
+        for g, name in enumerate(names):
+            yield name, batch.column(1) if len(names) == 1 else batch.column(1).take(pa.array(np.flatnonzero(codes == g)))
+
+
 def merged(batches: Iterator[pa.RecordBatch], least: int, totals: bool) -> Iterator[pa.RecordBatch]:
     """Stripes in the order of (lang, prefix, seg), merged element by element.
 
@@ -181,8 +213,8 @@ def count_level(docs: DataFrame, level: int, table: np.ndarray, least: int, root
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 1, 4 << 20):
-            yield batch_stripes(batch.column(0).to_pylist(), batch.column(1), level, shared.value, root_segments)
+        for lang, texts in by_lang(batches):
+            yield lang_stripes(lang, texts, level, shared.value, root_segments)
 
     rows = docs.mapInArrow(count, CELLS).repartition("lang", "prefix", "seg").sortWithinPartitions("lang", "prefix", "seg")
     out = staged(rows.mapInArrow(lambda b: merged(b, least, level == 1), CELLS + ", total bigint"), f"stripes-{level}")
@@ -190,12 +222,26 @@ def count_level(docs: DataFrame, level: int, table: np.ndarray, least: int, root
     return out
 
 
+def frequent_runs(docs: DataFrame, table: np.ndarray) -> DataFrame:
+    """What of ``docs`` (lang, text) can hold frequent phrases of three words or more, in the same form."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, texts in by_lang(batches):
+            yield lang_runs(lang, texts, shared.value)
+
+    out = staged(docs.mapInArrow(run, "lang string, text string"), "stripes-runs")
+    shared.destroy()
+    return out
+
+
 def mark(table: np.ndarray, phrases: DataFrame, limit: int) -> None:
     """Enter ``phrases`` (lang, phrase, a) in the table: 1 plus the power of two of segments that keeps a stripe below ``limit``.
 
     What comes to the driver is at most one number per slot, a block of slots a row.
     """
-    slot = F.crc32(F.concat("lang", F.lit("\0"), "phrase")).bitwiseAND(F.lit(len(table) - 1))
+    hashed = F.aggregate(F.split("phrase", " "), F.crc32(F.concat("lang", F.lit("\0"))), lambda h, w: F.pmod(h * F.lit(STEP) + F.crc32(w), F.lit(PRIME)))
+    slot = F.pmod(hashed, F.lit(len(table)))
     power = F.greatest(F.ceil(F.log2(F.col("a") / F.lit(limit))), F.lit(0)).cast("int") + 1
     slots = phrases.select(slot.alias("slot"), F.least(power, F.lit(31)).alias("v")).groupBy("slot").agg(F.max("v").alias("v"))
     blocks = slots.groupBy(F.floor(F.col("slot") / 4096)).agg(F.collect_list(F.col("slot") * 32 + F.col("v")).alias("cells"))
@@ -244,6 +290,8 @@ def collocations(
     known = [phrases_of(stripes).select("lang", "phrase", "a", empty.alias("pre"), empty.alias("suf"))]
     for level in range(2, longest + 1):
         mark(table, known[-1].select("lang", "phrase", "a"), limit)
+        if level == 3:
+            rows = frequent_runs(rows, table)
         stripes = count_level(rows, level, table, least, 1)
         below = known[-1]
         # the counts of what stands before a cut come with the prefix, of what stands behind it with the rest

@@ -103,7 +103,8 @@ def test_slots_hold_at_least_the_power_asked(spark):
     rows = [("en", f"p{k}", 100 * (k + 1)) for k in range(300)]
     stripes.mark(table, spark.createDataFrame(rows, "lang string, phrase string, a bigint"), 1000)
     for lang, phrase, a in rows:
-        v = int(table[stripes.crc32(f"{lang}\0{phrase}".encode()) & 255])
+        h = stripes.crc32(f"{lang}\0".encode()) * stripes.STEP + stripes.crc32(phrase.encode())
+        v = int(table[h % stripes.PRIME % len(table)])
         assert v >= 1 and a / 2 ** (v - 1) <= 1000
 
 
