@@ -62,13 +62,22 @@ def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return found.dictionary, found.indices.to_numpy(), piece
 
 
+def crcs(words: pa.Array) -> np.ndarray:
+    """crc32 of each word."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    raw = words.buffers()[2].to_pybytes()
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+    return np.array([crc32(raw[a:b]) for a, b in zip(ends, ends[1:], strict=False)], np.int64)
+
+
 class Phrases:
     """The phrases of one language's texts, a word longer with each step, as far as the table lets them be frequent."""
 
     def __init__(self, lang: str, texts: pa.Array, table: np.ndarray):
         self.table = table
         self.words, self.ids, self.piece = tokens(texts)
-        self.spelled = np.array([crc32(w) for w in self.words.to_pylist()], np.int64)
+        self.spelled = crcs(self.words)
         self.hashes = (crc32(lang.encode() + b"\0") * STEP + self.spelled) % PRIME
         self.here, self.at = self.ids, np.arange(len(self.ids))  # the phrases' numbers, and where they begin
         self.prefix, self.last = np.zeros(len(self.words), np.int64), np.arange(len(self.words))
@@ -150,6 +159,49 @@ def by_lang(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[
             yield name, batch.column(1) if len(names) == 1 else batch.column(1).take(pa.array(np.flatnonzero(codes == g)))
 
 
+def summed(stripes: pa.Table, group: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Elementwise sums of the stripes of each group: group (ascending), word and count of every cell."""
+    lens = pc.list_value_length(stripes["next"]).to_numpy()
+    cells = pa.table({"g": np.repeat(group, lens), "w": pc.list_flatten(stripes["next"]), "n": pc.list_flatten(stripes["n"])})
+    cells = cells.group_by(["g", "w"]).aggregate([("n", "sum")]).combine_chunks()
+    cells = cells.take(pa.array(np.argsort(cells["g"].to_numpy(), kind="stable")))
+    w = cells["w"].combine_chunks()
+    return cells["g"].to_numpy(), w.combine_chunks() if isinstance(w, pa.ChunkedArray) else w, cells["n_sum"].to_numpy()
+
+
+def as_lists(starts: np.ndarray, words: pa.Array, n: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    offsets = pa.array(starts, pa.int32())
+    return pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))
+
+
+def combined(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Stripes of one key merged within a task, as far as ``most`` cells reach: less to shuffle."""
+    held: list[pa.RecordBatch] = []
+    cells = 0
+
+    def out() -> pa.RecordBatch:
+        t = pa.Table.from_batches(held).combine_chunks()
+        lang, prefix = (t[c].combine_chunks().dictionary_encode() for c in ("lang", "prefix"))
+        seg = t["seg"].to_numpy().astype(np.int64)
+        key = (lang.indices.to_numpy().astype(np.int64) * len(prefix.dictionary) + prefix.indices.to_numpy()) * (seg.max() + 1) + seg
+        group, distinct = pd.factorize(key)
+        g, w, n = summed(t, group)
+        nexts, counts = as_lists(np.searchsorted(g, np.arange(len(distinct) + 1)), w, n)
+        first = pa.array(np.unique(group, return_index=True)[1])
+        keys = [t[c].take(first).combine_chunks() for c in ("lang", "prefix", "seg")]
+        return pa.RecordBatch.from_arrays([*keys, nexts, counts], names=["lang", "prefix", "seg", "next", "n"])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            cells += len(pc.list_flatten(batch["next"]))
+            if cells >= most:
+                yield out()
+                held, cells = [], 0
+    if held:
+        yield out()
+
+
 def merged(batches: Iterator[pa.RecordBatch], least: int, totals: bool) -> Iterator[pa.RecordBatch]:
     """Stripes in the order of (lang, prefix, seg), merged element by element.
 
@@ -158,29 +210,15 @@ def merged(batches: Iterator[pa.RecordBatch], least: int, totals: bool) -> Itera
     """
     held: pa.Table | None = None
 
-    def table_of(batch: pa.RecordBatch) -> pa.Table:
-        return pa.Table.from_batches([batch.select(["lang", "prefix", "seg", "next", "n"])])
-
-    def sums(t: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    def sums(t: pa.Table) -> tuple[pa.Table, np.ndarray, pa.Array, np.ndarray]:
         t = t.combine_chunks()
         new = np.ones(len(t), bool)
         if len(t) > 1:
             differs = [pc.not_equal(t[c].slice(1), t[c].slice(0, len(t) - 1)).to_numpy() for c in ("lang", "prefix", "seg")]
             new[1:] = differs[0] | differs[1] | differs[2]
-        group = np.cumsum(new) - 1
-        lens = pc.list_value_length(t["next"]).to_numpy()
-        cells = pa.table({"g": np.repeat(group, lens), "w": pc.list_flatten(t["next"]), "n": pc.list_flatten(t["n"])})
-        cells = cells.group_by(["g", "w"]).aggregate([("n", "sum")]).combine_chunks()
-        order = np.argsort(cells["g"].to_numpy(), kind="stable")
-        cells = cells.take(pa.array(order))
-        return t.take(pa.array(np.flatnonzero(new))), cells["g"].to_numpy(), cells["n_sum"].to_numpy(), cells["w"].combine_chunks(), lens
-
-    def lists(starts: np.ndarray, w: pa.Array, n: np.ndarray) -> tuple[pa.Array, pa.Array]:
-        offsets = pa.array(starts, pa.int32())
-        w = w.combine_chunks() if isinstance(w, pa.ChunkedArray) else w
-        return pa.ListArray.from_arrays(offsets, w), pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))
-
-    def out(keys: pa.Table, g: np.ndarray, n: np.ndarray, w: pa.Array) -> pa.RecordBatch:
+        return t.take(pa.array(np.flatnonzero(new))), *summed(t, np.cumsum(new) - 1)
+
+    def out(keys: pa.Table, g: np.ndarray, w: pa.Array, n: np.ndarray) -> pa.RecordBatch:
         total = np.zeros(len(keys), np.int64)
         np.add.at(total, g, n)
         often = n >= least
@@ -188,24 +226,23 @@ def merged(batches: Iterator[pa.RecordBatch], least: int, totals: bool) -> Itera
         stay = np.ones(len(keys), bool) if totals else np.bincount(g, minlength=len(keys)) > 0
         at = np.searchsorted(g, np.append(np.flatnonzero(stay), len(keys)))
         keys = keys.filter(pa.array(stay))
-        nexts, counts = lists(at, w, n)
+        nexts, counts = as_lists(at, w, n)
         cols = [keys[c].combine_chunks() for c in ("lang", "prefix", "seg")]
         return pa.RecordBatch.from_arrays([*cols, nexts, counts, pa.array(total[stay], pa.int64())], names=["lang", "prefix", "seg", "next", "n", "total"])
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = table_of(batch) if held is None else pa.concat_tables([held, table_of(batch)])
-        keys, g, n, w, _ = sums(now)
+        now = pa.Table.from_batches([batch.select(["lang", "prefix", "seg", "next", "n"])])
+        keys, g, w, n = sums(now if held is None else pa.concat_tables([held, now]))
         cut = int(np.searchsorted(g, len(keys) - 1))  # the last stripe may go on in the next batch
         if len(keys) > 1:
-            yield out(keys.slice(0, len(keys) - 1), g[:cut], n[:cut], w.slice(0, cut))
-        nexts, counts = lists(np.array([0, len(g) - cut]), w.slice(cut), n[cut:])
+            yield out(keys.slice(0, len(keys) - 1), g[:cut], w.slice(0, cut), n[:cut])
+        nexts, counts = as_lists(np.array([0, len(g) - cut]), w.slice(cut), n[cut:])
         lone = keys.slice(len(keys) - 1)
         held = pa.table({"lang": lone["lang"], "prefix": lone["prefix"], "seg": lone["seg"], "next": nexts, "n": counts})
     if held is not None:
-        keys, g, n, w, _ = sums(held)
-        yield out(keys, g, n, w)
+        yield out(*sums(held))
 
 
 def count_level(docs: DataFrame, level: int, table: np.ndarray, least: int, root_segments: int) -> DataFrame:
@@ -213,8 +250,7 @@ def count_level(docs: DataFrame, level: int, table: np.ndarray, least: int, root
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, texts in by_lang(batches):
-            yield lang_stripes(lang, texts, level, shared.value, root_segments)
+        yield from combined(lang_stripes(lang, texts, level, shared.value, root_segments) for lang, texts in by_lang(batches))
 
     rows = docs.mapInArrow(count, CELLS).repartition("lang", "prefix", "seg").sortWithinPartitions("lang", "prefix", "seg")
     out = staged(rows.mapInArrow(lambda b: merged(b, least, level == 1), CELLS + ", total bigint"), f"stripes-{level}")
