@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.llm import id_planes, impact_search, kd_shards, language, merkle, order_minhash, packing, piece_transducer, quality, secret_scan, stripes, warc
+from tandem.llm import attention_mil, id_planes, impact_search, kd_shards, language, merkle, order_minhash, packing, piece_transducer, quality, secret_scan, stripes, warc
 from tandem.llm.common import table
 from tandem.session import shared_dir
 
@@ -86,11 +86,19 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stripes.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score by a classifier of its passages."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
+    model = attention_mil.fit_quality(docs, table(spark, sf_dir, "labels"), ~held)
+    return attention_mil.score_quality(docs.select("doc_id", held.alias("held_out"), "text"), model, keep=("doc_id", "held_out"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_warc, op3_secrets, op4_language, op5_search, op6_packing, op7_id_planes, op8_quality, op9_near_duplicates, op10_shards, op11_merkle,
-        op12_collocations,
+        op12_collocations, op13_quality_classifier,
     )
 }
 
