@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tandem import oracle_sql as S
 from tandem.functions.text import n_bytes, n_words, sanitize
-from tandem.operators import align, checks, filters, position, setops, split
+from tandem.operators import align, checks, filters, position, setops, split, unigram
 from tandem.session import read_table
 from tandem.sources import collections as coll
 from tandem.sources import fixtures as fx
@@ -454,10 +454,7 @@ def sort_by_embedded_number(spark, sf_dir):
     from tandem.functions.text import first_number
 
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", first_number("url").alias("num"))
-    bucket = F.struct(F.coalesce(F.col("num"), F.lit(-1)).alias("n"), F.floor(F.col("page_id") / 1000000).alias("b"))
-    out = position.global_position(
-        pages, [F.col("num").asc_nulls_first(), F.col("page_id")], bucket, super_bucket=lambda b: F.floor(b["n"] / 4096)
-    )
+    out = position.ranked(pages, [F.col("num").asc_nulls_first(), F.col("page_id")])
     return out.select("page_id", "url", "num", "pos")
 
 
@@ -702,17 +699,16 @@ def unigram_seed(spark, sf_dir):
 
 @register("unigram_vocab")
 def unigram_vocab(spark, sf_dir):
-    from tandem.operators.vocab import learn_unigram
-
-    return learn_unigram(shared_word_counts(spark, sf_dir), 2000, rounds=2, seed_size=SEED_SIZE)
+    """The vocabulary of the production size, learnt from every line."""
+    return unigram.learn_unigram_em(shared_word_counts(spark, sf_dir), VOCAB_SIZE)[0]
 
 
 @register("encode_counts")
 def encode_counts(spark, sf_dir):
-    from tandem.operators.vocab import encode, learn_bpe
-
-    _, words_tbl = learn_bpe(shared_word_counts(spark, sf_dir), BPE_ROUNDS)
-    return encode(shared_clean(spark, sf_dir), words_tbl, pieces_col="syms", with_pieces=False)
+    """Subwords of every line by the model of the production size; a line's words need not be in it."""
+    _, model = unigram.learn_unigram_em(shared_word_counts(spark, sf_dir), VOCAB_SIZE)
+    lines = fx.document_lines(spark, sf_dir).select(F.struct("doc_id", "line_no").alias("at"), F.col("line").alias("text"))
+    return unigram.encode_unigram(lines, model, id_col="at", with_pieces=False).select("at.doc_id", "at.line_no", "n_pieces")
 
 
 def _vocab_file(spark, sf_dir) -> str:
@@ -884,19 +880,12 @@ def split_files(spark, sf_dir):
 
 @register("filter_too_long_pieces")
 def filter_too_long_pieces(spark, sf_dir):
-    """Too-long filter on subword counts: both sides encoded with a BPE model learned on
-    the pairs' own words, then ``n_src, n_tgt <= 5000`` pieces."""
-    from tandem.operators.vocab import encode, learn_bpe, word_counts
-
-    pairs = fx.document_pairs(spark, sf_dir)
-    shared = setops.shared_sentences(pairs)
-    _, words_tbl = learn_bpe(word_counts(shared), BPE_ROUNDS)
-    enc = encode(
-        shared.withColumn("sid", F.col("id") * 2 + F.when(F.col("side") == "tgt", 1).otherwise(0)),
-        words_tbl,
-        pieces_col="syms",
-        with_pieces=False,
-    )
+    """Too-long filter on subword counts: both sides encoded with the unigram model of the
+    production size, then ``n_src, n_tgt <= 5000`` pieces."""
+    _, model = unigram.learn_unigram_em(shared_word_counts(spark, sf_dir), VOCAB_SIZE)
+    shared = setops.shared_sentences(fx.document_pairs(spark, sf_dir))
+    sid = F.col("id") * 2 + F.when(F.col("side") == "tgt", 1).otherwise(0)
+    enc = unigram.encode_unigram(shared.withColumn("sid", sid), model, with_pieces=False)
     counts = enc.select(
         F.floor(F.col("sid") / 2).cast("bigint").alias("id"),
         F.when(F.col("sid") % 2 == 0, F.col("n_pieces")).alias("n_src"),

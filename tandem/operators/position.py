@@ -126,7 +126,7 @@ def ranked(
     keys = [F.col(p).asc_nulls_first() for p in partition_by] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
     if uniform_key is not None:
         share = F.conv(F.substring(uniform_key, 1, 8), 16, 10).cast("double") / F.lit(float(16**8))
-        dealt = df.repartitionById(parts, F.floor(share * parts).cast("int"))
+        dealt = df.repartitionById(parts, F.coalesce(F.floor(share * parts).cast("int"), F.lit(0)))
     else:
         dealt = df.repartitionByRange(parts, *keys)
     path = shared_dir(spark, "ranked")
@@ -170,15 +170,20 @@ def permute(
     """
     key = key_col or "_tandem_key"
     keyed = df.withColumn(key, perm_key(seed, F.col(id_col)))
-    out = global_position(
-        keyed,
-        [F.col(key), F.col(id_col)],
-        md5_bucket(key, hex_chars),
-        pos_col=pos_col,
-        limit=limit,
-        # at most 16**hex_chars offset rows (about a million for 5): a proven bound
-        broadcast_offsets=hex_chars <= 5,
-    )
+    order = [F.col(key), F.col(id_col)]
+    if limit is None:
+        out = ranked(keyed, order, pos_col=pos_col, uniform_key=key)
+    else:
+        # a sample shuffles only the rows of the buckets that reach into it
+        out = global_position(
+            keyed,
+            order,
+            md5_bucket(key, hex_chars),
+            pos_col=pos_col,
+            limit=limit,
+            # at most 16**hex_chars offset rows (about a million for 5): a proven bound
+            broadcast_offsets=hex_chars <= 5,
+        )
     return out if key_col else out.drop(key)
 
 

@@ -118,9 +118,11 @@ def expected_counts(counts: DataFrame, model: UnigramModel) -> dict[str, int]:
     return got
 
 
-def maximized(expected: dict[str, int], least: float = 0.5) -> UnigramModel:
-    """The M step with a sparse Dirichlet prior: pieces expected less than ``least`` times go, but for characters."""
-    kept = {p: c / UNIT for p, c in expected.items() if c >= least * UNIT or len(p) == 1}
+def maximized(expected: dict[str, int], want: int = 0, least: float = 0.5) -> UnigramModel:
+    """The M step with a sparse Dirichlet prior: pieces expected less than ``least`` times go, but for characters and
+    the ``want`` pieces expected most."""
+    order = sorted(expected, key=lambda p: (-expected[p], p))
+    kept = {p: expected[p] / UNIT for k, p in enumerate(order) if k < want or expected[p] >= least * UNIT or len(p) == 1}
     total = digamma(sum(sorted(kept.values())))
     return UnigramModel({p: digamma(max(c, 1e-3)) - total for p, c in sorted(kept.items())})
 
@@ -179,11 +181,11 @@ def learn_unigram_em(
     want = max(0, vocab_size - len(RESERVED_PIECES))
     counts = dealt(counts).checkpoint(eager=True)
     seeds = unigram_seed(counts, seed_size or 4 * vocab_size, max_piece_len, materialize=False)
-    model = maximized({r["piece"]: int(r["freq"]) * UNIT for r in seeds.toLocalIterator()})
+    model = maximized({r["piece"]: int(r["freq"]) * UNIT for r in seeds.toLocalIterator()}, want)
     while True:
         for _ in range(steps):
             found = expected_counts(counts, model)
-            model = maximized({p: found.get(p, 0) for p in model.scores})
+            model = maximized({p: found.get(p, 0) for p in model.scores}, want)
         if len(model.scores) <= want:
             break
         size = max(want, int(len(model.scores) * shrink))

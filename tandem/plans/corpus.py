@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tandem.operators import align, checks, filters, position, setops, split, vocab
+from tandem.operators import align, checks, filters, position, setops, split, unigram, vocab
 from tandem.sources import lines as L
 from tandem.sources import sinks
 
@@ -91,17 +91,7 @@ def shuffle_split(
             pos_col="_dpos",
             super_bucket=lambda b: F.floor(b / F.lit(65536)),
         ).drop("_dpos")
-    concat = position.global_position(
-        kept,
-        [F.col("dataset"), F.col("line_no")],
-        F.struct(F.col("dataset"), F.floor(F.col("line_no") / F.lit(block)).alias("b")),
-        pos_col="cpos",
-        super_bucket=lambda b: b["dataset"],
-    )
-    # each position step reads its input twice (count, then number); materialize the
-    # cleaned corpus once instead of re-reading and re-zipping the files for the
-    # permutation (reliable checkpoint into the shared folder)
-    concat = concat.checkpoint(eager=True)
+    concat = position.ranked(kept, [F.col("dataset"), F.col("line_no")], pos_col="cpos")
     return split.train_valid_split(concat, n_valid, id_col="cpos", seed=seed)
 
 
@@ -123,7 +113,7 @@ def training_vocabulary(
 ) -> DataFrame:
     """Shared vocabulary of both sides: byte cap -> seeded sample -> word table -> model.
 
-    ``model="unigram"`` gives ``(piece, score)`` after ``rounds`` of EM. ``model="bpe"`` gives
+    ``model="unigram"`` gives ``vocab_size`` rows ``(piece, score)``, with ``rounds`` EM steps between prunings. ``model="bpe"`` gives
     ``vocab_size`` rows if the corpus has enough pairs to merge: the reserved pieces (score
     0), the merges (``score = -rank``) and, below them, the characters.
     """
@@ -132,7 +122,7 @@ def training_vocabulary(
     sample = split.sample_rows(filters.max_sentence_bytes(shared, "text", max_bytes), corpus_size, id_col="sid", seed=seed)
     counts = vocab.word_counts(sample)
     if model == "unigram":
-        return vocab.learn_unigram(counts, vocab_size, rounds=rounds)
+        return unigram.learn_unigram_em(counts, vocab_size, steps=rounds)[0]
     chars = counts.select(F.explode(vocab.initial_symbols(F.col("word"))).alias("piece")).distinct()
     merges, _ = vocab.learn_bpe(counts, max(0, vocab_size - chars.count() - len(vocab.RESERVED_PIECES)))
     merges = merges.select(F.col("merged").alias("piece"), (-F.col("rank")).cast("double").alias("score"))

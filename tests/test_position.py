@@ -70,3 +70,33 @@ def test_approx_sample_is_seeded_and_near_fraction(spark):
     b = {r.id for r in approx_sample(df.repartition(5), 0.1).collect()}
     assert a == b
     assert 1700 < len(a) < 2300
+
+
+def test_ranking_runs_its_input_once(spark):
+    from tandem.operators.position import permute
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(5000).select((F.col("id") * 3).alias("id")).mapInArrow(count, "id bigint")
+    got = {r.id: r.pos for r in permute(rows, seed=7).collect()}
+    want = {r.id: k for k, r in enumerate(spark.range(5000).select((F.col("id") * 3).alias("id")).orderBy(F.md5(F.concat(F.lit("7:"), F.col("id").cast("string")))).collect())}
+    assert got == want and seen.value == 5000
+
+
+def test_ranks_by_group_with_nulls_and_ties(spark):
+    from tandem.operators.position import ranked
+
+    rows = [(g, k % 5, k) for g in ("a", None, "") for k in range(40)] + [("b", None, 1)]
+    frame = spark.createDataFrame(rows, "g string, k int, id int").repartition(6)
+    got = ranked(frame, [F.col("k").asc_nulls_first(), "id"], ["g"], total_col="n").collect()
+    for g in ("a", None, "", "b"):
+        mine = sorted((r.pos, r.n, r.k, r.id) for r in got if r.g == g)
+        want = sorted((-1 if k is None else k, i) for x, k, i in rows if x == g)
+        assert [(m[0], m[1]) for m in mine] == [(p, len(want)) for p in range(len(want))]
+        assert [(-1 if m[2] is None else m[2], m[3]) for m in mine] == want
+    assert ranked(frame.limit(0), ["id"], ["g"]).count() == 0

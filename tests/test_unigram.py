@@ -60,14 +60,14 @@ WORDS = ["lower", "lowest", "newer", "newest", "wide", "wider", "widest", "low",
 def plain_learn(counts, vocab_size, seeds, shrink, steps):
     """The same rules in one process."""
     want = vocab_size - len(RESERVED_PIECES)
-    model = U.maximized({p: n * U.UNIT for p, n in seeds.items()})
+    model = U.maximized({p: n * U.UNIT for p, n in seeds.items()}, want)
     while True:
         for _ in range(steps):
             total = Counter()
             for w, f in counts.items():
                 for p, x in model.expected(WORD_START + w):
                     total[p] += f * round(x * U.UNIT)
-            model = U.maximized({p: total[p] for p in model.scores})
+            model = U.maximized({p: total[p] for p in model.scores}, want)
         if len(model.scores) <= want:
             return model
         size = max(want, int(len(model.scores) * shrink))
