@@ -34,7 +34,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 #: A phrase's hash: that of its prefix times STEP plus the last word's crc32, modulo PRIME; products fit in 63 bits.
 STEP, PRIME = 1_000_003, (1 << 40) - 87
-CELLS = "lang string, prefix string, seg int, next array<string>, n array<bigint>"
+STRIPES = "lang string, prefix string, next array<string>, n array<bigint>, total bigint"
 
 
 def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -103,35 +103,34 @@ class Phrases:
             at = at[self.piece[at] == self.piece[at + 1]]
         n = max(1, len(self.words))
         self.here, distinct = pd.factorize(full[at] * n + self.ids[at + self.length])
-        self.at, self.before, self.prefix, self.last = at, self.power(), distinct // n, distinct % n
+        self.at, self.before, self.hashed, self.prefix, self.last = at, self.power(), self.hashes, distinct // n, distinct % n
         self.hashes = (self.hashes[self.prefix] * STEP + self.spelled[self.last]) % PRIME
         self.prefixes, self.spelling = self.spelling, np.hstack([self.spelling[self.prefix], self.last[:, None]])
         self.length += 1
 
 
-def lang_stripes(lang: str, texts: pa.Array, level: int, table: np.ndarray, root_segments: int) -> pa.RecordBatch:
-    """Stripes of one language's phrases of ``level`` words: a row per prefix and segment."""
+def lang_stripes(lang: str, texts: pa.Array, level: int, table: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Stripes of one language's phrases of ``level`` words: a row per prefix and bucket.
+
+    The segments of a prefix go to different buckets, all of a segment's words to one.
+    """
     p = Phrases(lang, texts, table)
     for _ in range(level - 1):
         p.step()
-    seg = p.spelled[p.last] % root_segments if level == 1 else (p.spelled[p.last] >> 4) % (np.int64(1) << (p.before[p.prefix].astype(np.int64) - 1))
-    order = np.lexsort((seg, p.prefix))
-    prefix, last, seg, counts = p.prefix[order], p.last[order], seg[order], np.bincount(p.here, minlength=len(p.last))[order]
+    segments = buckets if level == 1 else np.int64(1) << (p.before[p.prefix].astype(np.int64) - 1)
+    whose = 0 if level == 1 else p.hashed[p.prefix]
+    bucket = (whose + (p.spelled[p.last] >> 4) % segments * STEP) % PRIME % buckets
+    order = np.lexsort((bucket, p.prefix))
+    prefix, last, bucket, counts = p.prefix[order], p.last[order], bucket[order], np.bincount(p.here, minlength=len(p.last))[order]
     new = np.ones(len(prefix), bool)
-    new[1:] = (prefix[1:] != prefix[:-1]) | (seg[1:] != seg[:-1])
+    new[1:] = (prefix[1:] != prefix[:-1]) | (bucket[1:] != bucket[:-1])
     rows = np.flatnonzero(new)
-    offsets = pa.array(np.append(rows, len(prefix)), pa.int32())
     if level == 1:
         names = pa.array([""] * len(rows), pa.string())
     else:
         names = pc.binary_join_element_wise(*[p.words.take(pa.array(c)) for c in p.prefixes[prefix[rows]].T], b" ").view(pa.string())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([lang] * len(rows), pa.string()), names, pa.array(seg[rows], pa.int32()),
-            pa.ListArray.from_arrays(offsets, p.words.take(pa.array(last)).view(pa.string())), pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
-        ],
-        names=["lang", "prefix", "seg", "next", "n"],
-    )
+    nexts, n = as_lists(np.append(rows, len(prefix)), p.words.take(pa.array(last)).view(pa.string()), counts)
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(rows), pa.string()), names, pa.array(bucket[rows], pa.int32()), nexts, n], names=["lang", "prefix", "bucket", "next", "n"])
 
 
 def lang_runs(lang: str, texts: pa.Array, table: np.ndarray) -> pa.RecordBatch:
@@ -151,7 +150,7 @@ def lang_runs(lang: str, texts: pa.Array, table: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), texts], names=["lang", "text"])
 
 
-def by_lang(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[tuple[str, pa.Array]]:
+def by_lang(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[tuple[str, pa.Array]]:
     """Batches of (lang, text), language by language."""
     for batch in small_batches(batches, 1, most):
         codes, names = pd.factorize(np.array(batch.column(0).to_pylist(), object))
@@ -159,101 +158,100 @@ def by_lang(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[
             yield name, batch.column(1) if len(names) == 1 else batch.column(1).take(pa.array(np.flatnonzero(codes == g)))
 
 
-def summed(stripes: pa.Table, group: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Elementwise sums of the stripes of each group: group (ascending), word and count of every cell."""
-    lens = pc.list_value_length(stripes["next"]).to_numpy()
-    cells = pa.table({"g": np.repeat(group, lens), "w": pc.list_flatten(stripes["next"]), "n": pc.list_flatten(stripes["n"])})
-    cells = cells.group_by(["g", "w"]).aggregate([("n", "sum")]).combine_chunks()
-    cells = cells.take(pa.array(np.argsort(cells["g"].to_numpy(), kind="stable")))
-    w = cells["w"].combine_chunks()
-    return cells["g"].to_numpy(), w.combine_chunks() if isinstance(w, pa.ChunkedArray) else w, cells["n_sum"].to_numpy()
-
-
 def as_lists(starts: np.ndarray, words: pa.Array, n: np.ndarray) -> tuple[pa.Array, pa.Array]:
     offsets = pa.array(starts, pa.int32())
     return pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))
 
 
-def combined(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Stripes of one key merged within a task, as far as ``most`` cells reach: less to shuffle."""
+def merged(stripes: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Stripes of one language, prefix and bucket added up element by element, in the order of the buckets."""
+    t = pa.Table.from_batches(stripes).combine_chunks()
+    if not len(t):
+        return stripes[0]
+    lang, prefix = (t[c].combine_chunks().dictionary_encode() for c in ("lang", "prefix"))
+    bucket = t["bucket"].to_numpy().astype(np.int64)
+    key = (bucket * len(lang.dictionary) + lang.indices.to_numpy()) * len(prefix.dictionary) + prefix.indices.to_numpy()
+    _, first, group = np.unique(key, return_index=True, return_inverse=True)
+    cells = pa.table({"g": np.repeat(group, pc.list_value_length(t["next"]).to_numpy()), "w": pc.list_flatten(t["next"]), "n": pc.list_flatten(t["n"])})
+    cells = cells.group_by(["g", "w"]).aggregate([("n", "sum")])
+    cells = cells.take(pa.array(np.argsort(cells["g"].to_numpy(), kind="stable"))).combine_chunks()
+    nexts, n = as_lists(np.searchsorted(cells["g"].to_numpy(), np.arange(len(first) + 1)), cells["w"].combine_chunks(), cells["n_sum"].to_numpy())
+    keys = [t[c].take(pa.array(first)).combine_chunks() for c in ("lang", "prefix", "bucket")]
+    return pa.RecordBatch.from_arrays([*keys, nexts, n], names=["lang", "prefix", "bucket", "next", "n"])
+
+
+def packed(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, stripes): a task's stripes, merged as far as ``most`` cells reach, as one compressed block per bucket."""
     held: list[pa.RecordBatch] = []
     cells = 0
 
-    def out() -> pa.RecordBatch:
-        t = pa.Table.from_batches(held).combine_chunks()
-        lang, prefix = (t[c].combine_chunks().dictionary_encode() for c in ("lang", "prefix"))
-        seg = t["seg"].to_numpy().astype(np.int64)
-        key = (lang.indices.to_numpy().astype(np.int64) * len(prefix.dictionary) + prefix.indices.to_numpy()) * (seg.max() + 1) + seg
-        group, distinct = pd.factorize(key)
-        g, w, n = summed(t, group)
-        nexts, counts = as_lists(np.searchsorted(g, np.arange(len(distinct) + 1)), w, n)
-        first = pa.array(np.unique(group, return_index=True)[1])
-        keys = [t[c].take(first).combine_chunks() for c in ("lang", "prefix", "seg")]
-        return pa.RecordBatch.from_arrays([*keys, nexts, counts], names=["lang", "prefix", "seg", "next", "n"])
+    def blocks() -> pa.RecordBatch:
+        whole = merged(held)
+        bucket = whole["bucket"].to_numpy()
+        at = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        out = []
+        for low, high in zip(at, at[1:], strict=False):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, whole.schema, options=options) as writer:
+                writer.write_batch(whole.slice(low, high - low))
+            out.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(bucket[at[:-1]], pa.int32()), pa.array(out, pa.binary())], names=["bucket", "stripes"])
 
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
             cells += len(pc.list_flatten(batch["next"]))
             if cells >= most:
-                yield out()
+                yield blocks()
                 held, cells = [], 0
     if held:
-        yield out()
+        yield blocks()
 
 
-def merged(batches: Iterator[pa.RecordBatch], least: int, totals: bool) -> Iterator[pa.RecordBatch]:
-    """Stripes in the order of (lang, prefix, seg), merged element by element.
+def frequent(batches: Iterator[pa.RecordBatch], least: int, totals: bool) -> Iterator[pa.RecordBatch]:
+    """Blocks in the order of their buckets to the merged stripes' words counted ``least`` times or more.
 
-    Of a merged stripe the words counted ``least`` times or more stay, with ``total``, the sum over all its words. A
-    stripe without such words stays only if ``totals``. Memory: a batch and one segment of a stripe.
+    ``total`` sums all words of a stripe; a stripe without frequent words stays only if ``totals``. Memory: one bucket's stripes.
     """
-    held: pa.Table | None = None
-
-    def sums(t: pa.Table) -> tuple[pa.Table, np.ndarray, pa.Array, np.ndarray]:
-        t = t.combine_chunks()
-        new = np.ones(len(t), bool)
-        if len(t) > 1:
-            differs = [pc.not_equal(t[c].slice(1), t[c].slice(0, len(t) - 1)).to_numpy() for c in ("lang", "prefix", "seg")]
-            new[1:] = differs[0] | differs[1] | differs[2]
-        return t.take(pa.array(np.flatnonzero(new))), *summed(t, np.cumsum(new) - 1)
-
-    def out(keys: pa.Table, g: np.ndarray, w: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-        total = np.zeros(len(keys), np.int64)
-        np.add.at(total, g, n)
+    held: list[pa.RecordBatch] = []
+    now = None
+
+    def out() -> pa.RecordBatch:
+        t = merged(held)
+        n = pc.list_flatten(t["n"]).to_numpy()
+        starts = t["n"].offsets.to_numpy() - t["n"].offsets[0].as_py()
+        group = np.repeat(np.arange(len(t)), np.diff(starts))
+        total = np.zeros(len(t), np.int64)
+        np.add.at(total, group, n)
         often = n >= least
-        g, n, w = g[often], n[often], w.filter(pa.array(often))
-        stay = np.ones(len(keys), bool) if totals else np.bincount(g, minlength=len(keys)) > 0
-        at = np.searchsorted(g, np.append(np.flatnonzero(stay), len(keys)))
-        keys = keys.filter(pa.array(stay))
-        nexts, counts = as_lists(at, w, n)
-        cols = [keys[c].combine_chunks() for c in ("lang", "prefix", "seg")]
-        return pa.RecordBatch.from_arrays([*cols, nexts, counts, pa.array(total[stay], pa.int64())], names=["lang", "prefix", "seg", "next", "n", "total"])
+        stay = np.ones(len(t), bool) if totals else np.bincount(group[often], minlength=len(t)) > 0
+        nexts, counts = as_lists(np.searchsorted(group[often], np.append(np.flatnonzero(stay), len(t))), pc.list_flatten(t["next"]).filter(pa.array(often)), n[often])
+        keys = [t[c].filter(pa.array(stay)) for c in ("lang", "prefix")]
+        return pa.RecordBatch.from_arrays([*keys, nexts, counts, pa.array(total[stay], pa.int64())], names=["lang", "prefix", "next", "n", "total"])
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = pa.Table.from_batches([batch.select(["lang", "prefix", "seg", "next", "n"])])
-        keys, g, w, n = sums(now if held is None else pa.concat_tables([held, now]))
-        cut = int(np.searchsorted(g, len(keys) - 1))  # the last stripe may go on in the next batch
-        if len(keys) > 1:
-            yield out(keys.slice(0, len(keys) - 1), g[:cut], w.slice(0, cut), n[:cut])
-        nexts, counts = as_lists(np.array([0, len(g) - cut]), w.slice(cut), n[cut:])
-        lone = keys.slice(len(keys) - 1)
-        held = pa.table({"lang": lone["lang"], "prefix": lone["prefix"], "seg": lone["seg"], "next": nexts, "n": counts})
-    if held is not None:
-        yield out(*sums(held))
-
-
-def count_level(docs: DataFrame, level: int, table: np.ndarray, least: int, root_segments: int) -> DataFrame:
-    """Merged stripes (lang, prefix, seg, next, n, total) of the phrases of ``level`` words over ``docs`` (lang, text)."""
+        for bucket, block in zip(batch["bucket"].to_pylist(), batch["stripes"], strict=True):
+            if held and bucket != now:
+                yield out()
+                held = []
+            now = bucket
+            held += pa.ipc.open_stream(block.as_buffer())
+            if sum(map(len, held)) > 1 << 16:
+                held = [merged(held)]
+    if held:
+        yield out()
+
+
+def count_level(docs: DataFrame, level: int, table: np.ndarray, least: int, buckets: int) -> DataFrame:
+    """Merged stripes (lang, prefix, next, n, total) of the phrases of ``level`` words over ``docs`` (lang, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combined(lang_stripes(lang, texts, level, shared.value, root_segments) for lang, texts in by_lang(batches))
+        yield from packed(lang_stripes(lang, texts, level, shared.value, buckets) for lang, texts in by_lang(batches))
 
-    rows = docs.mapInArrow(count, CELLS).repartition("lang", "prefix", "seg").sortWithinPartitions("lang", "prefix", "seg")
-    out = staged(rows.mapInArrow(lambda b: merged(b, least, level == 1), CELLS + ", total bigint"), f"stripes-{level}")
+    blocks = docs.mapInArrow(count, "bucket int, stripes binary").repartition("bucket").sortWithinPartitions("bucket")
+    out = staged(blocks.mapInArrow(lambda b: frequent(b, least, level == 1), STRIPES), f"stripes-{level}")
     shared.destroy()
     return out
 
@@ -318,9 +316,10 @@ def collocations(
     table = np.zeros(1 << slot_bits, np.uint8)
     longs = "array<bigint>"
 
-    stripes = count_level(rows, 1, table, least, 4 * parts)
+    stripes = count_level(rows, 1, table, least, 4 * parts)  # the empty prefix is cut by the shuffle's size
     sizes = stripes.groupBy("lang").agg(F.sum("total").alias("n_all"))
     whole = sizes.agg(F.sum("n_all")).first()[0] or 0
+    buckets = max(4 * parts, whole // 1_000_000)
     limit = max(least, min(1_000_000, whole // (4 * parts)))
     empty = F.array().cast(longs)
     known = [phrases_of(stripes).select("lang", "phrase", "a", empty.alias("pre"), empty.alias("suf"))]
@@ -328,7 +327,7 @@ def collocations(
         mark(table, known[-1].select("lang", "phrase", "a"), limit)
         if level == 3:
             rows = frequent_runs(rows, table)
-        stripes = count_level(rows, level, table, least, 1)
+        stripes = count_level(rows, level, table, least, buckets)
         below = known[-1]
         # the counts of what stands before a cut come with the prefix, of what stands behind it with the rest
         before = below.select(F.col("lang").alias("g"), F.col("phrase").alias("p"), F.concat("pre", F.array("a")).alias("pre"))

@@ -70,26 +70,25 @@ def test_odd_and_empty_tables(spark, odd, empty):
     assert stripes.collocations(none).count() == 0
 
 
-def test_merging_goes_on_over_batches():
+def test_stripes_merge_element_by_element():
     rnd = random.Random(4)
-    rows = sorted((rnd.choice("ab"), rnd.choice(["p", "q r"]), rnd.randrange(3), [(rnd.choice("uvwxyz"), rnd.randint(1, 9)) for _ in range(rnd.randint(0, 5))]) for _ in range(300))
+    rows = [(rnd.choice("ab"), rnd.choice(["p", "q r"]), rnd.randrange(3), [(rnd.choice("uvwxyz"), rnd.randint(1, 9)) for _ in range(rnd.randint(0, 5))]) for _ in range(300)]
     want = {}
-    for lang, prefix, seg, cells in rows:
-        here = want.setdefault((lang, prefix, seg), Counter())
+    for lang, prefix, bucket, cells in rows:
+        here = want.setdefault((lang, prefix, bucket), Counter())
         for w, n in cells:
             here[w] += n
-    schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("seg", pa.int32()), ("next", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
+    schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("bucket", pa.int32()), ("next", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
     batches = [
-        pa.RecordBatch.from_pylist([{"lang": a, "prefix": p, "seg": s, "next": [c[0] for c in cells], "n": [c[1] for c in cells]} for a, p, s, cells in rows[k : k + 7]], schema=schema)
+        pa.RecordBatch.from_pylist([{"lang": a, "prefix": p, "bucket": s, "next": [c[0] for c in cells], "n": [c[1] for c in cells]} for a, p, s, cells in rows[k : k + 7]], schema=schema)
         for k in range(0, 300, 7)
     ]
+    blocks = pa.Table.from_batches(list(stripes.packed(iter(batches), most=50))).sort_by("bucket")
     for least, totals in ((1, True), (60, False), (60, True)):
-        got = [r for b in stripes.merged(iter(batches), least, totals) for r in b.to_pylist()]
-        assert len({(r["lang"], r["prefix"], r["seg"]) for r in got}) == len(got)
-        assert {(r["lang"], r["prefix"], r["seg"]): dict(zip(r["next"], r["n"], strict=True)) for r in got} == {
-            k: {w: n for w, n in c.items() if n >= least} for k, c in want.items() if totals or any(n >= least for n in c.values())
-        }
-        assert all(r["total"] == sum(want[r["lang"], r["prefix"], r["seg"]].values()) for r in got)
+        got = [r for b in stripes.frequent(iter(blocks.to_batches(max_chunksize=3)), least, totals) for r in b.to_pylist()]
+        assert sorted((r["lang"], r["prefix"], sorted(zip(r["next"], r["n"], strict=True)), r["total"]) for r in got) == sorted(
+            (k[0], k[1], sorted((w, n) for w, n in c.items() if n >= least), sum(c.values())) for k, c in want.items() if totals or any(n >= least for n in c.values())
+        )
 
 
 def test_counts_past_64_bits_stay_exact(spark):
