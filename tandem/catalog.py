@@ -319,6 +319,15 @@ def zip_lines(spark, sf_dir):
     return fx.line_pairs(spark, sf_dir)
 
 
+@register("zip_lines_strict", f"SELECT id // 1000 AS dataset, id % 1000 AS line_no, src, tgt FROM {fx.BITEXT_SQL}")
+def zip_lines_strict(spark, sf_dir):
+    """The strict zip over sides that match line by line: a surplus line would fail the job."""
+    pairs = fx.bitext(spark, sf_dir)
+    at = [F.floor(F.col("id") / 1000).alias("dataset"), (F.col("id") % 1000).alias("line_no")]
+    src, tgt = (pairs.select(*at, F.col(c).alias("line")) for c in ("src", "tgt"))
+    return align.zip_lines(src, tgt, mode="strict")
+
+
 # ---- aggregations and checks ----------------------------------------------------------
 
 
@@ -340,6 +349,26 @@ def bucket_counts(spark, sf_dir):
     return checks.bucket_counts(read, kept, start, GAP)
 
 
+RANGE_GAP = 1000  # one conversation per range: those without a user turn are empty
+
+
+@register(
+    "range_report",
+    f"""WITH r AS (SELECT id FROM {fx.USER_SQL}), m AS (SELECT min(id) AS lo, max(id) AS hi FROM r),
+s AS (SELECT unnest(range(0, (hi - lo) // {RANGE_GAP} + 1)) AS bucket, lo, hi FROM m),
+k AS (SELECT id FROM {KEPT_SQL})
+SELECT bucket, lo + bucket * {RANGE_GAP} AS range_start, least(lo + (bucket + 1) * {RANGE_GAP}, hi + 1) AS range_end,
+  (SELECT count(*) FROM r WHERE r.id >= lo + bucket * {RANGE_GAP} AND r.id < least(lo + (bucket + 1) * {RANGE_GAP}, hi + 1)) AS rows_read,
+  (SELECT count(*) FROM k WHERE k.id >= lo + bucket * {RANGE_GAP} AND k.id < least(lo + (bucket + 1) * {RANGE_GAP}, hi + 1)) AS rows_kept
+FROM s""",
+)
+def range_report(spark, sf_dir):
+    """Every id range of the export with its clipped end, empty ranges too."""
+    c = fx.conversation_collections(spark, sf_dir)
+    kept = filters.complete_rows(align.align_collections(c, ["user", "assistant"]), ["user", "assistant"])
+    return checks.range_report(c["user"], kept, RANGE_GAP)
+
+
 @register(
     "export_report",
     f"""SELECT rows_in, rows_joined, rows_kept, rows_in - rows_joined AS dropped_no_partner, rows_joined - rows_kept AS dropped_empty
@@ -483,13 +512,15 @@ def train_valid_split(spark, sf_dir):
     return split.train_valid_split(clean_line_pairs(spark, sf_dir), N_VALID, seed=SEED).select("id", "pos", "split")
 
 
+# a vocabulary needs no alignment: every sentence of either side, also one without a counterpart
 SHARED_SQL = f"""(SELECT id * 2 + side_no AS sid, side, text FROM (
-  SELECT id, 0 AS side_no, 'src' AS side, src AS text FROM {CLEAN_PAIRS_SQL}
-  UNION ALL SELECT id, 1 AS side_no, 'tgt' AS side, tgt AS text FROM {CLEAN_PAIRS_SQL}))"""
+  SELECT {PAIR_ID} AS id, 0 AS side_no, 'src' AS side, src AS text FROM {fx.LINE_PAIRS_REPORT_SQL} WHERE NOT {_sb}
+  UNION ALL SELECT {PAIR_ID} AS id, 1 AS side_no, 'tgt' AS side, tgt AS text FROM {fx.LINE_PAIRS_REPORT_SQL} WHERE NOT {_tb}))"""
 
 
 def shared_clean(spark, sf_dir) -> DataFrame:
-    s = setops.shared_sentences(clean_line_pairs(spark, sf_dir))
+    pairs = fx.line_pairs(spark, sf_dir, mode="report").select(F.expr(PAIR_ID).alias("id"), "src", "tgt")
+    s = filters.drop_blank_pairs(setops.shared_sentences(pairs), ["text"])
     return s.select(
         (F.col("id") * 2 + F.when(F.col("side") == "tgt", 1).otherwise(0)).alias("sid"), "side", "text"
     )
@@ -747,6 +778,17 @@ def vocab_omit_reserved(spark, sf_dir):
     return filters.omit_reserved(read_vocab(spark, _vocab_file(spark, sf_dir)))
 
 
+@register(
+    "vocab_rejects",
+    f"SELECT count(*) + 2 AS n_lines, count(*) AS n_kept, CAST(1 AS BIGINT) AS rejected_fields, CAST(1 AS BIGINT) AS rejected_score FROM {SCORES_SQL}",
+)
+def vocab_rejects(spark, sf_dir):
+    """Lines of the vocabulary file kept and rejected, by reason; the file has one line of each kind of fault."""
+    from tandem.operators.vocab import vocab_line_report
+
+    return vocab_line_report(spark.read.option("lineSep", "\n").text(_vocab_file(spark, sf_dir)))
+
+
 FREQ_SQL = f"SELECT piece, CAST(trunc(exp(score) * 1000000) AS BIGINT) + 1 AS freq FROM {SCORES_SQL} WHERE piece NOT IN ('<unk>', '<s>', '</s>')"
 
 

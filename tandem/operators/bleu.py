@@ -1,50 +1,50 @@
-"""Corpus BLEU (Papineni et al., 2002) as one n-gram aggregation over ``(id, hyp, ref)``."""
+"""Corpus BLEU (Papineni et al., 2002) over ``(id, hyp, ref)``, counted within the rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tandem.functions.text import words
 
 
-def ngrams(toks: Column, n: int) -> Column:
-    """Array of the ``n``-grams of a token array, tokens joined by one space."""
-    k = F.size(toks) - F.lit(n) + 1
-    return F.when(
-        k >= 1,
-        F.transform(F.sequence(F.lit(1), F.greatest(k, F.lit(1))), lambda i: F.array_join(F.slice(toks, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+def clipped_matches(hyp: list[str], ref: list[str], max_n: int) -> list[int]:
+    """Per n the matches of the two multisets of n-grams, then per n the hypothesis's n-grams, then the reference's words."""
+    matches, totals = [], []
+    for n in range(1, max_n + 1):
+        h, r = (Counter(zip(*[toks[k:] for k in range(n)], strict=False)) for toks in (hyp, ref))
+        matches.append((h & r).total())
+        totals.append(h.total())
+    return [*matches, *totals, len(ref)]
 
 
 def corpus_bleu(pairs: DataFrame, id_col: str = "id", hyp_col: str = "hyp", ref_col: str = "ref", max_n: int = 4) -> DataFrame:
     """One row: ``bleu, bp, p1..p<max_n>, hyp_len, ref_len`` (whitespace tokens, one reference).
 
-    Hypothesis and reference n-grams are stacked and counted in one aggregation on
-    ``(id, n, gram)``; clipped matches are ``least(hyp count, ref count)``.
+    Every pair is counted within its row: a task intersects the two multisets of n-grams
+    and adds up, so a batch yields one row of sums and no n-gram is shuffled.
     """
-    t = pairs.select(F.col(id_col).alias("id"), words(hyp_col).alias("h"), words(ref_col).alias("r"))
-    def tagged(toks: str, n: int, hc: int, rc: int) -> Column:
-        def one(g: Column) -> Column:
-            return F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(hc).alias("hc"), F.lit(rc).alias("rc"))
+    names = [f"m{n}" for n in range(1, max_n + 1)] + [f"t{n}" for n in range(1, max_n + 1)] + ["ref_len"]
 
-        return F.transform(ngrams(F.col(toks), n), one)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = [0] * len(names)
+            for at in range(0, batch.num_rows, 256):  # few rows at a time become Python objects
+                part = batch.slice(at, 256)
+                for hyp, ref in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    for k, x in enumerate(clipped_matches(hyp or [], ref or [], max_n)):
+                        sums[k] += x
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in sums], names=names)
 
-    grams = []
-    for n in range(1, max_n + 1):
-        grams.append(tagged("h", n, 1, 0))
-        grams.append(tagged("r", n, 0, 1))
-    counted = (
-        t.select("id", F.explode(F.concat(*grams)).alias("x"))
-        .groupBy("id", F.col("x.n").alias("n"), F.col("x.g").alias("g"))
-        .agg(F.sum("x.hc").alias("hc"), F.sum("x.rc").alias("rc"))
-    )
-    per_n = [
-        F.sum(F.when(F.col("n") == n, F.least("hc", "rc")).otherwise(0)).cast("double").alias(f"m{n}") for n in range(1, max_n + 1)
-    ] + [F.sum(F.when(F.col("n") == n, F.col("hc")).otherwise(0)).cast("double").alias(f"t{n}") for n in range(1, max_n + 1)]
-    # unigram totals are the corpus lengths, so one aggregation gives everything
-    per_n.append(F.sum(F.when(F.col("n") == 1, F.col("rc")).otherwise(0)).cast("bigint").alias("ref_len"))
-    one = counted.agg(*per_n).withColumn("hyp_len", F.col("t1").cast("bigint"))
+    tokens = pairs.select(words(hyp_col).alias("h"), words(ref_col).alias("r"))
+    sums = tokens.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    one = sums.agg(*[total(c).cast("double").alias(c) for c in names[:-1]], total("ref_len").cast("bigint").alias("ref_len"))
+    one = one.withColumn("hyp_len", F.col("t1").cast("bigint"))
     ps = [F.when(F.col(f"t{n}") > 0, F.col(f"m{n}") / F.col(f"t{n}")).otherwise(F.lit(0.0)) for n in range(1, max_n + 1)]
     c, r = F.col("hyp_len").cast("double"), F.col("ref_len").cast("double")
     bp = F.when(c > r, F.lit(1.0)).when(c == 0, F.lit(0.0)).otherwise(F.exp(F.lit(1.0) - r / c))

@@ -46,6 +46,26 @@ def bucket_counts(read: DataFrame, kept: DataFrame, start: int, gap: int = 10000
     )
 
 
+def range_report(read: DataFrame, kept: DataFrame, gap: int = 100000, id_col: str = "id") -> DataFrame:
+    """Every id range of an export, empty ones too: ``(bucket, range_start, range_end, rows_read, rows_kept)``.
+
+    Ranges are ``gap`` wide from the least id of ``read`` on; the last one holds the greatest
+    id and ends behind it (a further range, which could hold no id, is left out). The ranges
+    are made, not found, and the counts joined to them; one row with the two bounds is
+    collected. An empty collection has no ranges.
+    """
+    b = id_bounds(read, id_col).first()
+    spark = read.sparkSession
+    low, high = b.min_id or 0, b.max_id or 0
+    n = 0 if b.min_id is None else (high - low) // gap + 1
+    start = F.lit(low) + F.col("id") * F.lit(gap)
+    spine = spark.range(n).select(
+        F.col("id").alias("bucket"), start.alias("range_start"), F.least(start + F.lit(gap), F.lit(high + 1)).alias("range_end")
+    )
+    counts = bucket_counts(read, kept, low, gap, id_col).drop("range_start")
+    return spine.join(counts, on="bucket", how="left").na.fill(0, ["rows_read", "rows_kept"])
+
+
 def export_report(wide: DataFrame, codes: Sequence[str], squeeze: str = "full") -> DataFrame:
     """One row from one pass over the driving side left-joined to its partners.
 

@@ -383,6 +383,17 @@ def parse_vocab_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     )
 
 
+def vocab_line_report(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """One row of counts: all lines, those kept, and the rejects by reason (``fields``: not two of them, ``score``: no number)."""
+    parts = split_piece_score(F.col(line_col))
+    two = F.size(parts) == 2
+    score = F.when(two, parts[1].try_cast("double"))
+    n = lambda c: F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("bigint")
+    return lines.agg(
+        F.count(F.lit(1)).alias("n_lines"), n(two & score.isNotNull()).alias("n_kept"), n(~two | two.isNull()).alias("rejected_fields"), n(two & score.isNull()).alias("rejected_score")
+    )
+
+
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
     return parse_vocab_lines(spark.read.option("lineSep", "\n").text(path))
 

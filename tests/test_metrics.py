@@ -44,3 +44,29 @@ def test_vector_mean_and_completeness(spark):
     bad = spark.createDataFrame(rows[:3], "grp string, name string, step long, w array<double>")
     with pytest.raises(ValueError):
         vector_mean(bad)
+
+
+def test_bleu_shuffles_no_ngram_and_takes_odd_rows(spark):
+    rows = [(1, "a a a a b", "a a b b"), (2, None, "x"), (3, "", ""), (4, "one", None), (5, "w " * 3000, "w v " * 2000)]
+    df = spark.createDataFrame(rows, "id long, hyp string, ref string")
+    out = corpus_bleu(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SinglePartition" in plan  # the sums of the batches
+    got = out.first()
+    pairs = [(h or "", r or "") for _, h, r in rows]
+    assert got.bleu == pytest.approx(round(plain_bleu(pairs), 6), abs=1e-6)
+    assert (got.hyp_len, got.ref_len) == (sum(len(h.split()) for h, _ in pairs), sum(len(r.split()) for _, r in pairs))
+    assert corpus_bleu(df.limit(0)).first().bleu == 0.0
+
+
+def test_range_report_has_clipped_and_empty_ranges(spark):
+    from tandem.operators.checks import range_report
+
+    def ranges(ids, kept, gap):
+        frame, some = (spark.createDataFrame([(i,) for i in x], "id long") for x in (ids, kept))
+        return sorted(tuple(r) for r in range_report(frame, some, gap).select("range_start", "range_end", "rows_read", "rows_kept").collect())
+
+    assert ranges([5, 6, 250, 104], [6], 100) == [(5, 105, 3, 1), (105, 205, 0, 0), (205, 251, 1, 0)]
+    assert ranges([0, 199], [199], 100) == [(0, 100, 1, 0), (100, 200, 1, 1)]
+    assert ranges([7], [], 100) == [(7, 8, 1, 0)]
+    assert ranges([], [], 100) == []
