@@ -126,6 +126,18 @@ def language_names(spark, sf_dir):
     return counts.join(F.broadcast(names.select("code", "name")), on="code", how="left").select("code", "n_docs", "name")
 
 
+@register(
+    "unknown_codes",
+    f"""SELECT lang AS code, count(*) AS n_rows FROM documents
+WHERE lang IS NULL OR lang NOT IN ({", ".join(S.q(c[0]) for c in coll.LANGUAGES if c[0] != "de")}) GROUP BY lang""",
+)
+def unknown_codes(spark, sf_dir):
+    """Codes that a language table lacks, with their rows: here the shipped table without its German row."""
+    known = coll.language_dim(spark).where(F.col("code") != "de").select("code")
+    codes = coll.list_languages(read_table(spark, sf_dir, "documents"))
+    return codes.join(F.broadcast(known), on="code", how="left_anti").select("code", "n_rows")
+
+
 # ---- filters and projections ----------------------------------------------------------
 
 # One half-open id batch over orders: the middle half of the key span, read from the

@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tandem.operators import align, checks, filters, position, setops, split, unigram, vocab
@@ -72,15 +72,22 @@ def read_pair_files(
 
 
 def shuffle_split(
-    pairs: DataFrame, n_valid: int, max_lines: int = 0, seed: int | str = 42, block: int = 4096
+    pairs: DataFrame, n_valid: int, max_lines: int = 0, seed: int | str = 42, block: int = 4096, strict: bool = False
 ) -> DataFrame:
     """Blank-pair drop -> per-dataset cap -> ordered concat -> seeded permutation -> split.
 
     Input ``(dataset, line_no, src, tgt)``; output adds ``cpos`` (position in the
     concatenation ordered by dataset then line), ``pos`` (permuted position) and
-    ``split``. Every step is positional and exact, none runs in a single task.
+    ``split``. Every step is positional and exact, none runs in a single task. A line
+    without a counterpart is left out, or, with ``strict``, an error before anything is split.
     """
-    kept = filters.drop_blank_pairs(pairs.where(F.col("src").isNotNull() & F.col("tgt").isNotNull()))
+    both = F.col("src").isNotNull() & F.col("tgt").isNotNull()
+    # seen while the rows are written for their positions, so the check costs no pass of its own
+    seen = Observation()
+    at = F.concat_ws(", ", F.col("dataset").cast("string"), F.col("line_no").cast("string"))
+    if strict:
+        pairs = pairs.observe(seen, F.min(F.when(~both, at)).alias("alone"))
+    kept = filters.drop_blank_pairs(pairs.where(both))
     if max_lines > 0:
         kept = position.cap_per_group(
             kept,
@@ -92,6 +99,8 @@ def shuffle_split(
             super_bucket=lambda b: F.floor(b / F.lit(65536)),
         ).drop("_dpos")
     concat = position.ranked(kept, [F.col("dataset"), F.col("line_no")], pos_col="cpos")
+    if strict and seen.get["alone"] is not None:
+        raise ValueError(f"line without a counterpart at {seen.get['alone']}")
     return split.train_valid_split(concat, n_valid, id_col="cpos", seed=seed)
 
 

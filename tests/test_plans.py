@@ -54,3 +54,20 @@ def test_range_filter_reaches_the_scan(spark):
     plan = E.queries()["id_range_filter"](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderkey" in plan and "LessThan(o_orderkey" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in plan
+
+
+def test_strict_split_refuses_a_line_without_counterpart(spark):
+    import pytest
+
+    from tandem.plans.corpus import shuffle_split
+
+    rows = [("d", k, f"s{k}", f"t{k}") for k in range(30)]
+    schema = "dataset string, line_no long, src string, tgt string"
+    whole = spark.createDataFrame(rows, schema)
+    got = shuffle_split(whole, 5, strict=True).collect()
+    assert sorted(r.pos for r in got) == list(range(30)) and sorted(r.cpos for r in got) == list(range(30))
+    assert {r.pos for r in got if r.split == "valid"} == set(range(5)) and all(r.cpos == r.line_no for r in got)
+    odd = whole.unionByName(spark.createDataFrame([("d", 30, "surplus", None)], schema))
+    assert shuffle_split(odd, 5).count() == 30
+    with pytest.raises(Exception, match="without a counterpart at d, 30"):
+        shuffle_split(odd, 5, strict=True)
