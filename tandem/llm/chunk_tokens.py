@@ -24,6 +24,8 @@ PARTS = re.compile(rf"[{LATIN}]+(?=[\x00-\x40\x5b-\x60\x7b-\x7f]|\Z)|[\x21-\x26\
 #: What the tokenizer's \\s takes for white space; Arrow's own split also takes U+001C to U+001F, which have ids.
 SPACES = "[\\x{9}-\\x{d}\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
 LETTERS = re.compile(rf"[{LATIN}]+\Z")
+#: Characters of the longest chunk that is remembered.
+LONG = 64
 
 
 def added_pattern(tokenizer: Tokenizer) -> str | None:
@@ -38,34 +40,49 @@ class ChunkEncoder:
     """Ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
     With ``added``, the file's added tokens in a text have their ids, as by the unchanged tokenizer, which
-    encodes such texts whole; without, their strings are ordinary text. At most ``most`` chunks are
-    remembered; when full, the memory starts afresh.
+    encodes such texts whole; without, their strings are ordinary text. The ids of at most ``most`` chunks and
+    ``most`` parts of chunks are remembered (a chunk of more than ``LONG`` characters isn't); a full memory starts afresh.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000, added: bool = False):
+    def __init__(self, path: str, most: int = 400_000, added: bool = False):
         self.whole = Tokenizer.from_file(path)
         self.added = added_pattern(self.whole) if added else None
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most = most
-        self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self.known]
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
+        new = [p for p in parts if p not in self.parts]
+        if len(self.parts) + len(new) > self.most:
+            self.parts.clear()
             new = list(parts)
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             for part, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[part] = np.array(got.ids, np.uint32).tobytes()
+                self.parts[part] = np.array(got.ids, np.uint32).tobytes()
 
-    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, lengths and all ids of the distinct chunks."""
+    def _bytes_of(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks that aren't remembered, as bytes."""
         split = [(c,) if LETTERS.match(c) or len(c) > 1000 else PARTS.findall(c) for c in chunks]
         self._learn({p for parts in split for p in parts})
-        known = self.known
-        got = [known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts]) for parts in split]
+        known = self.parts
+        return [known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts]) for parts in split]
+
+    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, lengths and all ids of the distinct chunks."""
+        known = self.chunks
+        got = [known.get(c) for c in chunks]
+        new = [k for k, x in enumerate(got) if x is None]
+        if new:
+            if len(known) + len(new) > self.most:
+                known.clear()
+            names = [chunks[k] for k in new]
+            for k, name, ids in zip(new, names, self._bytes_of(names), strict=True):
+                got[k] = ids
+                if len(name) <= LONG and len(known) < self.most:
+                    known[name] = ids
         lens = np.fromiter(map(len, got), np.int64, len(got)) // 4
         flat = np.frombuffer(b"".join(got), np.uint32)
         return np.cumsum(lens) - lens, lens, flat
@@ -73,20 +90,24 @@ class ChunkEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each."""
         texts = texts.cast(pa.large_string()).fill_null("")
-        held = pc.match_substring_regex(texts, self.added) if self.added is not None else None
-        if held is None or not pc.any(held).as_py():
-            return self._plain(texts)
-        ids, counts = self._plain(pc.if_else(held, pa.scalar("", pa.large_string()), texts))
-        whole = self.whole.encode_batch_fast(texts.filter(held).to_pylist(), add_special_tokens=False)
+        odd = pc.match_substring_regex(texts, r"[\x1c-\x1f]")
+        held = pc.match_substring_regex(texts, self.added) if self.added is not None else pa.array([False] * len(texts), pa.bool_())
+        apart = pc.or_(odd, held)
+        if not pc.any(apart).as_py():
+            return self._plain(pc.utf8_split_whitespace(texts))
+        ids, counts = self._plain(pc.utf8_split_whitespace(pc.if_else(apart, pa.scalar("", pa.large_string()), texts)))
         parts = np.split(ids, np.cumsum(counts)[:-1])
-        for k, got in zip(np.flatnonzero(held.to_numpy(zero_copy_only=False)).tolist(), whole, strict=True):
-            parts[k] = np.array(got.ids, np.uint32)
-            counts[k] = len(got.ids)
+        odd = pc.and_not(odd, held)
+        odd_ids, odd_counts = self._plain(pc.split_pattern_regex(texts.filter(odd), SPACES))
+        whole = self.whole.encode_batch_fast(texts.filter(held).to_pylist(), add_special_tokens=False)
+        for mask, got in ((odd, np.split(odd_ids, np.cumsum(odd_counts)[:-1])), (held, [np.array(x.ids, np.uint32) for x in whole])):
+            for k, own in zip(np.flatnonzero(mask.to_numpy(zero_copy_only=False)).tolist(), got, strict=False):
+                parts[k] = own
+                counts[k] = len(own)
         return np.concatenate(parts), counts
 
-    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        separators = pc.any(pc.match_substring_regex(texts, r"[\x1c-\x1f]")).as_py()
-        lists = pc.split_pattern_regex(texts, SPACES) if separators else pc.utf8_split_whitespace(texts)
+    def _plain(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that are cut at white space."""
         offsets = np.asarray(lists.offsets, dtype=np.int64)
         words = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         offsets = offsets - offsets[0]

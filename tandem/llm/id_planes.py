@@ -127,7 +127,7 @@ def write_id_files(
 ) -> None:
     """Encode whole texts, append ``end_id`` to each and write id files in ascending key order.
 
-    Files in the order of their names hold the keys in order (null keys first, repeated keys
+    Files in the order of their numbers hold the keys in order (null keys first, repeated keys
     in any fixed order). The sort is Spark's range partitioning by key and a row number, so a
     key with many rows spreads over files; a task holds one batch of texts and its file's bytes.
     A null text is empty: it has ``end_id`` alone. An empty table gives no or empty files.
@@ -135,15 +135,15 @@ def write_id_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, out, rows = chunk_encoder(tokenizer), PlaneWriter(bits, block), 0
-        pending = b""
+        pending = []
         for batch in small_batches(batches, 1):
             ids, counts = encoder.encode(batch.column(1))
             at = np.cumsum(counts)
             ids = np.insert(ids, at, np.uint32(end_id))
-            pending += out.add(batch.column(0).to_pylist(), counts + 1, ids)
+            pending.append(out.add(batch.column(0).to_pylist(), counts + 1, ids))
             rows += batch.num_rows
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([pending + out.close()], pa.binary())], names=["value"])
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join([*pending, out.close()])], pa.binary())], names=["value"])
 
     rows = docs.select(F.col(key).cast("bigint").alias("k"), text_of(text).alias("t"), F.monotonically_increasing_id().alias("r"))
     rows = rows.repartitionByRange("k", "r").sortWithinPartitions("k", "r").select("k", "t")
@@ -190,7 +190,8 @@ def id_offsets(read: DataFrame) -> DataFrame:
     """
     read = staged(read, "planes-read")
     files = read.groupBy("file").agg(F.sum("n_tokens").alias("total"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.regexp_extract("file", r"part-(\d+)", 1).try_cast("bigint")  # names alone sort part-100000 before part-99999
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     rows = read.join(files, "file")
     return rows.select("doc_id", (F.col("base") + F.col("within")).cast("bigint").alias("start"), "n_tokens", "ids_crc32")

@@ -20,3 +20,12 @@ def test_every_code_point_between_letters_has_its_ids():
                 wrong.append(text)
             at += k
         assert not wrong
+
+
+def test_a_batch_with_odd_texts_keeps_all_ids():
+    t, mine = Tokenizer.from_file(P.path("word_bpe_49k.json")), ChunkEncoder(P.path("word_bpe_49k.json"), most=6, added=True)
+    texts = ["one two, three!", "ab\x1ccd \x1c x", None, "", "a <|endoftext|> b\x1d", "\x1f", "don't stop " * 3, "x" * 70 + " y", "one two, three!"]
+    for _ in range(2):
+        ids, counts = mine.encode(pa.array(texts))
+        want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+        assert counts.tolist() == [len(x) for x in want] and ids.tolist() == sum(want, [])
