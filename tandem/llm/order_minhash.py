@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tandem.llm.common import small_batches, staged, text_of
@@ -34,8 +34,15 @@ SIGNED_ALIKE = 85
 FILTER_BITS = 1 << 26
 #: Rows of bucket members for each file of the small tables.
 FILE_ROWS = 100_000
+#: Shingles of a short text. Pairs with a short text are found exactly, by prefixes, not by sketches; its partners
+#: have at most a quarter more.
+SHORT = 60
+PARTNER = 75
+#: Slots of the table of shingle counts that orders the shingles of short texts: 2 MB at any size of the corpus.
+SLOTS = 1 << 18
 #: Values per sketch among which its smallest are looked for.
 LIKELY = 20
+NONE = np.zeros(0, np.int64)
 
 _ODD = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % 2**64 | 1 for k in range(8)], np.uint64)
 _SEEDS = np.array([xxhash.xxh64_intdigest(b"sketch", seed=k) for k in range(256)], np.uint64)
@@ -90,7 +97,7 @@ def _smallest(y: np.ndarray, take: int) -> np.ndarray | None:
 
 
 def sketch_keys(labelled: np.ndarray, sketches: int = SKETCHES, minima: int = MINIMA) -> np.ndarray:
-    """One key per sketch: a hash of its smallest labelled shingles in text order."""
+    """One key per sketch, an even number: a hash of its smallest labelled shingles in text order."""
     if not len(labelled):
         return np.zeros(0, np.int64)
     n, take = len(labelled), min(minima, len(labelled))
@@ -105,7 +112,17 @@ def sketch_keys(labelled: np.ndarray, sketches: int = SKETCHES, minima: int = MI
     out = _SEEDS[:sketches].copy()
     for j in range(take):
         out = _mixed((out ^ keys[:, j]) * _ODD[6] + _ODD[7])
-    return out.view(np.int64)
+    return (out & ~np.uint64(1)).view(np.int64)
+
+
+def prefix_keys(labelled: np.ndarray, counts: np.ndarray, least: float = LEAST) -> np.ndarray:
+    """One key, an odd number, for each of the text's rarest shingles, so many that two texts with a Jaccard
+    similarity of ``least`` share one. ``counts`` has the shingles' counts by slot; any table gives whole results."""
+    n = len(labelled)
+    take = n - int(np.ceil(least * n - 1e-9)) + 1
+    mixed = _mixed(labelled * _ODD[3])
+    order = np.lexsort((mixed, counts[(labelled % np.uint64(SLOTS)).astype(np.int64)]))
+    return (mixed[order[:take]] | np.uint64(1)).view(np.int64)
 
 
 def signature(labelled: np.ndarray) -> bytes:
@@ -147,18 +164,49 @@ def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST) -> fl
 
 
 def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row: ``rid``, key, text digest and sketch keys (none without words), written once."""
+    """Per row: ``rid``, key, text digest, sketch keys (none without words), number of shingles and, of texts that
+    may be partners of short ones, the shingles; written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 3):
-            keys = [sketch_keys(shingles(t)) for t in batch.column(3).to_pylist()]
-            ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["rid", "id", "digest", "keys"])
+            found = [shingles(t) for t in batch.column(3).to_pylist()]
+            sizes = pa.array([len(x) for x in found], pa.int64())
+            few = lists([x.view(np.int64) if len(x) <= PARTNER else NONE for x in found])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists([sketch_keys(x) for x in found]), sizes, few], names=["rid", "id", "digest", "keys", "n", "few"])
+
+    def lists(keys: list[np.ndarray]) -> pa.Array:
+        ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
 
     t = text_of(text)
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).cast("bigint").alias("id"), F.md5(t).alias("digest"), t.alias("text"))
-    return staged(rows.mapInArrow(run, "rid bigint, id bigint, digest string, keys array<bigint>"), "near-rows")
+    return staged(rows.mapInArrow(run, "rid bigint, id bigint, digest string, keys array<bigint>, n bigint, few array<bigint>"), "near-rows")
+
+
+def bucketed(rows: DataFrame) -> DataFrame:
+    """``(node, key)``: the buckets of the nodes' rows. Short texts have prefix keys, their longer partners
+    prefix and sketch keys, all others sketch keys."""
+    few = rows.where(F.size("few") > 0)
+    slot = F.pmod("x", F.lit(SLOTS)).cast("int")
+    table = few.select(F.explode("few").alias("x")).groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).toPandas()  # at most SLOTS rows
+    counts = np.zeros(SLOTS, np.int64)
+    counts[table["slot"]] = table["n"]
+    shared = rows.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keys = [prefix_keys(np.array(x, np.int64).view(np.uint64), shared.value) for x in batch.column(1).to_pylist()]
+                nodes = np.repeat(np.asarray(batch.column(0)), [len(x) for x in keys])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(keys))], names=["node", "key"])
+
+    short = few.select(F.col("rid").alias("node"), "few").mapInArrow(run, "node bigint, key bigint")
+    return short.unionByName(rows.where(F.col("n") > SHORT).select(F.col("rid").alias("node"), F.explode("keys").alias("key")))
+
+
+def agreed() -> Column:
+    """How much the shared buckets of an aggregate's rows tell: a prefix key is enough, sketch keys count one each."""
+    return F.sum(F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, AGREE).otherwise(1))
 
 
 def signed(texts: DataFrame) -> DataFrame:
@@ -188,7 +236,7 @@ def may_be_alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).sum(axis=1) > SIGNED_ALIKE
 
 
-def alike(pairs: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
+def alike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose signatures let them be similar: an alignment is never above the Jaccard similarity
     of the shingle sets, so the whole texts of the others needn't be brought together."""
 
@@ -201,10 +249,10 @@ def alike(pairs: DataFrame, texts: DataFrame, parts: int) -> DataFrame:
     mine = texts.select(F.col("node").alias("u"), F.col("mark").alias("mine"))
     other = texts.select(F.col("node").alias("v"), F.col("mark").alias("other"))
     both = pairs.join(mine, "u").join(other, "v").select("u", "v", "u_root", "v_root", "mine", "other")
-    return staged(both.mapInArrow(run, "u bigint, v bigint, u_root bigint, v_root bigint").coalesce(parts), "near-alike")
+    return staged(both.mapInArrow(run, "u bigint, v bigint, u_root bigint, v_root bigint"), "near-alike")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, label: str, parts: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
     """The pairs (u, v, and their roots) whose texts align to at least ``LEAST``, with their similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,8 +268,8 @@ def verified(pairs: DataFrame, texts: DataFrame, label: str, parts: int) -> Data
 
     mine = texts.select(F.col("node").alias("u"), F.col("text").alias("mine"))
     other = texts.select(F.col("node").alias("v"), F.col("text").alias("other"))
-    both = alike(pairs, texts, parts).join(mine, "u").join(other, "v").select("u", "v", "u_root", "v_root", "mine", "other")
-    return staged(both.mapInArrow(run, "u bigint, v bigint, u_root bigint, v_root bigint, similarity double").coalesce(parts), label)
+    both = alike(pairs, texts).join(mine, "u").join(other, "v").select("u", "v", "u_root", "v_root", "mine", "other")
+    return staged(both.mapInArrow(run, "u bigint, v bigint, u_root bigint, v_root bigint, similarity double"), label)
 
 
 def components(edges: DataFrame, parts: int) -> DataFrame:
@@ -262,60 +310,53 @@ def blocks_of(placed: DataFrame, texts: DataFrame, rows: DataFrame, parts: int)
             yield block(key, held)
 
     def block(key: int, held: list[tuple]) -> pa.RecordBatch:
-        nodes, roots, marks, keys, bodies = zip(*held, strict=True)
+        _, roots, marks, keys, bodies = zip(*held, strict=True)
         keys = np.array(keys, np.int64).tobytes()
-        row = ((key, "int64"), (min(roots), "int64"), (max(roots), "int64"), (nodes, LONGS), (roots, LONGS), (b"".join(marks), "binary"), (keys, "binary"), (bodies, pa.list_(pa.string())))
+        row = ((key, "int64"), (min(roots), "int64"), (max(roots), "int64"), (roots, LONGS), (b"".join(marks), "binary"), (keys, "binary"), (bodies, pa.list_(pa.string())))
         return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in row], names=["key", "low", "high", *BLOCKS])
 
     mixed = placed.groupBy("key").agg(F.min("u_root").alias("low"), F.max("u_root").alias("high")).where("low < high").select("key")
     mixed = staged(placed.join(mixed, "key").coalesce(parts), "near-mixed")
-    often = mixed.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE).select("node")
+    often = mixed.groupBy("node").agg(agreed().alias("n")).where(F.col("n") >= AGREE).select("node")
     facts = texts.join(rows.select(F.col("rid").alias("node"), "keys"), "node")
     open_rows = staged(mixed.join(often, "node").coalesce(parts), "near-open").join(facts, "node")
     dealt = open_rows.repartitionByRange(parts, "key", "u_root", "node").sortWithinPartitions("key", "u_root", "node")
     dealt = dealt.select("key", "node", "u_root", "mark", "keys", "text")
-    found = dealt.mapInArrow(cut, "key bigint, low bigint, high bigint, nodes array<bigint>, roots array<bigint>, marks binary, sketches binary, texts array<string>")
+    found = dealt.mapInArrow(cut, "key bigint, low bigint, high bigint, roots array<bigint>, marks binary, sketches binary, texts array<string>")
     return staged(found.withColumn("block", F.monotonically_increasing_id()), "near-blocks")
 
 
 LONGS = pa.list_(pa.int64())
-BLOCKS = ["nodes", "roots", "marks", "sketches", "texts"]
+BLOCKS = ["roots", "marks", "sketches", "texts"]
 
 
 def unmet(placed: DataFrame, texts: DataFrame, rows: DataFrame, parts: int) -> DataFrame:
     """Links (u, v) between the roots of all components that are tied by a pair of similar texts with ``AGREE``
-    shared sketches.
+    shared sketches or a shared prefix.
 
     Each block of a bucket meets each other one, and itself, in a row of its own, unless both are of one and the
-    same component. There all pairs of different components have their signatures compared; those that pass and
-    share the sketches have their texts aligned, in the first bucket that they share, unless the row's links tie
-    their components already. Only links become rows.
+    same component. First signatures and sketches alone: a row stays if a pair of different components passes that
+    shares a prefix, or the sketches in the first bucket of both. Only then do the two blocks' texts meet, and the pairs
+    are aligned unless the row's links tie their components already. Only links become rows.
     """
 
+    def some_fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fits = [any(len(x) for x, _ in candidates(batch.slice(k, 1).to_pylist()[0])) for k in range(batch.num_rows)]
+            yield batch.select(["key", "block", "other"]).filter(pa.array(fits, pa.bool_()))
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 links = joined_in(batch.slice(k, 1).to_pylist()[0])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*links, strict=True) if links else ((), ()))], names=["u", "v"])
 
-    def joined_in(cell: dict) -> list[tuple[int, int]]:
-        sides, tied, links = [], {}, []
-        for side in ("", "other_"):
-            nodes, roots, marks, keys, bodies = (cell[side + c] for c in BLOCKS)
-            marks, keys = (np.frombuffer(x, t).reshape(len(nodes), -1) for x, t in ((marks, np.uint8), (keys, np.int64)))
-            sides.append((np.array(roots, np.int64), marks, keys, bodies, {}))
-        (roots, marks, keys, bodies, known), (o_roots, o_marks, o_keys, o_bodies, o_known) = sides
-
-        def top(root: int) -> int:
-            while root in tied:
-                root = tied[root]
-            return root
-
-        def of(at: int, bodies: list[str], known: dict[int, np.ndarray]) -> np.ndarray:
-            if at not in known:
-                known[at] = shingles(bodies[at])
-            return known[at]
-
+    def candidates(cell: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places, in the row's two blocks, of the pairs that have to be aligned."""
+        (roots, marks, keys), (o_roots, o_marks, o_keys) = (
+            (np.array(cell[s + "roots"], np.int64), *(np.frombuffer(cell[s + c], t).reshape(len(cell[s + "roots"]), -1) for c, t in (("marks", np.uint8), ("sketches", np.int64))))
+            for s in ("", "other_")
+        )
         differs = roots[:, None] != o_roots[None, :]
         if cell["block"] == cell["other"]:
             differs = np.triu(differs)
@@ -324,23 +365,44 @@ def unmet(placed: DataFrame, texts: DataFrame, rows: DataFrame, parts: int) -> D
             x, y = all_x[a : a + PAIRS], all_y[a : a + PAIRS]
             fits = may_be_alike(marks[x], o_marks[y])
             x, y = x[fits], y[fits]
-            same = keys[x] == o_keys[y]
-            here = (same.sum(axis=1) >= AGREE) & (keys[x, same.argmax(axis=1)] == cell["key"])
-            for p, q in zip(x[here].tolist(), y[here].tolist(), strict=True):
-                mine, other = top(int(roots[p])), top(int(o_roots[q]))
-                if mine != other and aligned_similarity(of(p, bodies, known), of(q, o_bodies, o_known)):
+            if not cell["key"] & 1:
+                same = keys[x] == o_keys[y]
+                here = (same.sum(axis=1) >= AGREE) & (keys[x, same.argmax(axis=1)] == cell["key"])
+                x, y = x[here], y[here]
+            yield x, y
+
+    def joined_in(cell: dict) -> list[tuple[int, int]]:
+        tied, links, known = {}, [], {}
+
+        def top(root: int) -> int:
+            while root in tied:
+                root = tied[root]
+            return root
+
+        def of(side: str, at: int) -> np.ndarray:
+            if (side, at) not in known:
+                known[side, at] = shingles(cell[side + "texts"][at])
+            return known[side, at]
+
+        for x, y in candidates(cell):
+            for p, q in zip(x.tolist(), y.tolist(), strict=True):
+                mine, other = top(cell["roots"][p]), top(cell["other_roots"][q])
+                if mine != other and aligned_similarity(of("", p), of("other_", q)):
                     tied[max(mine, other)] = min(mine, other)
                     links.append((max(mine, other), min(mine, other)))
         return links
 
+    def with_blocks(cells: DataFrame, columns: list[str]) -> DataFrame:
+        mine, other = blocks.select("block", *columns), blocks.select(F.col("block").alias("other"), *[F.col(c).alias("other_" + c) for c in columns])
+        return cells.join(mine, "block").join(other, "other").select("key", "block", "other", *columns, *["other_" + c for c in columns])
+
     blocks = blocks_of(placed, texts, rows, parts)
     light = blocks.select("key", "block", "low", "high")
     other = light.select("key", F.col("block").alias("other"), F.col("low").alias("l"), F.col("high").alias("h"))
     cells = light.join(other, "key").where("block <= other and not (low = high and l = h and low = l)").select("key", "block", "other")
-    cells = staged(cells, "near-cells").join(blocks.select("block", *BLOCKS), "block")
-    cells = cells.join(blocks.select(F.col("block").alias("other"), *[F.col(c).alias("other_" + c) for c in BLOCKS]), "other")
-    cells = cells.select("key", "block", "other", *BLOCKS, *["other_" + c for c in BLOCKS])
-    return staged(cells.mapInArrow(meet, "u bigint, v bigint").distinct(), "near-unmet")
+    cells = with_blocks(staged(cells, "near-cells"), BLOCKS[:-1]).mapInArrow(some_fit, "key bigint, block bigint, other bigint")
+    met = with_blocks(staged(cells, "near-met"), BLOCKS).mapInArrow(meet, "u bigint, v bigint")
+    return staged(met.distinct(), "near-unmet")
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -352,30 +414,30 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     own, as is a row with a null key unless others share its class (null if none has an id).
     Repeated rows share a class. An empty table gives no rows.
 
-    Candidates share three sketches. Every bucket is first compared as a star: every node with
+    Candidates share three sketches; pairs with a text of at most ``SHORT`` shingles share a prefix of their
+    rarest shingles, which no such pair escapes. Every bucket is first compared as a star: every node with
     the weightiest node of each of its buckets, that with the most company in all of its own (the text that the
     others were copied from, if it is there). What the stars leave apart is closed exactly, see ``unmet``: block of
     a bucket against block, so no bucket meets in one task, and no pairs within a bucket are listed.
     """
     rows = sketched(docs, key, text)
     nodes = staged(rows.where(F.size("keys") > 0).groupBy("digest").agg(F.min("rid").alias("node"), F.min("id").alias("id")), "near-nodes")
-    keyed = rows.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi").select(F.col("rid").alias("node"), F.explode("keys").alias("key"))
-    keyed = staged(keyed, "near-keys")
+    keyed = staged(bucketed(rows.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")), "near-keys")
     buckets = staged(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-buckets")
     members = staged(keyed.join(buckets, "key"), "near-members")
     parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-members.count() // FILE_ROWS))
-    some = members.groupBy("node").agg(F.count(F.lit(1)).alias("shares"), F.sum("n").alias("weight")).where(F.col("shares") >= AGREE)
+    some = members.groupBy("node").agg(agreed().alias("shares"), F.sum("n").alias("weight")).where(F.col("shares") >= AGREE)
     some = staged(some.select("node", "weight").coalesce(parts), "near-some")
     members = staged(members.select("key", "node").join(some, "node").coalesce(parts), "near-members")
     heads = staged(members.groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("leader")).coalesce(parts), "near-heads")
-    shared = members.join(heads, "key").where("leader != node").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREE)
+    shared = members.join(heads, "key").where("leader != node").groupBy("node", "leader").agg(agreed().alias("n")).where(F.col("n") >= AGREE)
     shared = staged(shared.coalesce(parts), "near-shared")
     needed = staged(nodes.join(some, "node").select("node", F.col("id").alias("_id"), F.col("digest").alias("_digest")).coalesce(parts), "near-needed")
     whole = docs.select(F.col(key).cast("bigint").alias("id"), F.md5(text_of(text)).alias("digest"), text_of(text).alias("text"))
     texts = within(whole, needed.withColumnRenamed("_digest", "digest"), "digest").join(needed, (F.col("digest") == F.col("_digest")) & F.col("id").eqNullSafe(F.col("_id"))).select("node", "text")
     texts = staged(signed(texts), "near-texts")
     first = shared.select(F.col("node").alias("u"), F.col("leader").alias("v"), F.col("node").alias("u_root"), F.col("leader").alias("v_root"))
-    stars = components(verified(first, texts, "near-links", parts).select("u", "v"), parts)
+    stars = components(verified(first, texts, "near-links").select("u", "v"), parts)
     placed = members.join(stars.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
     placed = staged(placed.select("key", "node", F.coalesce("root", "node").alias("u_root")).coalesce(parts), "near-placed")
     more = unmet(placed, texts, rows, parts)

@@ -1,3 +1,5 @@
+import numpy as np
+
 from tandem.llm import order_minhash
 
 
@@ -30,3 +32,31 @@ def test_sparse_links_in_a_templated_group_equal_brute_force(docs_frame):
     assert len(texts) > len(set(want)) > 200
     got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs_frame([(k, t, "en", "s") for k, t in enumerate(texts)])).collect()}
     assert [got[k] for k in range(len(texts))] == want
+
+
+def test_short_texts_equal_brute_force(docs_frame):
+    rng = np.random.default_rng(5)
+    word = lambda: "w%d" % rng.integers(0, 5000)
+    texts = []
+    for n in [*range(1, 31), 45, 60, 64, 70, 78]:
+        for _ in range(8):
+            base = [word() for _ in range(n)]
+            texts += [" ".join(base), " ".join([*base, word()])]  # one word more
+            if n > 20:
+                texts.append(" ".join([*base, *[word() for _ in range(n // 6)]]))
+    license = [f"line{k}" for k in range(12)]
+    texts += [" ".join([*license, *[word() for _ in range(6)]]) for _ in range(40)]  # a passage alone links nothing
+    want = brute_classes(texts)
+    assert len(set(want)) < len(texts) - 150 and all(want[k] == k for k in range(len(texts) - 40, len(texts)))
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs_frame([(k, t, "en", "s") for k, t in enumerate(texts)])).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+
+
+def test_prefixes_meet_at_the_least_similarity():
+    rng = np.random.default_rng(1)
+    for n in range(4, 61):
+        a = rng.integers(0, 2**63, n).astype(np.uint64)
+        for m in range(n, n * 5 // 4 + 1):
+            b = np.concatenate([a, rng.integers(0, 2**63, m - n).astype(np.uint64)])
+            counts = rng.integers(0, 9, order_minhash.SLOTS)
+            assert set(order_minhash.prefix_keys(a, counts)) & set(order_minhash.prefix_keys(b, counts))
