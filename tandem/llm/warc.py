@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import re
@@ -58,104 +59,211 @@ class Salvage:
             self.gaps.append((start, end, why))
 
 
+class Incomplete(ValueError):
+    """A record that may go on behind the data; ``need`` bytes are wanted at least."""
+
+    def __init__(self, why: str, need: int):
+        super().__init__(why)
+        self.need = need
+
+
+def hex_digest(value: str) -> str | None:
+    """A SHA-1 as lower-case hex, from hex or base32; None if it is neither."""
+    value = value[5:] if value.lower().startswith("sha1:") else ""
+    if re.fullmatch(r"[0-9A-Fa-f]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch(r"[2-7A-Za-z]{32}", value) else None
+
+
+def payload_of(fields: dict[str, str], block: bytes) -> bytes:
+    """The block, of HTTP messages without their head."""
+    if not fields.get("content-type", "").lower().startswith("application/http"):
+        return block
+    return block.partition(b"\r\n\r\n")[2]
+
+
+def vouched(fields: dict[str, str], block: bytes) -> bool | None:
+    """Whether the record's digests fit; None if it has none that can be checked.
+
+    A payload digest may be over the payload or, by some writers, the whole block. That of a chunked HTTP
+    payload, which writers take before or after they join the chunks, isn't held against a record.
+    """
+    own, found = hex_digest(fields.get("warc-block-digest", "")), None
+    if own is not None:
+        if hashlib.sha1(block).hexdigest() != own:
+            return False
+        found = True
+    own = hex_digest(fields.get("warc-payload-digest", ""))
+    if own is None or fields.get("warc-type") == "revisit":
+        return found
+    payload = payload_of(fields, block)
+    if own in (hashlib.sha1(payload).hexdigest(), hashlib.sha1(block).hexdigest()):
+        return True
+    head = block[: len(block) - len(payload)].lower()
+    return found if re.search(rb"transfer-encoding:[^\r\n]*chunked", head) else False
+
+
 def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
-    """Header fields (names in lower case), block and end of the record at ``at``; ValueError if it is damaged.
+    """Header fields (names in lower case), block and end of the record at ``at``; ValueError if it is damaged,
+    ``Incomplete`` if by its Content-Length it goes on behind the data.
 
     The checks: version line, header lines, length, the two line ends behind the block, and
-    the payload's digest where the record has one and a block.
+    the digests of block and payload where the record has them.
     """
     if not (version := VERSION.match(data, at)):
         raise ValueError("no version line")
     end = data.find(b"\r\n\r\n", version.end())
     if end < 0:
-        raise ValueError("header without end")
+        raise Incomplete("header without end", len(data) - at + 1)
     fields: dict[str, str] = {}
     for line in data[version.end() : end].split(b"\r\n"):
         name, colon, value = line.partition(b":")
         if not colon or not re.fullmatch(rb"[!-9;-~]+", name):
             raise ValueError("bad header line")
         fields[name.decode().lower()] = value.strip().decode("utf-8", "replace")
-    if not (fields.get("content-length") or "").isdigit():
+    if not re.fullmatch(r"[0-9]{1,18}", fields.get("content-length", "")):
         raise ValueError("no length")
     start = end + 4
     stop = start + int(fields["content-length"])
+    if stop + 4 > len(data):
+        raise Incomplete("record cut off", stop + 4 - at)
     if data[stop : stop + 4] != b"\r\n\r\n":
-        raise ValueError("record cut off" if stop + 4 > len(data) else "no line ends behind the block")
+        raise ValueError("no line ends behind the block")
     block = data[start:stop]
-    digest = fields.get("warc-payload-digest", "")
-    if digest.startswith("sha1:") and fields.get("warc-type") != "revisit" and hashlib.sha1(block).hexdigest() != digest[5:].lower():
-        raise ValueError("payload doesn't match its digest")
+    if vouched(fields, block) is False:
+        raise ValueError("a digest doesn't match")
     return fields, block, stop + 4
 
 
-def salvage_plain(data: bytes, out: Salvage, base: int = 0) -> None:
-    """Records of an uncompressed archive; after a failed check, go on at the next version line that parses."""
-    at = 0
+def starts_record(data: bytes) -> bool:
+    """Whether a whole, valid record stands at the start."""
+    try:
+        return bool(parse_record(data, 0))
+    except ValueError:
+        return False
+
+
+def records_in(data: bytes) -> tuple[list[tuple[dict[str, str], bytes, int]], str | None, int, int]:
+    """Valid records of what gzip members hold with their ends, the first damage, and where an incomplete last record
+    starts (the end if there is none) with the bytes that it needs."""
+    found, damage, at, open_at, need = [], None, 0, None, 0
     while at < len(data):
         try:
-            fields, block, end = parse_record(data, at)
+            fields, block, at = parse_record(data, at)
         except ValueError as why:
-            nxt = VERSION.search(data, at + 1)
-            to = nxt.start() if nxt else len(data)
-            out.gap(base + at, base + to, str(why))
-            at = to
+            if isinstance(why, Incomplete) and open_at is None:
+                open_at, need = at, why.need
+            elif not isinstance(why, Incomplete):
+                damage = damage or str(why)
+            later = VERSION.search(data, at + 1)
+            at = later.start() if later else len(data)
             continue
-        out.records.append((base + at, fields, block))
-        at = end
+        if open_at is not None:  # a valid record behind it: the incomplete one was cut off
+            damage, open_at = damage or "record cut off", None
+        found.append((fields, block, at))
+    return found, damage, len(data) if open_at is None else open_at, need
 
 
-def next_member(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """What the gzip member at ``at`` holds and where it ends; None if it is damaged."""
-    engine, out, to = zlib.decompressobj(31), [], at
-    view = memoryview(data)
-    try:
+def next_member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` holds as far as it can be read, where reading ended, and how:
+    ``whole``, ``cut`` (the file ends in it) or ``bad``."""
+    view, most = memoryview(data), 1 << 16
+
+    def read(start: int, engine, out: list[bytes], step: int) -> tuple[int, str]:
+        to = start
         while not engine.eof and to < len(data):  # in small steps: what a member leaves over is copied
-            out.append(engine.decompress(view[to : to + (1 << 16)]))
-            to += 1 << 16
-    except zlib.error:
-        return None
-    return (b"".join(out), min(to, len(data)) - len(engine.unused_data)) if engine.eof else None
+            try:
+                out.append(engine.decompress(view[to : to + step]))
+            except zlib.error:
+                return to, "bad"
+            to += step
+        return min(to, len(data)) - len(engine.unused_data), "whole" if engine.eof else "cut"
+
+    engine, out = zlib.decompressobj(31), []
+    end, how = read(at, engine, out, most)
+    if how == "bad":  # again, byte by byte where it broke: a failed step gives nothing
+        engine, out, stop = zlib.decompressobj(31), [], end
+        for to in range(at, stop, most):
+            out.append(engine.decompress(view[to : to + most]))
+        end, how = read(stop, engine, out, 1)
+    return b"".join(out), end, how
+
+
+def salvage_members(data: bytes, at: int, out: Salvage) -> tuple[int, int]:
+    """Records of the row of gzip members at ``at``. Returns where the row ends, and from where on a
+    version line may start a record (further on, if the last member is damaged: what it holds is not to be
+    read again, but the next member may start within the bytes that the damage made it swallow)."""
+    held, size, need, since = [], 0, 0, at  # members from ``since`` on that hold the start of a record
+    while data.startswith(MEMBER, at):
+        body, end, how = next_member(data, at)
+        if held and VERSION.match(body) and starts_record(body):
+            out.gap(since, at, "record cut off")
+            held, size = [], 0
+        if not held:
+            since, need = at, 0
+        held.append(body)
+        size += len(body)
+        if size < need and how == "whole":
+            at = end
+            continue
+        whole = b"".join(held)
+        found, damage, rest, need = records_in(whole)
+        if how != "whole":  # the record at which reading stops isn't taken for whole
+            found = [r for r in found if r[2] < len(whole)]
+        kept = [r[:2] for r in found if how != "bad" or vouched(*r[:2]) and r[0].get("warc-type") != "revisit"]
+        out.records += [(since, *r) for r in kept]
+        if how != "whole":
+            why = "member cut off" if how == "cut" else "damaged member"
+            out.gap(since, at + 1, why + (f", {len(kept)} records kept" if kept else ""))
+            return at + 1, end
+        if damage:
+            out.gap(since, end, damage)
+        if rest == len(whole):
+            held, size = [], 0
+        else:
+            held, size = [whole[rest:]], len(whole) - rest
+            since = at if found else since
+        at = end
+    if held:
+        out.gap(since, at, "record cut off")
+    return at, at
 
 
 def salvage(data: bytes) -> Salvage:
-    """All records of an archive, plain or of gzip members, and its gaps in bytes of the file.
+    """All records of an archive, plain, of gzip members, or both, and its gaps in bytes of the file.
 
-    A record that fails a check is left out and its bytes are logged as a gap; the search goes
-    on at the next member or version line that is valid. A record may span members.
+    A record that fails a check is left out and its bytes are logged as a gap; the search goes on, through the
+    whole file, at the next member or version line. A record may span members: its Content-Length tells.
+    Of a member that the file's end cuts, the records are kept that something follows in it; of a damaged one
+    those of them that a digest vouches for. Such a member's bytes are a gap all the same.
     """
-    out = Salvage()
-    if data[: len(MEMBER)] != MEMBER and VERSION.search(data[: 1 << 16]):
-        salvage_plain(data, out)
-        return out
-    at, held, since = 0, b"", 0  # held: the members since ``since`` that make no record yet
+    out, at, floor = Salvage(), 0, 0
+    member, line = -1, -1  # the next ones found; searched again only when passed
     while at < len(data):
-        got = next_member(data, at) if data.startswith(MEMBER, at) else None
-        if got is None:
-            out.gap(since if held else at, at, "record cut off")
-            held = b""
-            to = data.find(MEMBER, at + 1)
-            to = len(data) if to < 0 else to
-            out.gap(at, to, "no valid member")
-            at = to
-            continue
-        body, end = got
-        if held and VERSION.match(body):
-            out.gap(since, at, "record cut off")
-            held = b""
-        since, held, at = (since if held else at), held + body, end
-        if len(body) == MEMBER_MOST:
-            continue
-        found = Salvage()
-        salvage_plain(held, found)
-        out.records += [(since, fields, block) for _, fields, block in found.records]
-        if found.gaps:
-            out.gap(since, at, found.gaps[0][2])
-        held = b""
-    out.gap(since if held else at, at, "record cut off")
+        if data.startswith(MEMBER, at):
+            at, floor = salvage_members(data, at, out)
+            if at >= len(data) or data.startswith(MEMBER, at):
+                continue
+        start, why = at, "neither member nor version line"
+        if at >= floor and VERSION.match(data, at):
+            try:
+                fields, block, end = parse_record(data, at)
+                out.records.append((at, fields, block))
+                at = end
+                continue
+            except ValueError as error:
+                why, start = str(error), at + 1
+        if member < start:
+            member = data.find(MEMBER, start)
+            member = len(data) if member < 0 else member
+        if line < max(start, floor):
+            found = VERSION.search(data, max(start, floor))
+            line = found.start() if found else len(data)
+        out.gap(at, min(member, line), why)
+        at = min(member, line)
     return out
 
 
-
 def payloads(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     body = F.encode(text_of(html), "UTF-8")
     rows = pages.select(F.col(key).cast("bigint").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("body"))
@@ -204,24 +312,24 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
 
     A task holds one archive at a time (2 GB at most, the limit of Spark's binary files).
     ``payload_bytes`` and ``payload_digest`` are those of the full payload, for revisits as
-    their records state it. See ``salvage`` for damaged archives.
+    their records state it; of HTTP messages the payload is the block without its head. See ``salvage`` for damaged archives.
     """
 
     def number(field: str | None) -> int | None:
         found = re.fullmatch(r"<urn:page:(-?\d+)>", field or "")
         return int(found[1]) if found else None
 
+    def stated(f: dict[str, str], body: bytes) -> tuple[int, str]:
+        size = f.get("x-payload-length", "")
+        size = int(size) if size.isdigit() and f.get("warc-type") == "revisit" else len(body)
+        return size, hex_digest(f.get("warc-payload-digest", "")) or hashlib.sha1(body).hexdigest()
+
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for file, content in zip(frame["file"], frame["content"], strict=True):
                 found = salvage(content)
                 rows = [
-                    (
-                        file, at, number(f.get("warc-record-id")), f.get("warc-target-uri"),
-                        int(f["x-payload-length"]) if f.get("x-payload-length", "").isdigit() and f.get("warc-type") == "revisit" else len(block),
-                        f.get("warc-payload-digest", "").removeprefix("sha1:") or hashlib.sha1(block).hexdigest(), f.get("warc-type"),
-                        number(f.get("warc-refers-to")), block if payload else None, None, None,
-                    )
+                    (file, at, number(f.get("warc-record-id")), f.get("warc-target-uri"), *stated(f, payload_of(f, block)), f.get("warc-type"), number(f.get("warc-refers-to")), payload_of(f, block) if payload else None, None, None)
                     for at, f, block in found.records
                 ]
                 rows += [(file, a, None, None, None, None, None, None, None, b, why) for a, b, why in found.gaps]

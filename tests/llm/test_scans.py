@@ -1,3 +1,5 @@
+import base64
+import gzip
 import hashlib
 import re
 
@@ -230,3 +232,74 @@ def test_pipeline_stages(spark, sf):
         now = spark.createDataFrame(rows, docs.schema)
     pieces = corpus_pipeline.STAGES[-1][1](spark, now, sf).collect()
     assert {r.doc_id for r in pieces} == {r.doc_id for r in now.collect()}
+
+
+def warc_record(k, body, digest=None, kind="response", more=()):
+    head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{k}>", *more, f"Content-Length: {len(body)}"]
+    if digest is not None:
+        head.insert(3, f"WARC-Payload-Digest: sha1:{digest}")
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
+def names_of(found):
+    return [f["warc-record-id"] for _, f, _ in found.records]
+
+
+def test_plain_archive_with_a_damaged_long_first_record():
+    data = warc_record(1, b"x" * 70_000) + warc_record(2, b"y") + warc_record(3, b"z")
+    found = warc.salvage(b"Q" + data[1:])
+    assert names_of(found) == ["<urn:page:2>", "<urn:page:3>"] and [(a, b) for a, b, _ in found.gaps] == [(0, len(warc_record(1, b"x" * 70_000)))]
+
+
+def test_cut_and_damaged_members_keep_their_whole_records():
+    rng = np.random.default_rng(0)
+    bodies = [rng.integers(0, 256, 50_000, np.uint8).tobytes() for _ in range(3)]
+    plain = b"".join(warc_record(k, b, hashlib.sha1(b).hexdigest()) for k, b in enumerate(bodies))
+    one = gzip.compress(plain, mtime=0)
+    cut = warc.salvage(one[:-30_000])
+    assert names_of(cut) == ["<urn:page:0>", "<urn:page:1>"] and [(a, b) for a, b, _ in cut.gaps] == [(0, len(one) - 30_000)]
+    other = gzip.compress(warc_record(9, b"after", hashlib.sha1(b"after").hexdigest()), mtime=0)
+    bad = bytearray(one + other)
+    bad[len(one) - 20_000] ^= 255
+    got = warc.salvage(bytes(bad))
+    assert names_of(got) == ["<urn:page:0>", "<urn:page:1>", "<urn:page:9>"] and [(a, b) for a, b, _ in got.gaps] == [(0, len(one))]
+    unknown = bytearray(gzip.compress(warc_record(1, bodies[0]) + warc_record(2, bodies[1]), mtime=0))
+    unknown[-3] ^= 255  # no digest vouches for what a damaged member holds
+    assert names_of(warc.salvage(bytes(unknown) + other)) == ["<urn:page:9>"]
+
+
+@pytest.mark.parametrize("zipped", [False, True])
+def test_digests_in_base32_over_the_http_payload(zipped):
+    http = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n<html>"
+    kind = ["Content-Type: application/http; msgtype=response"]
+    own = base64.b32encode(hashlib.sha1(b"<html>").digest()).decode()
+    records = [warc_record(1, http, own, more=kind), warc_record(2, http, hashlib.sha1(http).hexdigest(), more=kind), warc_record(3, http, "A" * 32, more=kind)]
+    records.append(warc_record(4, b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n0\r\n\r\n", "A" * 32, more=kind))
+    found = warc.salvage(b"".join(map(gzip.compress, records)) if zipped else b"".join(records))
+    assert names_of(found) == ["<urn:page:1>", "<urn:page:2>", "<urn:page:4>"] and len(found.gaps) == 1
+    assert warc.payload_of(*found.records[0][1:]) == b"<html>"
+
+
+def test_records_of_whole_member_sizes(monkeypatch):
+    monkeypatch.setattr(warc, "MEMBER_MOST", 500)
+    for size in (499, 500, 501, 1000, 1500):
+        whole = lambda n: warc.record_bytes("response", "<urn:page:1>", "u", b"b" * n, hashlib.sha1(b"b" * n).hexdigest(), n, None)
+        body = next(n for n in range(size) if len(whole(n)) == size)
+        data = warc.members(whole(body))
+        found = warc.salvage(data + data + data[:-8] + data)
+        assert len(found.records) == 3 and [(a, b) for a, b, _ in found.gaps] == [(2 * len(data), 3 * len(data) - 8)], size
+
+
+def test_copies_with_other_metadata_share_a_shard(spark):
+    # three copies of a text weigh less than the tolerance at any node
+    same = spark.range(60_003).selectExpr("id as doc_id", "if(id % 3 = 0, concat('copy number ', id % 20001), concat('text ', id)) as text", "concat('s', id % 7) as source", "if(id % 5 = 0, null, concat('l', id % 4)) as lang")
+    placed = kd_shards.shard(same)
+    groups = placed.groupBy("text_crc32", "size").agg(F.count_distinct("shard").alias("shards"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in groups) == 60_003 and max(r.n for r in groups) == 3 and all(r.shards == 1 for r in groups)
+
+
+def test_repeated_rows_keep_the_language_sample_bounded(spark):
+    copies = spark.range(20_000).selectExpr("1L as doc_id", "'one and the same text' as text", "'en' as lang")
+    few = spark.range(40).selectExpr("id + 2 as doc_id", "concat('ein anderer Satz ', id) as text", "'de' as lang")
+    model = language.fit_language(copies.unionByName(few), F.lit(True), per_class=30)
+    assert model.classes == ["de", "en"] and model.predict(["one and the same text", "ein anderer Satz 3"])[0] == ["en", "de"]
