@@ -197,14 +197,14 @@ def fit_language(
 
     Document frequencies cover all of them. FTRL and the calibration see a bounded sample: about
     ``per_class`` rows of each label (all, if it has fewer), chosen by a hash of key and text
-    against the label's count, a quarter of them for the calibration only. One task trains on
+    against the label's count of different rows (of repeated rows the sample holds one), a quarter of them for the calibration only. One task trains on
     the sample; what comes to the driver is the model and the frequencies, bounded by the
     number of buckets. Without any row the model has no classes and says ``und``.
     """
     rows = docs.where(usable & F.col(label).isNotNull()).select(
         F.col(label).cast("string").alias("label"), text_of(text).alias("text"), F.xxhash64(F.col(key)).alias("h")
-    )
-    by_label = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ).withColumn("draw", F.xxhash64("h", "text"))
+    by_label = {r["label"]: r["n"] for r in rows.select("label", "draw").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     classes = sorted(by_label)
     if not classes:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0)
@@ -213,7 +213,7 @@ def fit_language(
     limit = F.lit(None).cast("double")
     for c in classes:
         limit = F.when(F.col("label") == c, F.lit(min(1.0, per_class / by_label[c]))).otherwise(limit)
-    share = F.pmod(F.xxhash64("h", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    share = F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30))
     number = {c: k for k, c in enumerate(classes)}
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,7 +231,7 @@ def fit_language(
         yield pd.DataFrame({"bucket": -1, "class": np.arange(len(classes)), "weight": b})
         yield pd.DataFrame({"bucket": [-2], "class": [0], "weight": [temperature_of(held, labels[aside])]})
 
-    sample = rows.where(share < limit).repartition(1)
+    sample = rows.where(share < limit).dropDuplicates(["label", "draw"]).select("label", "text", "h").repartition(1)
     weights, bias, temperature = np.zeros((BUCKETS, len(classes)), np.float64), np.zeros(len(classes)), 1.0
     got = sample.mapInPandas(train, "bucket int, class int, weight double").toPandas()
     at = got["bucket"] >= 0
@@ -265,11 +265,8 @@ def filter_language(docs: DataFrame, model: LanguageModel, text: str = "text", l
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            mask = []
-            for k in range(0, batch.num_rows, 512):
-                langs, scores = shared.value.predict(batch.column(at).slice(k, 512).to_pylist())
-                mask += [x != "und" and s >= least for x, s in zip(langs, scores, strict=True)]
-            yield batch.filter(pa.array(mask, pa.bool_()))
+        for batch in small_batches(batches, at, 4 << 20):
+            langs, scores = shared.value.predict(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([x != "und" and s >= least for x, s in zip(langs, scores, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
