@@ -177,9 +177,8 @@ def filter_quality(docs: DataFrame, cascade: Sequence[Rule], text: str = "text")
         raise TypeError(f"{text} is no string column")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            filled = pa.RecordBatch.from_arrays([whole.column(i) if i != at else whole.column(i).fill_null("") for i in range(whole.num_columns)], names=whole.schema.names)
-            mask = [rejected_by(Doc(t), cascade) is None for t in (x.as_py() for x in filled.column(at))]
-            yield whole.filter(pa.array(mask, pa.bool_()))
+        for batch in small_batches(batches, at, 4 << 20):
+            mask = [rejected_by(Doc(x.as_py() or ""), cascade) is None for x in batch.column(at)]
+            yield batch.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
