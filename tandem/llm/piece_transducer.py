@@ -12,6 +12,7 @@ the lattice is then finite, and it is the model's encoding.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -84,6 +85,8 @@ class PieceTransducer:
 
     def merged(self, symbols: list[str]) -> list[str]:
         """BPE by rank: the best-scored neighbours merge first, of equals the leftmost."""
+        if len(symbols) > 64:
+            return self.merged_by_heap(symbols)
         while len(symbols) > 1:
             best = max(((self.score[i], -k) for k in range(len(symbols) - 1) if (i := self.ids.get(symbols[k] + symbols[k + 1])) is not None), default=None)
             if best is None:
@@ -92,6 +95,31 @@ class PieceTransducer:
             symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
         return symbols
 
+    def merged_by_heap(self, symbols: list[str]) -> list[str]:
+        """``merged`` for long lists: pairs wait in a heap by score and place; outdated ones are passed over."""
+        after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
+        heap: list[tuple[float, int, str, str]] = []
+
+        def offer(k: int) -> None:
+            if k >= 0 and after[k] < len(symbols):
+                a, b = symbols[k], symbols[after[k]]
+                if (i := self.ids.get(a + b)) is not None:
+                    heapq.heappush(heap, (-self.score[i], k, a, b))
+
+        for k in range(len(symbols)):
+            offer(k)
+        while heap:
+            _, k, a, b = heapq.heappop(heap)
+            j = after[k]
+            if symbols[k] != a or j == len(symbols) or symbols[j] != b:
+                continue
+            symbols[k], symbols[j], after[k] = a + b, "", after[j]
+            if after[j] < len(symbols):
+                before[after[j]] = k
+            offer(before[k])
+            offer(k)
+        return [s for s in symbols if s]
+
     def fits(self, left: int, right: int) -> bool:
         """Whether the pair weighs 0: merging the characters of both gives them back."""
         got = self.pairs.get((left, right))

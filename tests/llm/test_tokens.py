@@ -137,3 +137,18 @@ def test_byte_encoder_equals_the_library():
     t, mine = tokenizer("byte_bpe_50k.json"), packing.byte_encoder(*[P.path(f"byte_bpe_50k.{x}") for x in ("json", "tiktoken")])
     for x in [*ODD_TEXTS, "<|endoftext|>", "z" * 6000]:
         assert mine(x).tolist() == t.encode(x, add_special_tokens=False).ids
+
+
+def test_merges_by_heap_equal_plain_merges():
+    mine, rng = piece_transducer.PieceTransducer(P.path("piece_bpe_32k.model")), random.Random(3)
+    for n in (65, 90, 130):
+        for letters in ("▁", "▁ab", "the▁in", "aeiou▁tnsr"):
+            symbols = [rng.choice(letters) for _ in range(n)]
+            want = list(symbols)
+            while len(want) > 1:
+                best = max(((mine.score[i], -k) for k in range(len(want) - 1) if (i := mine.ids.get(want[k] + want[k + 1])) is not None), default=None)
+                if best is None:
+                    break
+                want[-best[1] : 2 - best[1]] = [want[-best[1]] + want[1 - best[1]]]
+            assert mine.merged(symbols) == want
+    assert sum(len(mine.text[i]) for i in mine.marks(200_000)) == 200_000
