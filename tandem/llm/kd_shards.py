@@ -87,8 +87,8 @@ def kd_shards(rows: DataFrame, axes: list[str], depth: int, tolerance: float = 5
     """``rows`` (node, size, hash, rid and the axes, all whole numbers) with each row's leaf in ``node``.
 
     Every level splits all boxes, each along the axis on which its extent is the largest share
-    of the whole table's, at the weighted median. Copies of a text lie side by side on every
-    axis, and a cut runs through them only if they weigh more than the tolerance.
+    of the whole table's, at the weighted median. If copies of a text (one hash) agree on
+    all axes, a cut runs through them only if they weigh more than the tolerance.
     """
     whole, tree = None, []
     for _ in range(depth):
@@ -112,7 +112,8 @@ def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "te
 
     Per row: key, size (UTF-8 bytes plus 1; null: 1), text_crc32, law ``bytes``, shard, slot
     (gapless from 0 within the shard) and a null grown_shard. The tree's axes are the
-    size, the source and the language. Repeated rows take separate slots; one long text is
+    size, the source and the language; copies of a text all take the least of their sources and languages, so
+    they share a shard unless they weigh more than the tolerance. Repeated rows take separate slots; one long text is
     never cut, so it alone can make shards uneven. An empty table gives no rows.
 
     Texts are read once; the tree is built on a narrow written table. Slots come from counts per
@@ -127,6 +128,10 @@ def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "te
         code(lang).alias("lang"), F.shiftrightunsigned(F.xxhash64(t), 2).alias("hash"), F.monotonically_increasing_id().alias("rid"),
     ).withColumn("node", F.lit(0))
     rows = staged(rows, "shards")
+    texts = rows.groupBy("hash").agg(*[f(c).alias(f"{k}_{c}") for c in ("source", "lang") for k, f in (("least", F.min), ("most", F.max))])
+    torn = texts.where("least_source < most_source or least_lang < most_lang").select("hash", "least_source", "least_lang")
+    rows = rows.join(torn, "hash", "left").withColumns({c: F.coalesce(f"least_{c}", c) for c in ("source", "lang")}).drop("least_source", "least_lang")
+    rows = staged(rows, "shards-whole")
     placed, _ = kd_shards(rows, ["size", "source", "lang"], shards.bit_length() - 1)
     bins = max(1, rows.count() // rows_per_bin)
     placed = staged(placed.select("key", "size", "crc", F.col("node").cast("int").alias("shard"), "rid", F.pmod(F.xxhash64("rid"), F.lit(bins)).alias("bin")), "shards-placed")
