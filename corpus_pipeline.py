@@ -1,7 +1,9 @@
 """From raw documents to packed sequences, in five stages of the llm operators.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it works on all rows that the stage
-before it kept, and all but the last return the columns of documents.
+before it kept, and all but the last return the columns of documents. An empty table gives no rows; repeated rows
+are treated alike, and one of them stays behind near_duplicates; further columns, whatever their names, pass
+through all stages but the last. A null text has no language, so language_id rejects it.
 """
 
 from __future__ import annotations
@@ -36,8 +38,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; no document goes. n_chars follows the new text."""
+    """Secrets are replaced by a mark; no document goes. n_chars, if there is one, follows the new text."""
     out = secret_scan.redact(docs)
+    if "n_chars" not in docs.columns:
+        return out
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
