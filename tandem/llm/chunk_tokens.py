@@ -40,17 +40,19 @@ class ChunkEncoder:
     """Ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 
     With ``added``, the file's added tokens in a text have their ids, as by the unchanged tokenizer, which
-    encodes such texts whole; without, their strings are ordinary text. The ids of at most ``most`` chunks and
-    ``most`` parts of chunks are remembered (a chunk of more than ``LONG`` characters isn't); a full memory starts afresh.
+    encodes such texts whole; without, their strings are ordinary text. The ids of at most ``most`` parts of chunks are
+    remembered; a full memory starts afresh. So are those of the chunks used last, at most two thirds as many, without chunks of
+    more than ``LONG`` characters: when a third is full, it replaces the older third, from which chunks in use come back.
     """
 
-    def __init__(self, path: str, most: int = 400_000, added: bool = False):
+    def __init__(self, path: str, most: int = 600_000, added: bool = False):
         self.whole = Tokenizer.from_file(path)
         self.added = added_pattern(self.whole) if added else None
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most = most
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _learn(self, parts: set[str]) -> None:
@@ -72,17 +74,19 @@ class ChunkEncoder:
 
     def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, lengths and all ids of the distinct chunks."""
-        known = self.chunks
-        got = [known.get(c) for c in chunks]
-        new = [k for k, x in enumerate(got) if x is None]
-        if new:
-            if len(known) + len(new) > self.most:
-                known.clear()
-            names = [chunks[k] for k in new]
-            for k, name, ids in zip(new, names, self._bytes_of(names), strict=True):
-                got[k] = ids
-                if len(name) <= LONG and len(known) < self.most:
-                    known[name] = ids
+        recent, older = self.chunks, self.older
+        got = [recent.get(c) for c in chunks]
+        missed = [k for k, x in enumerate(got) if x is None]
+        for k in missed:
+            got[k] = older.get(chunks[k])
+        new = [k for k in missed if got[k] is None]
+        for k, ids in zip(new, self._bytes_of([chunks[k] for k in new]), strict=True):
+            got[k] = ids
+        for k in missed:
+            if len(chunks[k]) <= LONG:
+                if len(self.chunks) >= self.most // 3:
+                    self.older, self.chunks = self.chunks, {}
+                self.chunks[chunks[k]] = got[k]
         lens = np.fromiter(map(len, got), np.int64, len(got)) // 4
         flat = np.frombuffer(b"".join(got), np.uint32)
         return np.cumsum(lens) - lens, lens, flat
