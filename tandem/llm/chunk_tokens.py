@@ -8,6 +8,7 @@ object per word.
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -26,6 +27,8 @@ SPACES = "[\\x{9}-\\x{d}\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{202
 LETTERS = re.compile(rf"[{LATIN}]+\Z")
 #: Characters of the longest chunk that is remembered.
 LONG = 64
+#: Combining marks: a small letter may compose with one where its capital doesn't (U+01F0), so texts with them keep their capitals.
+MARKS = "[\\x{300}-\\x{36f}]"
 
 
 def added_pattern(tokenizer: Tokenizer) -> str | None:
@@ -43,13 +46,22 @@ class ChunkEncoder:
     encodes such texts whole; without, their strings are ordinary text. The ids of at most ``most`` parts of chunks are
     remembered; a full memory starts afresh. So are those of the chunks used last, at most two thirds as many, without chunks of
     more than ``LONG`` characters: when a third is full, it replaces the older third, from which chunks in use come back.
+
+    If the tokenizer lower-cases, texts without combining marks have A-Z lower-cased first. If it marks the ends of words,
+    new parts of letters, each one word, are encoded as one text and cut behind the ids that end a word.
     """
 
-    def __init__(self, path: str, most: int = 600_000, added: bool = False):
-        self.whole = Tokenizer.from_file(path)
-        self.added = added_pattern(self.whole) if added else None
+    def __init__(self, path: str, most: int = 400_000, added: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
+        self.added = added_pattern(self.tokenizer) if added else None
         self.tokenizer.encode_special_tokens = True
+        parts = json.loads(self.tokenizer.to_str())
+        kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [parts["normalizer"] or {"type": ""}])]
+        self.lowers = "Lowercase" in kinds and set(kinds) <= {"NFC", "Replace", "Lowercase"}
+        suffix = parts["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
         self.most = most
         self.chunks: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -60,11 +72,28 @@ class ChunkEncoder:
         if len(self.parts) + len(new) > self.most:
             self.parts.clear()
             new = list(parts)
+        if self.ends.any():
+            words = [p for p in new if LETTERS.match(p)]
+            new = [p for p in new if not LETTERS.match(p)]
+            for at in range(0, len(words), 1024):
+                if not self._learn_words(words[at : at + 1024]):
+                    new += words[at : at + 1024]
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             for part, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 self.parts[part] = np.array(got.ids, np.uint32).tobytes()
 
+    def _learn_words(self, words: list[str]) -> bool:
+        """Learn parts that are one word each; False, and nothing learned, if the ids hold more or fewer word ends."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        raw = ids.tobytes()
+        if len(cuts) != len(words) or cuts[-1] != len(raw):
+            return False
+        for word, a, b in zip(words, [0, *cuts[:-1]], cuts, strict=True):
+            self.parts[word] = raw[a:b]
+        return True
+
     def _bytes_of(self, chunks: list[str]) -> list[bytes]:
         """The ids of chunks that aren't remembered, as bytes."""
         split = [(c,) if LETTERS.match(c) or len(c) > 1000 else PARTS.findall(c) for c in chunks]
@@ -97,13 +126,19 @@ class ChunkEncoder:
         odd = pc.match_substring_regex(texts, r"[\x1c-\x1f]")
         held = pc.match_substring_regex(texts, self.added) if self.added is not None else pa.array([False] * len(texts), pa.bool_())
         apart = pc.or_(odd, held)
+        whole = texts.filter(held).to_pylist()
+        if self.lowers:
+            texts = texts.take(pa.array(np.arange(len(texts))))  # ascii_lower wants offsets that begin at 0, a cast slice has others
+            texts = pc.if_else(pc.match_substring_regex(texts, MARKS), texts, pc.ascii_lower(texts))
         if not pc.any(apart).as_py():
             return self._plain(pc.utf8_split_whitespace(texts))
         ids, counts = self._plain(pc.utf8_split_whitespace(pc.if_else(apart, pa.scalar("", pa.large_string()), texts)))
         parts = np.split(ids, np.cumsum(counts)[:-1])
         odd = pc.and_not(odd, held)
         odd_ids, odd_counts = self._plain(pc.split_pattern_regex(texts.filter(odd), SPACES))
-        whole = self.whole.encode_batch_fast(texts.filter(held).to_pylist(), add_special_tokens=False)
+        self.tokenizer.encode_special_tokens = False
+        whole = self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)
+        self.tokenizer.encode_special_tokens = True
         for mask, got in ((odd, np.split(odd_ids, np.cumsum(odd_counts)[:-1])), (held, [np.array(x.ids, np.uint32) for x in whole])):
             for k, own in zip(np.flatnonzero(mask.to_numpy(zero_copy_only=False)).tolist(), got, strict=False):
                 parts[k] = own

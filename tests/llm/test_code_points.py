@@ -1,3 +1,4 @@
+import random
 import sys
 
 import public_tokenizers as P
@@ -29,3 +30,15 @@ def test_a_batch_with_odd_texts_keeps_all_ids():
         ids, counts = mine.encode(pa.array(texts))
         want = [t.encode(x or "", add_special_tokens=False).ids for x in texts]
         assert counts.tolist() == [len(x) for x in want] and ids.tolist() == sum(want, [])
+
+
+def test_capitals_marks_and_slices_keep_the_librarys_ids():
+    t, mine = Tokenizer.from_file(P.path("word_bpe_49k.json")), ChunkEncoder(P.path("word_bpe_49k.json"), most=200, added=True)
+    draw = random.Random(5)
+    letters = "aAbJjHhTtWwYySsKİIıßÅåſK'’.,!-0129 \n\t\x1c\x85̱̀̌̇̊ÀéŒΣςσяЖ中ǅŉǰ"
+    for cut in range(20):
+        texts = ["".join(draw.choice(letters) for _ in range(draw.randrange(60))) for _ in range(200)] + ["<|endoftext|> A b", "J̌ x", "It'S don'T", "a" * 3000, None, ""]
+        ids, counts = mine.encode(pa.array(["Çé xyz"] * cut + texts, pa.string()).slice(cut))
+        want = [x.ids for x in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
