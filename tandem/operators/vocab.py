@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tandem.functions.text import WORD_START, chars, logprob_to_freq, sanitize, spaces_only, split_piece_score, words
+from tandem.functions.text import WORD_START, WS_CLASS, chars, logprob_to_freq, sanitize, spaces_only, split_piece_score, words
 from tandem.session import dealt
 
 # The reserved pieces the trainer's vocabulary conversion omits.
@@ -25,6 +25,15 @@ def word_counts(sentences: DataFrame, text_col: str = "text", mode: str = "white
     """
     if mode not in ("whitespace", "chars"):
         raise ValueError(f"unknown mode {mode!r}")
+    if mode == "whitespace" and clean:
+        # what cleaning changes is white space and NUL, so one split at runs of these gives the words of the clean text
+        toks = F.split(F.col(text_col), "[\\x00" + WS_CLASS[1:] + "+", -1)
+        return (
+            sentences.select(F.explode(toks).alias("word"))
+            .where(F.col("word") != "")
+            .groupBy("word")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("freq"))
+        )
     t = sanitize(text_col) if clean else F.col(text_col)
     if mode == "whitespace":
         toks = words(t)
@@ -219,6 +228,18 @@ def substrings(word: Column, max_len: int = 8) -> Column:
     return F.concat(*[F.regexp_extract_all(word, F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in range(1, max_len + 1)])
 
 
+def substring_rows(words: DataFrame, max_len: int = 8) -> DataFrame:
+    """``(piece, freq)``: all substrings of up to ``max_len`` characters (code points) of ``(word, freq)``, a row each.
+
+    A zero-width lookahead regex yields the window of ``max_len`` characters at each place; the
+    substrings are the windows' beginnings, so the work grows with a word's length.
+    """
+    windows = F.regexp_extract_all("word", F.lit(f"(?s)(?=(.{{1,{max_len}}}))"), 1)
+    at = words.select("freq", F.explode(windows).alias("window"))
+    sizes = F.sequence(F.lit(1), F.char_length("window"))
+    return at.select("freq", "window", F.explode(sizes).alias("n")).select(F.substring("window", F.lit(1), F.col("n")).alias("piece"), "freq")
+
+
 def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8, materialize: bool = True) -> DataFrame:
     """Seed pieces for the unigram model (Kudo, 2018): the most frequent substrings of the
     marked words, weighted by word frequency, plus every single character.
@@ -230,7 +251,7 @@ def unigram_seed(counts: DataFrame, seed_size: int, max_piece_len: int = 8, mate
         counts = dealt(counts).checkpoint(eager=True)
     marked = F.concat(F.lit(WORD_START), F.col("word"))
     subs = (
-        counts.select(F.explode(substrings(marked, max_piece_len)).alias("piece"), "freq")
+        substring_rows(counts.select(marked.alias("word"), "freq"), max_piece_len)
         .groupBy("piece")
         .agg(F.sum("freq").cast("bigint").alias("freq"))
     )

@@ -3,6 +3,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tandem.functions.text import WORD_START
@@ -110,3 +111,54 @@ def test_encoding_takes_any_word(spark, model):
         assert got[sid].pieces == want and got[sid].n_pieces == len(want)
     plan = U.encode_unigram(spark.range(3).selectExpr("id as sid", "'ab' as text"), model, with_pieces=False)
     assert plan.columns == ["sid", "n_pieces"] and "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lattices_of_many_words_equal_one_word_at_a_time(model):
+    rnd = random.Random(7)
+    words = [WORD_START + "".join(rnd.choices("abcz日\U0001f600", k=rnd.randint(1, 12))) for _ in range(300)] + ["", "z", WORD_START + "ab" * 3000]
+    freq = np.array([rnd.randint(1, 50) for _ in words], np.int64)
+    pieces = sorted({*model.scores, "zz", "abz"})  # two pieces have left the model
+    trie = U.PieceTrie(pieces)
+    scores = np.array([model.scores.get(p, math.nan) for p in pieces] + [model.unknown])
+    lattice = U.Words(freq, *trie.edges(words), scores)
+    want, used = Counter(), Counter()
+    for word, f in zip(words, freq.tolist(), strict=True):
+        for p, x in model.expected(word) if word else []:
+            want[p] += f * x
+        for p in model.best(word):
+            used[p] += f
+    got, paths = Counter(), Counter()
+    for p, w, x in zip(lattice.piece.tolist(), lattice.word.tolist(), lattice.expected().tolist(), strict=True):
+        got[p] += int(freq[w]) * x
+    for piece, word in lattice.used():
+        for p, w in zip(piece.tolist(), word.tolist(), strict=True):
+            paths[p] += int(freq[w])
+    for k, p in enumerate(pieces):
+        assert abs(got[k] - want[p]) < 1e-6 and paths[k] == used[p], p
+    odd = [p for p in used if p not in model.scores]
+    assert odd and paths[len(pieces)] == sum(used[p] for p in odd)
+
+
+def test_counts_alone_equal_the_pieces(spark, model):
+    texts = [(1, "ab abc"), (2, None), (3, " \n "), (4, "zzz unseen\u3000ab \U0001f600"), (5, "ab " * 3000), (6, "a\x00b\x1cc")]
+    frame = spark.createDataFrame(texts, "sid int, text string")
+    want = {r.sid: r.n_pieces for r in U.encode_unigram(frame, model).collect()}
+    assert {r.sid: r.n_pieces for r in U.encode_unigram(frame, model, with_pieces=False).collect()} == want
+    counter = U.PieceCounter(model, most=3)  # a full memory changes nothing
+    assert counter.of([(t or "").replace("\x00", " ") for _, t in texts]) == [want[k] for k, _ in texts]
+
+
+def test_passes_read_stored_lattices(spark, model):
+    """A pass over the words builds no lattice anew: it reads piece numbers, not words."""
+    counts = spark.createDataFrame([("abca", 3), ("z", 2)], "word string, freq bigint")
+    pieces = sorted(model.scores)
+    lattice = U.lattices(counts, U.PieceTrie(pieces))
+    assert lattice.columns == ["freq", "edges"]
+    got = U.expected_counts(lattice, pieces, model)
+    want = Counter()
+    for word, f in (("abca", 3), ("z", 2)):
+        for p, x in model.expected(WORD_START + word):
+            want[p] += f * round(x * U.UNIT)
+    assert {p: n for p, n in got.items() if n} == {p: n for p, n in want.items() if n and p in model.scores}
+    assert U.segment_counts(lattice, pieces, model) == {p: n for p, n in Counter(
+        p for w, f in (("abca", 3), ("z", 2)) for p in model.best(WORD_START + w) * f).items() if p in model.scores}

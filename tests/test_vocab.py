@@ -189,3 +189,22 @@ def test_encode_keeps_sentences_without_words(spark):
     pieces = spark.createDataFrame([("a", ["a"])], "word string, pieces array<string>")
     for full in (True, False):
         assert {r.sid: r.n_pieces for r in encode(rows, pieces, with_pieces=full).collect()} == {1: 3, 2: 0, 3: 0}
+
+
+def test_word_counts_and_substring_rows_equal_the_cleaned_words(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from tandem.functions.text import sanitize, words
+    from tandem.operators.vocab import substring_rows, substrings, word_counts
+
+    texts = ["a b  a\x00b", None, "", " \t ", "x\u3000y\x1cz\x85w", "日本 \U0001f600a", "\ufeffq\x0bq"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    want = Counter(w for r in frame.select(words(sanitize("text")).alias("w")).collect() for w in r.w or [])
+    assert {r.word: r.freq for r in word_counts(frame).collect()} == want
+    plan = word_counts(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 0 and plan.count("translate") == 0  # one pass over a text
+    counts = word_counts(frame)
+    rows = Counter(r.piece for r in substring_rows(counts, 3).collect())
+    assert rows == Counter(s for r in counts.select(substrings(F.col("word"), 3).alias("s")).collect() for s in r.s)
