@@ -929,7 +929,7 @@ def split_files(spark, sf_dir):
     from tandem.plans.corpus import read_pair_files, shuffle_split
 
     pairs = read_pair_files(spark, _write_document_files(spark, sf_dir), "src", "tgt")
-    return shuffle_split(pairs, N_VALID, seed=SEED).select("dataset", "line_no", "cpos", "pos", "split")
+    return shuffle_split(pairs, N_VALID, seed=SEED, texts=False).select("dataset", "line_no", "cpos", "pos", "split")
 
 
 @register("filter_too_long_pieces")

@@ -72,7 +72,7 @@ def read_pair_files(
 
 
 def shuffle_split(
-    pairs: DataFrame, n_valid: int, max_lines: int = 0, seed: int | str = 42, block: int = 4096, strict: bool = False
+    pairs: DataFrame, n_valid: int, max_lines: int = 0, seed: int | str = 42, block: int = 4096, strict: bool = False, texts: bool = True
 ) -> DataFrame:
     """Blank-pair drop -> per-dataset cap -> ordered concat -> seeded permutation -> split.
 
@@ -80,6 +80,8 @@ def shuffle_split(
     concatenation ordered by dataset then line), ``pos`` (permuted position) and
     ``split``. Every step is positional and exact, none runs in a single task. A line
     without a counterpart is left out, or, with ``strict``, an error before anything is split.
+    Without ``texts`` the rows lose ``src`` and ``tgt`` once blank pairs are out, so that no text is shuffled
+    or written for the positions.
     """
     both = F.col("src").isNotNull() & F.col("tgt").isNotNull()
     # seen while the rows are written for their positions, so the check costs no pass of its own
@@ -88,6 +90,8 @@ def shuffle_split(
     if strict:
         pairs = pairs.observe(seen, F.min(F.when(~both, at)).alias("alone"))
     kept = filters.drop_blank_pairs(pairs.where(both))
+    if not texts:
+        kept = kept.drop("src", "tgt")
     if max_lines > 0:
         kept = position.cap_per_group(
             kept,

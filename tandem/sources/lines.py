@@ -52,7 +52,8 @@ def read_lines(
     blocks = blocks.select(
         "group", "path", "_blk", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
     )
-    return scanned.join(blocks, on=["group", "path", "_blk"]).select(
+    # one row per split, which the driver lists in any case; broadcast, so that no line is shuffled for its number
+    return scanned.join(F.broadcast(blocks), on=["group", "path", "_blk"]).select(
         "path",
         "group",
         (F.col("_off") + F.col("_m") - F.col("_m0")).cast("bigint").alias("line_no"),

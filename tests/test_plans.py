@@ -71,3 +71,21 @@ def test_strict_split_refuses_a_line_without_counterpart(spark):
     assert shuffle_split(odd, 5).count() == 30
     with pytest.raises(Exception, match="without a counterpart at d, 30"):
         shuffle_split(odd, 5, strict=True)
+
+
+def test_split_without_texts_gives_the_same_positions(spark, tmp_path):
+    from tandem.plans.corpus import read_pair_files, shuffle_split
+    from tandem.sources.lines import read_lines
+
+    for base in ("one", "two"):
+        (tmp_path / f"{base}.src").write_text("".join(f"{base} s{k}\n" if k % 7 else " \n" for k in range(40)))
+        (tmp_path / f"{base}.tgt").write_text("".join(f"{base} t{k}\n" for k in range(35)))
+    pairs = read_pair_files(spark, str(tmp_path), "src", "tgt")
+    cols = ["dataset", "line_no", "cpos", "pos", "split"]
+    whole = shuffle_split(pairs, 5)
+    bare = shuffle_split(pairs, 5, texts=False)
+    assert {"src", "tgt"} <= set(whole.columns) and sorted(bare.columns) == sorted(cols)
+    rows = sorted(map(tuple, whole.select(cols).collect()))
+    assert len(rows) == 60 and sorted(map(tuple, bare.select(cols).collect())) == rows
+    plan = read_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # no line is shuffled for its number
