@@ -25,6 +25,20 @@ PARTS = re.compile(rf"[{LATIN}]+(?=[\x00-\x40\x5b-\x60\x7b-\x7f]|\Z)|[\x21-\x26\
 #: What the tokenizer's \\s takes for white space; Arrow's own split also takes U+001C to U+001F, which have ids.
 SPACES = "[\\x{9}-\\x{d}\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
 LETTERS = re.compile(rf"[{LATIN}]+\Z")
+
+
+def letters(part: str) -> bool:
+    """Whether ``LETTERS`` matches; most parts are ASCII, which needs no pattern."""
+    return part.isalpha() if part.isascii() else LETTERS.match(part) is not None
+
+
+def parts_of(chunk: str) -> list[str]:
+    """The parts of a chunk that is not all letters; the usual one is a word and one other character."""
+    if chunk.isascii() and chunk[:-1].isalpha():
+        return [chunk[:-1], chunk[-1]]
+    return PARTS.findall(chunk)
+
+
 #: Characters of the longest chunk that is remembered.
 LONG = 64
 #: Combining marks: a small letter may compose with one where its capital doesn't (U+01F0), so texts with them keep their capitals.
@@ -73,8 +87,10 @@ class ChunkEncoder:
             self.parts.clear()
             new = list(parts)
         if self.ends.any():
-            words = [p for p in new if LETTERS.match(p)]
-            new = [p for p in new if not LETTERS.match(p)]
+            words, rest = [], []
+            for p in new:
+                (words if letters(p) else rest).append(p)
+            new = rest
             for at in range(0, len(words), 1024):
                 if not self._learn_words(words[at : at + 1024]):
                     new += words[at : at + 1024]
@@ -96,15 +112,21 @@ class ChunkEncoder:
 
     def _bytes_of(self, chunks: list[str]) -> list[bytes]:
         """The ids of chunks that aren't remembered, as bytes."""
-        split = [(c,) if LETTERS.match(c) or len(c) > 1000 else PARTS.findall(c) for c in chunks]
-        self._learn({p for parts in split for p in parts})
+        split = [c if letters(c) or len(c) > 1000 else parts_of(c) for c in chunks]
+        wanted: set[str] = set()
+        for parts in split:
+            if type(parts) is str:
+                wanted.add(parts)
+            else:
+                wanted.update(parts)
+        self._learn(wanted)
         known = self.parts
-        return [known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts]) for parts in split]
+        return [known[parts] if type(parts) is str else b"".join([known[p] for p in parts]) for parts in split]
 
     def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, lengths and all ids of the distinct chunks."""
         recent, older = self.chunks, self.older
-        got = [recent.get(c) for c in chunks]
+        got = list(map(recent.get, chunks))
         missed = [k for k, x in enumerate(got) if x is None]
         for k in missed:
             got[k] = older.get(chunks[k])
@@ -151,7 +173,7 @@ class ChunkEncoder:
         words = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         offsets = offsets - offsets[0]
         codes = np.asarray(words.indices, dtype=np.int64)
-        starts, lens, flat = self._chunks(words.dictionary.to_pylist())
+        starts, lens, flat = self._chunks(words.dictionary.to_pandas(deduplicate_objects=False).tolist())  # faster than to_pylist
         ids = ragged(codes, starts, lens, flat) if len(codes) else flat[:0]
         ends = np.concatenate([[0], np.cumsum(lens[codes])]) if len(codes) else np.zeros(1, np.int64)
         return ids, ends[offsets[1:]] - ends[offsets[:-1]]

@@ -42,3 +42,16 @@ def test_capitals_marks_and_slices_keep_the_librarys_ids():
         want = [x.ids for x in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
         assert counts.tolist() == [len(x) for x in want]
         assert ids.tolist() == [i for x in want for i in x]
+
+
+def test_parts_without_the_pattern_equal_the_pattern():
+    import itertools
+
+    from tandem.llm.chunk_tokens import LETTERS, PARTS, letters, parts_of
+
+    for size in (1, 2, 3, 4):
+        for chars in itertools.product("aZé'1,ſİ日", repeat=size):
+            chunk = "".join(chars)
+            assert letters(chunk) == bool(LETTERS.match(chunk))
+            if not letters(chunk):
+                assert parts_of(chunk) == PARTS.findall(chunk), chunk
