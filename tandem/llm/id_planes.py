@@ -65,7 +65,7 @@ class PlaneWriter:
         self.at, self.index, self.keys, self.nulls, self.counts = 0, [], [], [], []
 
     def _block(self, ids: np.ndarray) -> bytes:
-        planes = [self.codec.compress(p) if any(p) else b"" for p in to_planes(ids, self.bits)]
+        planes = [self.codec.compress(p) if p.count(0) < len(p) else b"" for p in to_planes(ids, self.bits)]
         self.index.append(struct.pack(f"<QI{len(planes)}I", self.at, len(ids), *map(len, planes)))
         out = b"".join(planes)
         self.at += len(out)

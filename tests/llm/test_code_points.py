@@ -55,3 +55,43 @@ def test_parts_without_the_pattern_equal_the_pattern():
             assert letters(chunk) == bool(LETTERS.match(chunk))
             if not letters(chunk):
                 assert parts_of(chunk) == PARTS.findall(chunk), chunk
+
+
+class Recorder:
+    """A tokenizer that notes the texts it encodes."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.seen = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_parts_in_use_are_encoded_once_however_many_others_pass():
+    t, mine = Tokenizer.from_file(P.path("word_bpe_49k.json")), ChunkEncoder(P.path("word_bpe_49k.json"), most=300)
+    mine.tokenizer = Recorder(mine.tokenizer)
+    draw = random.Random(2)
+    for k in range(40):
+        texts = [f"common{k}, {k}common; " + " ".join("".join(draw.choices("abcdefgh", k=9)) for _ in range(10)) for _ in range(5)] + ["日" * 400 + str(k)]
+        ids, counts = mine.encode(pa.array(texts))
+        want = [x.ids for x in t.encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+        assert len(mine.parts) == len(mine.lens) == len(mine.used) <= 300 and max(map(len, mine.parts)) <= 64
+    assert sum(text.split().count("common") for text in mine.tokenizer.seen) == 1
+
+
+def test_texts_without_parts_have_no_ids():
+    mine = ChunkEncoder(P.path("word_bpe_49k.json"), added=True)
+    for texts in ([], [""], [None], [" ", "\n\xa0\x85", ""], ["", None, "\u3000"]):
+        ids, counts = mine.encode(pa.array(texts, pa.string()))
+        assert ids.tolist() == [] and counts.tolist() == [0] * len(texts)
+
+
+def test_parts_are_the_texts_without_white_space():
+    from tandem.llm.chunk_tokens import cut_parts
+
+    texts = ["", "don't, stop!", " a\xa0é×b", "", "xé.", "y日,z İ1a\x00b", "\t"]
+    parts, counts = cut_parts(pa.array(["left out", *texts], pa.large_string()).slice(1))
+    assert counts.tolist() == [0, 5, 2, 0, 2, 5, 0]
+    assert [p.decode() for p in parts.to_pylist()] == ["don", "'t", ",", "stop", "!", "a", "é×b", "xé", ".", "y日,", "z", "İ1", "a", "\x00b"]
